@@ -13,33 +13,37 @@ from tidemark.functions import text_values as tv
 INT_MAX = 2_147_483_647
 
 
-def infer_column_types(raw: DataFrame) -> DataFrame:
-    """One row per column: position, name, type, and the figures the type rests on.
+def _cells(table: str, raw: DataFrame) -> DataFrame:
+    """(table, pos, v) for every filled cell. An empty cell says nothing about a type."""
+    text = raw.select(*[
+        F.col(f"`{c}`").cast("string").alias(str(i)) for i, c in enumerate(raw.columns)
+    ])
+    return text.unpivot([], [F.col(f"`{c}`") for c in text.columns], "pos", "v").select(
+        F.lit(table).alias("table"), F.col("pos").cast("int").alias("pos"), "v"
+    ).where("v <> ''")
+
 
-    Every cell is classified once in the scan stage; the shuffle carries one
-    partial row per column and task, however large the table.
+def infer_folder_types(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per table and column: its type and the figures the type rests on.
+
+    Every cell is classified once in the scan stage. All tables share one
+    group-by, whose shuffle carries one partial row per column and task.
     """
-    # Unpivot needs one type; void or typed columns are read as their text.
-    cells = raw.select(*[F.col(f"`{c}`").cast("string").alias(str(i)) for i, c in enumerate(raw.columns)])
-    v = F.nullif(F.col("v"), F.lit(""))
-    classed = (
-        cells.unpivot([], [F.col(f"`{c}`") for c in cells.columns], "pos", "v")
-        .select(F.col("pos").cast("int").alias("pos"), v.alias("v"))
-        .where("v is not null")
-        .withColumn("kind", tv.value_class(F.col("v")))
-    )
+    cells = reduce(DataFrame.unionAll, [_cells(t, raw) for t, raw in tables.items()])
+    classed = cells.withColumn("kind", tv.value_class(F.col("v")))
     clean = F.regexp_replace("v", r"[\s_+-]", "")
-    plain = F.col("kind").isin("integer", "number") & clean.rlike(r"^[\d.]+$")
+    is_numeric = F.col("kind").isin("integer", "number")
+    plain = is_numeric & clean.rlike(r"^[\d.]+$")
     whole = F.length(F.regexp_extract(clean, r"^0*(\d*)", 1))
     fraction = F.length(F.regexp_extract(clean, r"\.(\d*)$", 1))
 
     def n(kind: str):
         return F.count_if(F.col("kind") == kind).alias(f"n_{kind}")
 
-    found = classed.groupBy("pos").agg(
+    found = classed.groupBy("table", "pos").agg(
         F.count("v").alias("n_filled"),
         n("code"), n("boolean"), n("integer"), n("number"), n("date"),
-        F.count_if(F.col("kind").isin("integer", "number") & ~plain).alias("n_special"),
+        F.count_if(is_numeric & ~plain).alias("n_special"),
         F.max(
             F.when(F.col("kind") == "integer", F.abs(tv.without_marks(F.col("v")).cast("bigint")))
         ).alias("max_int"),
@@ -47,15 +51,20 @@ def infer_column_types(raw: DataFrame) -> DataFrame:
         F.max(F.when(plain, fraction)).alias("fraction_digits"),
         F.min(F.when(F.col("kind") == "code", F.col("v"))).alias("sample_code"),
     )
-    names = raw.sparkSession.createDataFrame(
-        list(enumerate(raw.columns)), "pos int, column string"
+    spark = next(iter(tables.values())).sparkSession
+    names = spark.createDataFrame(
+        [(t, i, c) for t, raw in tables.items() for i, c in enumerate(raw.columns)],
+        "table string, pos int, column string",
     )
     filled = F.coalesce("n_filled", F.lit(0))
     kind = (
         F.when(filled == 0, "TEXT")
         .when(F.col("n_code") > 0, "TEXT")
         .when(F.col("n_boolean") == filled, "BOOLEAN")
-        .when(F.col("n_integer") == filled, F.when(F.col("max_int") <= INT_MAX, "INTEGER").otherwise("BIGINT"))
+        .when(
+            F.col("n_integer") == filled,
+            F.when(F.col("max_int") <= INT_MAX, "INTEGER").otherwise("BIGINT"),
+        )
         .when(F.col("n_integer") + F.col("n_number") == filled, "NUMERIC")
         .when(F.col("n_date") == filled, "TIMESTAMP")
         .otherwise("TEXT")
@@ -76,32 +85,25 @@ def infer_column_types(raw: DataFrame) -> DataFrame:
         .otherwise(F.lower("type"))
     )
     return (
-        names.join(found, "pos", "left")
+        names.join(found, ["table", "pos"], "left")
         .withColumn("type", kind)
         .select(
-            "pos", "column", "type", spark_type.alias("spark_type"), filled.alias("n_filled"),
-            F.coalesce("n_code", F.lit(0)).alias("n_code"), "max_int", "sample_code",
+            "table", "pos", "column", "type", spark_type.alias("spark_type"),
+            filled.alias("n_filled"), F.coalesce("n_code", F.lit(0)).alias("n_code"),
+            "max_int", "sample_code",
         )
     )
 
 
-def infer_folder_types(tables: dict[str, DataFrame]) -> DataFrame:
-    """``infer_column_types`` of several raw tables, with the table name in front."""
-    typed = [
-        infer_column_types(raw).select(F.lit(name).alias("table"), "*")
-        for name, raw in tables.items()
-    ]
-    return reduce(DataFrame.unionAll, typed)
+def infer_column_types(raw: DataFrame) -> DataFrame:
+    """``infer_folder_types`` of one raw table."""
+    return infer_folder_types({"": raw}).drop("table")
 
 
 def spark_schema(types: DataFrame) -> T.StructType:
     """Schema for the typed load. Only the one row per column comes to the driver."""
     rows = types.orderBy("pos").select("column", "spark_type").collect()
-    return T.StructType([T.StructField(r[0], _data_type(r[1])) for r in rows])
-
-
-def _data_type(name: str) -> T.DataType:
-    return T.DataType.fromDDL(name)
+    return T.StructType([T.StructField(r[0], T.DataType.fromDDL(r[1])) for r in rows])
 
 
 def ddl_for(types: DataFrame) -> DataFrame:

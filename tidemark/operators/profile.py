@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import plain_mean
-from tidemark.operators.quantiles import exact_quantiles, quantile_row
+from tidemark.operators.quantiles import exact_quantiles, quantile_values
 
 # Names and cells that stand for no real record.
 PLACEHOLDERS = ["asdf", "test", "??", "n/a", "tbd"]
@@ -44,7 +44,7 @@ def text_date_range(df: DataFrame, column: str) -> DataFrame:
 
 def describe(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum in one row."""
-    quartiles = quantile_row(df, column, [0.25, 0.5, 0.75])
+    q = quantile_values(df, column, [0.25, 0.5, 0.75])
     value = F.col(column)
     return df.agg(
         F.count(value).alias("n"),
@@ -54,7 +54,7 @@ def describe(df: DataFrame, column: str) -> DataFrame:
         F.max(value).alias("max"),
     ).select(
         "n", "mean", "std", "min",
-        quartiles[0.25].alias("q25"), quartiles[0.5].alias("q50"), quartiles[0.75].alias("q75"),
+        *[F.lit(q[p]).cast("double").alias(f"q{p * 100:.0f}") for p in sorted(q)],
         "max",
     )
 
@@ -70,10 +70,10 @@ def median(df: DataFrame, column: str) -> DataFrame:
 
 def iqr_outliers(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
     """Fences at ``factor`` quartile ranges beyond the quartiles, and the rows outside them."""
-    q = quantile_row(df, column, [0.25, 0.75])
+    q = quantile_values(df, column, [0.25, 0.75])
     v = F.col(column).cast("double")
-    reach = (q[0.75] - q[0.25]) * factor
-    low, high = q[0.25] - reach, q[0.75] + reach
+    q1, q3 = [F.lit(q[p]).cast("double") for p in (0.25, 0.75)]
+    low, high = q1 - (q3 - q1) * factor, q3 + (q3 - q1) * factor
     return df.agg(
         F.count(v).alias("n"),
         F.count_if(v < low).alias("n_low"),

@@ -2,115 +2,119 @@
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer.
 Here the wanted ranks are narrowed down instead: a histogram over the value range
-tells which bin holds a rank, that bin becomes the range of the next histogram,
-and only the values of the last bins are counted one by one. Each step is one scan
-of one column whose shuffle carries at most ``bins`` rows per task and open range.
+tells which bin holds a rank, and the smallest and largest value of that bin are
+the range of the next histogram, until a range is a single value. Each pass is one
+scan of one column whose shuffle carries at most ``bins`` rows per task and range;
+only the bins that hold a wanted rank (two per quantile at most) reach the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+from functools import reduce
+from operator import or_
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BINS = 4096
-LEVELS = 2
+PASSES = 8
 
 
-def _positions(probs: list[float], n: Column) -> list[Column]:
-    return [F.lit(float(p)) * (n - 1) for p in probs]
+class _Range(NamedTuple):
+    lo: float
+    hi: float
+    before: int
+    ranks: list[int]
 
 
-def exact_quantiles(
-    df: DataFrame, column: str, probs: list[float], bins: int = BINS, levels: int = LEVELS
-) -> DataFrame:
-    """(prob, value) by linear interpolation between the two neighbouring ranks.
+def quantile_values(
+    df: DataFrame, column: str, probs: list[float], bins: int = BINS, passes: int = PASSES
+) -> dict[float, float | None]:
+    """Quantiles by linear interpolation between the two neighbouring ranks.
 
-    NULL and NaN are left out. No rows come back when no value is left.
+    NULL and NaN are left out; without any value every quantile is None. The
+    passes run when this is called.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).where("v is not null and not isnan(v)")
-    open_ranges = 2 * len(probs)
-
-    span = values.agg(
-        F.count("v").alias("total"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    ).where("total > 0")
-    ranks = F.array_distinct(F.flatten(F.array(*[
-        F.array(F.floor(p).cast("bigint"), F.ceil(p).cast("bigint"))
-        for p in _positions(probs, F.col("total"))
-    ])))
-    ranges = span.select(
-        F.array(F.struct("lo", "hi", F.lit(0).cast("bigint").alias("before"), ranks.alias("ranks"), "total")).alias("r")
-    )
-
-    for _ in range(levels):
-        held = _values_in(values, ranges, open_ranges)
-        width = F.col("hi") - F.col("lo")
-        slot = F.floor((F.col("v") - F.col("lo")) / width * bins)
-        held = held.withColumn(
-            "slot", F.when(width > 0, F.least(slot, F.lit(bins - 1))).otherwise(0).cast("int")
-        )
-        bars = held.groupBy("i", "slot").agg(
-            F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
-        )
-        ranges = _holding_ranks(bars, ranges, "slot").agg(
-            F.array_sort(F.collect_list(F.struct("lo", "hi", "before", "ranks", "total"))).alias("r")
-        )
-
-    counted = _values_in(values, ranges, open_ranges).groupBy("i", "v").agg(F.count("v").alias("n"))
-    found = (
-        _holding_ranks(counted, ranges, "v")
-        .select(F.explode("ranks").alias("rank"), "v", "total")
-        .agg(
-            F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"),
-            F.max("total").alias("total"),
-        )
-        .where("total is not null")
-    )
-    points = [
-        F.struct(F.lit(float(p)).alias("prob"), pos.alias("pos"))
-        for p, pos in zip(probs, _positions(probs, F.col("total")))
-    ]
-    below = F.element_at("at", F.floor("point.pos").cast("bigint"))
-    above = F.element_at("at", F.ceil("point.pos").cast("bigint"))
-    share = F.col("point.pos") - F.floor("point.pos")
-    return found.select("at", F.explode(F.array(*points)).alias("point")).select(
-        "point.prob", (below + (above - below) * share).alias("value")
-    )
+    v = F.col(column).cast("double")
+    values = df.select(v.alias("v")).where("v is not null and not isnan(v)")
+    total, lo, hi = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
+    if not total:
+        return dict.fromkeys(probs)
+
+    spots = {p: p * (total - 1) for p in probs}
+    ranks = sorted({r for s in spots.values() for r in (math.floor(s), math.ceil(s))})
+    at: dict[int, float] = {}
+    open_ranges = [_Range(lo, hi, 0, ranks)]
+    for number in range(passes + 1):
+        for r in open_ranges:
+            if r.lo == r.hi:
+                at.update(dict.fromkeys(r.ranks, r.lo))
+        open_ranges = [r for r in open_ranges if r.lo < r.hi]
+        if not open_ranges:
+            break
+        # Values spread over many orders of magnitude may need more passes than are
+        # worth a scan; what is left by then is counted value by value.
+        open_ranges = _narrowed(values, open_ranges, bins if number < passes else None)
+    for r in open_ranges:
+        at.update(dict.fromkeys(r.ranks, r.lo))
+
+    return {
+        p: at[math.floor(s)] + (at[math.ceil(s)] - at[math.floor(s)]) * (s - math.floor(s))
+        for p, s in spots.items()
+    }
+
+
+def _narrowed(values: DataFrame, ranges: list[_Range], bins: int | None) -> list[_Range]:
+    """One histogram over each range; returns the bins in which wanted ranks lie."""
+    v = F.col("v")
+    which = [v.between(r.lo, r.hi) for r in ranges]
+
+    def of_range(pick):
+        out = F.lit(None)
+        for i, r in enumerate(ranges):
+            out = F.when(which[i], F.lit(pick(i, r))).otherwise(out)
+        return out
+
+    held = values.where(reduce(or_, which)).withColumn("i", of_range(lambda i, r: i))
+    if bins is None:
+        held = held.withColumn("slot", v)
+    else:
+        lo, hi = of_range(lambda i, r: r.lo), of_range(lambda i, r: r.hi)
+        slot = F.floor((v - lo) / (hi - lo) * bins)
+        held = held.withColumn("slot", F.least(slot, F.lit(bins - 1)))
 
-
-def _values_in(values: DataFrame, ranges: DataFrame, open_ranges: int) -> DataFrame:
-    """Values inside an open range, with the number and bounds of that range.
-
-    The ranges (a handful, sorted, disjoint) reach the scan as one constant.
-    """
-    r = ranges.scalar()
-    number = F.lit(None).cast("int")
-    for i in reversed(range(open_ranges)):
-        number = F.when(F.col("v") <= F.get(r, F.lit(i))["hi"], i).otherwise(number)
-    placed = values.select("v", number.alias("i"))
-    return placed.select(
-        "v", "i", F.get(r, F.col("i"))["lo"].alias("lo"), F.get(r, F.col("i"))["hi"].alias("hi")
-    ).where("v >= lo")
-
-
-def _holding_ranks(bars: DataFrame, ranges: DataFrame, order: str) -> DataFrame:
-    """The bars that hold a wanted rank, with the number of values before them."""
-    mine = F.get(ranges.scalar(), F.col("i"))
     upto = F.sum("n").over(
-        W.partitionBy("i").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+        W.partitionBy("i").orderBy("slot").rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    return (
-        bars.withColumn("before", mine["before"] + upto - F.col("n"))
-        .withColumns({"total": mine["total"], "wanted": mine["ranks"]})
-        .withColumn(
-            "ranks",
-            F.filter("wanted", lambda k: (k >= F.col("before")) & (k < F.col("before") + F.col("n"))),
-        )
-        .where(F.size("ranks") > 0)
+    before = F.element_at(F.array(*[F.lit(r.before) for r in ranges]), F.col("i") + 1)
+    wanted = reduce(
+        or_,
+        [
+            (F.col("i") == i) & (F.col("first") <= k) & (F.lit(k) < F.col("first") + F.col("n"))
+            for i, r in enumerate(ranges)
+            for k in r.ranks
+        ],
     )
+    bars = (
+        held.groupBy("i", "slot")
+        .agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        .withColumn("first", before + upto - F.col("n"))
+        .where(wanted)
+        .collect()
+    )
+    return [
+        _Range(b["lo"], b["hi"], b["first"],
+               [k for k in ranges[b["i"]].ranks if b["first"] <= k < b["first"] + b["n"]])
+        for b in bars
+    ]
 
 
-def quantile_row(df: DataFrame, column: str, probs: list[float]) -> Column:
-    """The quantiles as one map (prob -> value), for use inside another select."""
-    q = exact_quantiles(df, column, probs)
-    return q.agg(F.map_from_entries(F.collect_list(F.struct("prob", "value")))).scalar()
+def exact_quantiles(df: DataFrame, column: str, probs: list[float]) -> DataFrame:
+    """``quantile_values`` as rows (prob, value)."""
+    found = quantile_values(df, column, probs)
+    return df.sparkSession.createDataFrame(
+        [(p, found[p]) for p in probs], "prob double, value double"
+    )

@@ -373,7 +373,8 @@ pa AS (SELECT customer_id FROM x WHERE product_id = {PRODUCT}),
 pb AS (SELECT customer_id FROM x WHERE product_id = {OTHER_PRODUCT}),
 n AS (SELECT (SELECT count(*) FROM pa) AS buyers_a, (SELECT count(*) FROM pb) AS buyers_b,
              (SELECT count(*) FROM pa JOIN pb USING (customer_id)) AS "both")
-SELECT *, "both" / (sqrt(buyers_a) * sqrt(buyers_b)) AS similarity FROM n""",
+SELECT *, CASE WHEN buyers_a > 0 AND buyers_b > 0 THEN "both" / (sqrt(buyers_a) * sqrt(buyers_b)) END AS similarity
+FROM n""",
     "r7_matrix_density": f"""WITH {INTER},
 n AS (SELECT count(DISTINCT customer_id) AS n_customers, count(DISTINCT product_id) AS n_products,
              count(*) AS n_interactions FROM x)
