@@ -23,39 +23,48 @@ def _cells(table: str, raw: DataFrame) -> DataFrame:
     ).where("v <> ''")
 
 
+def _classed_cells(tables: dict[str, DataFrame]) -> DataFrame:
+    cells = reduce(DataFrame.unionAll, [_cells(t, raw) for t, raw in tables.items()])
+    return cells.withColumn("kind", tv.value_class(F.col("v")))
+
+
+def _column_names(tables: dict[str, DataFrame]) -> DataFrame:
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(
+        [(t, i, c) for t, raw in tables.items() for i, c in enumerate(raw.columns)],
+        "table string, pos int, column string",
+    )
+
+
 def infer_folder_types(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table and column: its type and the figures the type rests on.
 
     Every cell is classified once in the scan stage. All tables share one
     group-by, whose shuffle carries one partial row per column and task.
     """
-    cells = reduce(DataFrame.unionAll, [_cells(t, raw) for t, raw in tables.items()])
-    classed = cells.withColumn("kind", tv.value_class(F.col("v")))
-    clean = F.regexp_replace("v", r"[\s_+-]", "")
-    is_numeric = F.col("kind").isin("integer", "number")
-    plain = is_numeric & clean.rlike(r"^[\d.]+$")
-    whole = F.length(F.regexp_extract(clean, r"^0*(\d*)", 1))
-    fraction = F.length(F.regexp_extract(clean, r"\.(\d*)$", 1))
+    classed = _classed_cells(tables).withColumn(
+        "digits",
+        F.when(F.col("kind").isin("integer", "number"), F.regexp_replace("v", r"[\s_+-]", "")),
+    )
+    plain = F.col("digits").rlike(r"^[\d.]+$")
+    whole = F.length(F.regexp_extract("digits", r"^0*(\d*)", 1))
+    fraction = F.length(F.regexp_extract("digits", r"\.(\d*)$", 1))
 
     def n(kind: str):
         return F.count_if(F.col("kind") == kind).alias(f"n_{kind}")
 
+    # Numbers only: a text result (such as a sample cell) would turn this into a sort of all cells.
     found = classed.groupBy("table", "pos").agg(
         F.count("v").alias("n_filled"),
         n("code"), n("boolean"), n("integer"), n("number"), n("date"),
-        F.count_if(is_numeric & ~plain).alias("n_special"),
+        F.count_if(~plain).alias("n_special"),
         F.max(
             F.when(F.col("kind") == "integer", F.abs(tv.without_marks(F.col("v")).cast("bigint")))
         ).alias("max_int"),
         F.max(F.when(plain, whole)).alias("whole_digits"),
         F.max(F.when(plain, fraction)).alias("fraction_digits"),
-        F.min(F.when(F.col("kind") == "code", F.col("v"))).alias("sample_code"),
-    )
-    spark = next(iter(tables.values())).sparkSession
-    names = spark.createDataFrame(
-        [(t, i, c) for t, raw in tables.items() for i, c in enumerate(raw.columns)],
-        "table string, pos int, column string",
     )
+    names = _column_names(tables)
     filled = F.coalesce("n_filled", F.lit(0))
     kind = (
         F.when(filled == 0, "TEXT")
@@ -90,7 +99,7 @@ def infer_folder_types(tables: dict[str, DataFrame]) -> DataFrame:
         .select(
             "table", "pos", "column", "type", spark_type.alias("spark_type"),
             filled.alias("n_filled"), F.coalesce("n_code", F.lit(0)).alias("n_code"),
-            "max_int", "sample_code",
+            "max_int",
         )
     )
 
@@ -100,6 +109,16 @@ def infer_column_types(raw: DataFrame) -> DataFrame:
     return infer_folder_types({"": raw}).drop("table")
 
 
+def code_examples(tables: dict[str, DataFrame]) -> DataFrame:
+    """The smallest code-like cell of every column that has one, to show why it is TEXT."""
+    codes = _classed_cells(tables).where(F.col("kind") == "code")
+    return (
+        codes.groupBy("table", "pos").agg(F.min("v").alias("sample_code"))
+        .join(_column_names(tables), ["table", "pos"])
+        .select("table", "column", "sample_code")
+    )
+
+
 def spark_schema(types: DataFrame) -> T.StructType:
     """Schema for the typed load. Only the one row per column comes to the driver."""
     rows = types.orderBy("pos").select("column", "spark_type").collect()

@@ -181,11 +181,11 @@ def _table_columns(tables: list[str], key: bool = False) -> list[tuple[str, int,
 
 
 CODED = [
-    ("o", 0, "order_code", "lpad(CAST(o_orderkey AS VARCHAR), 12, '0')", "orders"),
-    ("o", 1, "day_first", "strftime(o_orderdate, '%d/%m/%Y')", "orders"),
-    ("o", 2, "iso_day", "strftime(o_orderdate, '%Y-%m-%d')", "orders"),
-    ("o", 3, "customer_id", "o_custkey", "orders"),
-    ("o", 4, "long_id", "o_custkey + 3000000000", "orders"),
+    ("orders", 0, "order_code", "lpad(CAST(o_orderkey AS VARCHAR), 12, '0')", "orders"),
+    ("orders", 1, "day_first", "strftime(o_orderdate, '%d/%m/%Y')", "orders"),
+    ("orders", 2, "iso_day", "strftime(o_orderdate, '%Y-%m-%d')", "orders"),
+    ("orders", 3, "customer_id", "o_custkey", "orders"),
+    ("orders", 4, "long_id", "o_custkey + 3000000000", "orders"),
 ]
 EVENT_CELLS = [("e", p, c, c, "events") for p, c in enumerate(["event_id", "ts", "event_type", "value", "props"])]
 
@@ -232,7 +232,7 @@ SELECT "table", pos, "column", type, n_filled, n_code, max_int FROM types""",
     "i2b_value_classes": f"""WITH cells AS ({_cells(EVENT_CELLS)})
 SELECT "column", {KIND} AS kind, count(*) AS n FROM cells GROUP BY 1, 2""",
     "i2c_code_examples": f"""WITH {_types(CODED)}
-SELECT "column", sample_code FROM types WHERE sample_code IS NOT NULL""",
+SELECT "table", "column", sample_code FROM types WHERE sample_code IS NOT NULL""",
     "i3_ddl": f"""WITH {_types(_table_columns(["orders", "lineitem", "customer"], key=True))}
 SELECT "table", 'CREATE TABLE ' || "table" || ' (' || chr(10)
   || string_agg('    ' || "column" || ' ' || type || CASE WHEN "column" = 'id' THEN ' PRIMARY KEY' ELSE '' END,

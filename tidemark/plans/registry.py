@@ -121,10 +121,7 @@ def _(spark, sf_dir):
 
 @query("i2c_code_examples")
 def _(spark, sf_dir):
-    return (
-        inference.infer_column_types(_coded_orders(spark, sf_dir))
-        .where("sample_code is not null").select("column", "sample_code")
-    )
+    return inference.code_examples({"orders": _coded_orders(spark, sf_dir)})
 
 
 @query("i3_ddl")
@@ -138,24 +135,27 @@ def _(spark, sf_dir):
     return inference.ddl_for(types)
 
 
-def _erp_folder(spark, sf_dir):
+def _erp_folder(spark, sf_dir, names):
     """A folder of extracts: two keyed tables, one keyless, one whose id repeats."""
-    folder = f"{shared_dir(spark)}/csv"
-    orders = raw_table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "id")
     lines = raw_table(spark, sf_dir, "lineitem")
-    _export_csv(orders, f"{folder}/orders.csv")
-    _export_csv(raw_table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "id"), f"{folder}/customer.csv")
-    _export_csv(lines.select("l_orderkey", "l_linenumber", "l_quantity"), f"{folder}/order_lines.csv")
-    _export_csv(lines.select(F.col("l_orderkey").alias("id"), "l_quantity"), f"{folder}/broken.csv")
+    extracts = {
+        "orders": raw_table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "id"),
+        "customer": raw_table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "id"),
+        "order_lines": lines.select("l_orderkey", "l_linenumber", "l_quantity"),
+        "broken": lines.select(F.col("l_orderkey").alias("id"), "l_quantity"),
+    }
+    folder = f"{shared_dir(spark)}/csv"
+    for name in names:
+        _export_csv(extracts[name], f"{folder}/{name}.csv")
     return folder
 
 
 @query("i4_full_refresh")
 def _(spark, sf_dir):
-    folder = _erp_folder(spark, sf_dir)
+    folder = _erp_folder(spark, sf_dir, ["orders"])
     dest = f"{shared_dir(spark)}/tables"
     for _ in range(2):
-        loader.load_folder(spark, folder, dest, tables=["orders"])
+        loader.load_folder(spark, folder, dest)
     return spark.read.parquet(f"{dest}/orders")
 
 
@@ -172,10 +172,10 @@ def _(spark, sf_dir):
 
 @query("i6_append_reload")
 def _(spark, sf_dir):
-    folder = _erp_folder(spark, sf_dir)
+    folder = _erp_folder(spark, sf_dir, ["order_lines"])
     dest = f"{shared_dir(spark)}/tables"
     for _ in range(2):
-        loader.load_folder(spark, folder, dest, mode="append", tables=["order_lines"])
+        loader.load_folder(spark, folder, dest, mode="append")
     return spark.read.parquet(f"{dest}/order_lines").groupBy("l_linenumber").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("l_quantity").alias("quantity")
     )
@@ -183,13 +183,15 @@ def _(spark, sf_dir):
 
 @query("i7_load_audit")
 def _(spark, sf_dir):
-    results = loader.load_folder(spark, _erp_folder(spark, sf_dir), f"{shared_dir(spark)}/tables")
+    folder = _erp_folder(spark, sf_dir, ["orders", "customer", "order_lines", "broken"])
+    results = loader.load_folder(spark, folder, f"{shared_dir(spark)}/tables")
     return loader.load_audit(spark, results).select("table", "rows", "status")
 
 
 @query("i7_load_summary")
 def _(spark, sf_dir):
-    results = loader.load_folder(spark, _erp_folder(spark, sf_dir), f"{shared_dir(spark)}/tables")
+    folder = _erp_folder(spark, sf_dir, ["orders", "customer", "order_lines", "broken"])
+    results = loader.load_folder(spark, folder, f"{shared_dir(spark)}/tables")
     return loader.load_summary(loader.load_audit(spark, results))
 
 
