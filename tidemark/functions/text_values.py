@@ -15,6 +15,7 @@ NUMBER = (
     rf"(?i)^\s*[+-]?(({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})(e[+-]?{_DIGITS})?"
     r"|nan|inf|infinity)\s*$"
 )
+BOOLEAN = r"(?i)^(true|false)\z"
 LEADING_ZERO = r"^0[0-9]"
 LONGEST_QUANTITY = 15  # an integer with more characters is a code
 
@@ -23,6 +24,11 @@ ISO_DATE = rf"^\d{{4}}-\d{{1,2}}-\d{{1,2}}{_TIME}\z"
 DAY_FIRST_DATE = rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}}{_TIME}\z"
 
 
+# What a cell that is not plain text may start with; most text is told apart by this alone.
+_HEADS = list("+-. \t\n\r\f\v") + list("nNiItTfF")
+_MARKS = "_+- \t\n\r\f\v"
+
+
 def is_integer(v: Column) -> Column:
     return v.rlike(INTEGER)
 
@@ -32,19 +38,21 @@ def is_number(v: Column) -> Column:
 
 
 def is_boolean(v: Column) -> Column:
-    return F.upper(v).isin("TRUE", "FALSE")
+    return F.length(v).between(4, 5) & v.rlike(BOOLEAN)
 
 
 def is_code(v: Column) -> Column:
     """Digits that identify instead of count: a leading zero, or too long for a quantity."""
-    return v.rlike(LEADING_ZERO) | ((F.length(v) > LONGEST_QUANTITY) & is_integer(v))
+    zero = v.startswith("0") & v.rlike(LEADING_ZERO)
+    return zero | ((F.length(v) > LONGEST_QUANTITY) & is_integer(v))
 
 
 def to_timestamp(v: Column) -> Column:
     """Zone-free timestamp of the four accepted date forms, NULL for anything else."""
     day_first = F.regexp_replace(v, r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$2-$1")
     iso = F.when(v.rlike(ISO_DATE), v).when(v.rlike(DAY_FIRST_DATE), day_first)
-    return F.regexp_replace(iso, r"\s+", " ").try_cast("timestamp_ntz")
+    one_blank = F.regexp_replace(iso, r"\s+", " ")
+    return F.coalesce(iso.try_cast("timestamp_ntz"), one_blank.try_cast("timestamp_ntz"))
 
 
 def without_marks(v: Column) -> Column:
@@ -52,13 +60,35 @@ def without_marks(v: Column) -> Column:
     return F.regexp_replace(v, r"[\s_]", "")
 
 
+def bare_digits(v: Column) -> Column:
+    """Number text without signs, blanks and underscores."""
+    return F.translate(v, _MARKS, "")
+
+
 def value_class(v: Column) -> Column:
-    """First class that fits; every integer is also a number, the others exclude each other."""
+    """code, boolean, integer, number, date or text.
+
+    The cheap tests come first: the head of the cell, and a cast for integers that
+    are nothing but digits. One pattern then covers every other number.
+    """
+    head, tail = F.substring(v, 1, 1), F.substring(v, -1, 1)
+    digit = head.between("0", "9")
+    only_digits = (
+        digit & tail.between("0", "9") & (F.length(v) <= LONGEST_QUANTITY)
+        & v.try_cast("bigint").isNotNull()
+    )
+    without_point = F.translate(v, "0123456789" + _MARKS, "") == ""
+    number = (
+        F.when(without_point & (F.length(v) > LONGEST_QUANTITY), "code")
+        .when(without_point, "integer")
+        .otherwise("number")
+    )
     return (
-        F.when(is_code(v), "code")
+        F.when(~(digit | head.isin(_HEADS)), "text")
+        .when(v.startswith("0") & v.rlike(LEADING_ZERO), "code")
+        .when(only_digits, "integer")
         .when(is_boolean(v), "boolean")
-        .when(is_integer(v), "integer")
-        .when(is_number(v), "number")
+        .when(is_number(v), number)
         .when(to_timestamp(v).isNotNull(), "date")
         .otherwise("text")
     )

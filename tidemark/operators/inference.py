@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import text_values as tv
+from tidemark.session import small_rows
 
 INT_MAX = 2_147_483_647
 
@@ -30,9 +32,10 @@ def _classed_cells(tables: dict[str, DataFrame]) -> DataFrame:
 
 def _column_names(tables: dict[str, DataFrame]) -> DataFrame:
     spark = next(iter(tables.values())).sparkSession
-    return spark.createDataFrame(
+    return small_rows(
+        spark,
         [(t, i, c) for t, raw in tables.items() for i, c in enumerate(raw.columns)],
-        "table string, pos int, column string",
+        {"table": pa.string(), "pos": pa.int32(), "column": pa.string()},
     )
 
 
@@ -43,12 +46,12 @@ def infer_folder_types(tables: dict[str, DataFrame]) -> DataFrame:
     group-by, whose shuffle carries one partial row per column and task.
     """
     classed = _classed_cells(tables).withColumn(
-        "digits",
-        F.when(F.col("kind").isin("integer", "number"), F.regexp_replace("v", r"[\s_+-]", "")),
+        "digits", F.when(F.col("kind").isin("integer", "number"), tv.bare_digits(F.col("v")))
     )
-    plain = F.col("digits").rlike(r"^[\d.]+$")
-    whole = F.length(F.regexp_extract("digits", r"^0*(\d*)", 1))
-    fraction = F.length(F.regexp_extract("digits", r"\.(\d*)$", 1))
+    plain = F.translate("digits", "0123456789.", "") == ""
+    point, length = F.instr("digits", "."), F.length("digits")
+    whole = F.when(point > 0, point - 1).otherwise(length)
+    fraction = F.when(point > 0, length - point).otherwise(0)
 
     def n(kind: str):
         return F.count_if(F.col("kind") == kind).alias(f"n_{kind}")
@@ -58,9 +61,7 @@ def infer_folder_types(tables: dict[str, DataFrame]) -> DataFrame:
         F.count("v").alias("n_filled"),
         n("code"), n("boolean"), n("integer"), n("number"), n("date"),
         F.count_if(~plain).alias("n_special"),
-        F.max(
-            F.when(F.col("kind") == "integer", F.abs(tv.without_marks(F.col("v")).cast("bigint")))
-        ).alias("max_int"),
+        F.max(F.when(F.col("kind") == "integer", F.col("digits").cast("bigint"))).alias("max_int"),
         F.max(F.when(plain, whole)).alias("whole_digits"),
         F.max(F.when(plain, fraction)).alias("fraction_digits"),
     )

@@ -15,10 +15,13 @@ from functools import reduce
 from operator import or_
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.session import small_rows
+
 BINS = 4096
 PASSES = 8
 
@@ -115,6 +118,6 @@ def _narrowed(values: DataFrame, ranges: list[_Range], bins: int | None) -> list
 def exact_quantiles(df: DataFrame, column: str, probs: list[float]) -> DataFrame:
     """``quantile_values`` as rows (prob, value)."""
     found = quantile_values(df, column, probs)
-    return df.sparkSession.createDataFrame(
-        [(p, found[p]) for p in probs], "prob double, value double"
+    return small_rows(
+        df.sparkSession, [(p, found[p]) for p in probs], {"prob": pa.float64(), "value": pa.float64()}
     )

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, app: str = "tidemark") -> SparkSession:
@@ -37,3 +38,10 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="tidemark-")
     return f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+
+
+def small_rows(spark: SparkSession, rows: list[tuple], columns: dict[str, pa.DataType]) -> DataFrame:
+    """A handful of driver rows as a local relation. A list of tuples would start Python workers."""
+    values = list(zip(*rows)) if rows else [()] * len(columns)
+    arrays = [pa.array(v, type=t) for v, t in zip(values, columns.values())]
+    return spark.createDataFrame(pa.table(arrays, names=list(columns)))

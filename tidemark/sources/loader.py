@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import text_values as tv
 from tidemark.operators.inference import infer_column_types, spark_schema
+from tidemark.session import small_rows
 from tidemark.sources.csv_tables import has_broken_lines, read_raw_csv
 from tidemark.sources.storage import discard, list_csv, swap_in
 
@@ -129,9 +131,8 @@ def load_folder(
 
 def load_audit(spark: SparkSession, results: list[LoadResult]) -> DataFrame:
     """One row per table, in load order: rows loaded, status and error text."""
-    return spark.createDataFrame(
-        results, "table string, rows bigint, status string, error string"
-    )
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.string()]
+    return small_rows(spark, results, dict(zip(LoadResult._fields, kinds)))
 
 
 def load_summary(audit: DataFrame) -> DataFrame:
