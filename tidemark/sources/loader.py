@@ -5,7 +5,6 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,7 +123,7 @@ def load_folder(
                 spark, path, schema, f"{dest_root}/{table}", mode, multi_line=broken
             )
             results.append(LoadResult(table, rows, "loaded", None))
-        except (PySparkException, KeyViolation, OSError) as error:
+        except Exception as error:  # whatever went wrong, the other tables still load
             results.append(LoadResult(table, None, "failed", str(error).splitlines()[0]))
     return results
 
