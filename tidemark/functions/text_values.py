@@ -26,7 +26,6 @@ DAY_FIRST_DATE = rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}}{_TIME}\z"
 
 # What a cell that is not plain text may start with; most text is told apart by this alone.
 _HEADS = list("+-. \t\n\r\f\v") + list("nNiItTfF")
-_MARKS = "_+- \t\n\r\f\v"
 
 
 def is_integer(v: Column) -> Column:
@@ -61,8 +60,8 @@ def without_marks(v: Column) -> Column:
 
 
 def bare_digits(v: Column) -> Column:
-    """Number text without signs, blanks and underscores."""
-    return F.translate(v, _MARKS, "")
+    """Number text without signs, blanks and underscores, which are rare enough to look for first."""
+    return F.when(v.rlike(r"[\s_+-]"), F.regexp_replace(v, r"[\s_+-]", "")).otherwise(v)
 
 
 def value_class(v: Column) -> Column:
@@ -75,7 +74,7 @@ def value_class(v: Column) -> Column:
     head, tail = F.substring(v, 1, 1), F.substring(v, -1, 1)
     digit = head.between("0", "9")
     only_digits = digit & tail.between("0", "9") & v.rlike(rf"^[0-9]{{1,{LONGEST_QUANTITY}}}\z")
-    without_point = F.translate(v, "0123456789" + _MARKS, "") == ""
+    without_point = ~v.rlike(r"[.a-zA-Z]")
     number = (
         F.when(without_point & (F.length(v) > LONGEST_QUANTITY), "code")
         .when(without_point, "integer")

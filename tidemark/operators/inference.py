@@ -48,7 +48,7 @@ def infer_folder_types(tables: dict[str, DataFrame]) -> DataFrame:
     classed = _classed_cells(tables).withColumn(
         "digits", F.when(F.col("kind").isin("integer", "number"), tv.bare_digits(F.col("v")))
     )
-    plain = F.translate("digits", "0123456789.", "") == ""
+    plain = ~F.col("digits").rlike(r"[a-zA-Z]")
     point, length = F.instr("digits", "."), F.length("digits")
     whole = F.when(point > 0, point - 1).otherwise(length)
     fraction = F.when(point > 0, length - point).otherwise(0)
