@@ -31,15 +31,16 @@ def typed_column(name: str, data_type: T.DataType) -> Column:
     """Raw cell to its type. An empty cell is NULL; a cell that does not fit fails the job."""
     v = F.nullif(F.col(f"`{name}`"), F.lit(""))
     if isinstance(data_type, T.StringType):
-        typed = v
-    elif isinstance(data_type, T.TimestampNTZType):
+        return v.alias(name)
+    if isinstance(data_type, T.TimestampNTZType):
         parsed = tv.to_timestamp(v)
-        bad = F.raise_error(F.concat(F.lit(f"{name}: not a date: "), v)).cast(data_type)
-        typed = F.when(v.isNotNull() & parsed.isNull(), bad).otherwise(parsed)
     elif isinstance(data_type, T.NumericType):
-        typed = tv.without_marks(v).cast(data_type)
+        parsed = tv.without_marks(v).try_cast(data_type)
     else:
-        typed = v.cast(data_type)
+        parsed = v.try_cast(data_type)
+    # Said outright, so that a session without ANSI casts does not load NULL instead.
+    misfit = F.concat(F.lit(f"{name}: not {data_type.simpleString()}: "), v)
+    typed = F.when(v.isNotNull() & parsed.isNull(), F.raise_error(misfit).cast(data_type)).otherwise(parsed)
     return typed.alias(name)
 
 
