@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id
+from tidemark.llm import language_id, packing, secret_scan
 from tidemark.plans.tables import raw_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the installed package of public tokenizer files keeps one; the same on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str):
     def register(f):
         QUERIES[name] = f
@@ -28,3 +35,23 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = language_id.held_out("doc_id", 4, 2)
     model = language_id.train(docs.where(~out).select("text", "lang"))
     return language_id.predict(docs.select("doc_id", "text"), model).withColumn("held_out", out)
+
+
+@query("op4_sum_of_squares_packing")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = raw_table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs.select("doc_id", "text"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query("op10_secret_layers")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(raw_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[count(kind) for kind in secret_scan.KINDS], F.sha2(secret_scan.span_list(base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.span_list(F.col("spans")).alias("spans"),
+    )
