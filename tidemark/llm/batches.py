@@ -92,7 +92,7 @@ def word_hashes(flat: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tu
         for i in np.flatnonzero(~inside):  # a word across a block border: its bytes alone
             part = values[starts[i] : ends[i]]
             own = powers if len(part) <= size else np.cumprod(np.full(len(part), _BASE, dtype=np.uint64))
-            hashes[i] = (part * own[: len(part)]).sum() * _INVERSE
+            hashes[i] = int((part * own[: len(part)]).sum()) * int(_INVERSE) % 2**64
     hashes = mix(hashes ^ (lengths.astype(np.uint64) << np.uint64(1)))
     return hashes, np.searchsorted(starts, offsets).astype(np.int64)
 

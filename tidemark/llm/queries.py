@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, packing, secret_scan
+from tidemark.llm import language_id, order_minhash, packing, secret_scan
 from tidemark.plans.tables import raw_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[count(kind) for kind in secret_scan.KINDS], F.sha2(secret_scan.span_list(base).cast("binary"), 256).alias("base_sha256"),
         secret_scan.span_list(F.col("spans")).alias("spans"),
     )
+
+
+@query("op3_order_minhash")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(raw_table(spark, sf_dir, "documents"))
