@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, order_minhash, packing, secret_scan
+from tidemark.llm import language_id, line_join, order_minhash, packing, secret_scan
 from tidemark.plans.tables import raw_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,10 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_order_minhash")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(raw_table(spark, sf_dir, "documents"))
+
+
+@query("op9_line_set_join")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = raw_table(spark, sf_dir, "documents").select("doc_id", "text")
+    cleaned = line_join.dedup_lines(docs)
+    return cleaned.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"), "text")
