@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, line_join, order_minhash, packing, ppm, secret_scan
+from tidemark.llm import language_id, line_join, order_minhash, packing, ppm, scaled_sketch, secret_scan
 from tidemark.plans.tables import raw_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = raw_table(spark, sf_dir, "documents").select("doc_id", "text")
     out = language_id.held_out("doc_id", 10, 0)
     return ppm.score(docs, ~out).withColumn("held_out", out)
+
+
+@query("op7_scaled_sketch")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scaled_sketch.neighbours_compared(raw_table(spark, sf_dir, "documents"))
