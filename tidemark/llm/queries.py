@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, line_join, order_minhash, packing, ppm, scaled_sketch, secret_scan
+from tidemark.llm import language_id, line_join, metric_join, order_minhash, packing, ppm, scaled_sketch, secret_scan
 from tidemark.plans.tables import raw_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_scaled_sketch")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scaled_sketch.neighbours_compared(raw_table(spark, sf_dir, "documents"))
+
+
+@query("op6_metric_range_join")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.near_vectors(raw_table(spark, sf_dir, "embeddings"))
