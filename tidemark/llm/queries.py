@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, line_join, metric_join, order_minhash, packing, ppm, scaled_sketch, secret_scan
+from tidemark.llm import language_id, line_join, metric_join, order_minhash, packing, pii_surrogates, ppm, scaled_sketch, secret_scan
 from tidemark.plans.tables import raw_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
+#: The queries show the operator with a fixed key; a user brings a secret one.
+SURROGATE_KEY = "tidemark"
+
 
 def tokenizer_path(name: str) -> str:
     """Where the installed package of public tokenizer files keeps one; the same on every executor."""
@@ -84,3 +87,10 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_metric_range_join")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_join.near_vectors(raw_table(spark, sf_dir, "embeddings"))
+
+
+@query("op1_pii_surrogates")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = raw_table(spark, sf_dir, "documents").select("doc_id", "text")
+    replaced = pii_surrogates.replace_entities(docs, SURROGATE_KEY)
+    return replaced.select("doc_id", F.col("__mentions").alias("n_mentions"), "text")
