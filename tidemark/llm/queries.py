@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, line_join, metric_join, order_minhash, packing, pii_surrogates, ppm, scaled_sketch, secret_scan
+from tidemark.llm import language_id, lattice, line_join, metric_join, order_minhash, packing, pii_surrogates, ppm, scaled_sketch, secret_scan
 from tidemark.plans.tables import raw_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = raw_table(spark, sf_dir, "documents").select("doc_id", "text")
     replaced = pii_surrogates.replace_entities(docs, SURROGATE_KEY)
     return replaced.select("doc_id", F.col("__mentions").alias("n_mentions"), "text")
+
+
+@query("op8_piece_lattice")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = lattice.load(tokenizer_path("piece_bpe_32k.model"))
+    return lattice.encode(raw_table(spark, sf_dir, "documents"), vocabulary)
