@@ -21,6 +21,7 @@ from tidemark.llm.components import components
 from tidemark.session import settled
 
 _NONE = np.uint64(2**64 - 1)
+PARITY_BITS = 512
 
 
 def _labelled(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
@@ -113,10 +114,23 @@ def aligned(a: np.ndarray, b: np.ndarray, most: int) -> bool:
     return distance <= most
 
 
+def parities(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For every text, which of PARITY_BITS classes of words it holds an odd number of, as 64-bit numbers.
+
+    One edit of a word changes at most two classes, so texts that differ in more
+    than 2 d classes are more than d edits apart.
+    """
+    n = len(offsets) - 1
+    text = np.repeat(np.arange(n), np.diff(offsets))
+    place = text * PARITY_BITS + (words % np.uint64(PARITY_BITS)).astype(np.int64)
+    odd = (np.bincount(place, minlength=n * PARITY_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(n, PARITY_BITS // 64)
+
+
 def document_sketches(
     docs: DataFrame, shingle: int = 5, count: int = 24, take: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, words, same_a, same_b, keys): two hashes of the whole text's words, and its sketch keys."""
+    """(id, words, same_a, same_b, keys, odd): two hashes of the whole text's words, its sketch keys and parities."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", 1_000_000):
@@ -128,14 +142,17 @@ def document_sketches(
                 np.cumsum(mix(words + mix(place, 21 + k), 23 + k), out=sums[k, 1:])
             whole = sums[:, at[1:]] - sums[:, at[:-1]]
             keys = sketches(hashes, offsets, count, take)
-            flat = pa.array(keys.view(np.int64).ravel())
+            lists = [
+                pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.int64()))
+                for x in (keys.view(np.int64), parities(words, at))
+            ]
             yield pa.record_batch({
                 "id": batch.column(0), "words": np.diff(at), "same_a": whole[0].view(np.int64),
-                "same_b": whole[1].view(np.int64), "keys": pa.FixedSizeListArray.from_arrays(flat, count).cast(pa.list_(pa.int64())),
+                "same_b": whole[1].view(np.int64), "keys": lists[0], "odd": lists[1],
             })
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(sketch, "id long, words long, same_a long, same_b long, keys array<long>")
+    return rows.mapInArrow(sketch, "id long, words long, same_a long, same_b long, keys array<long>, odd array<long>")
 
 
 def _word_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -190,7 +207,7 @@ def near_duplicates(
     one_each = document_sketches(docs, shingle, count, take, id_col, text_col)
     signed = settled(one_each.where("id IS NOT NULL AND words > 0"))
     groups = signed.groupBy("same_a", "same_b", "words").agg(F.min("id").alias("rep"))
-    grouped = settled(signed.join(groups, ["same_a", "same_b", "words"]).select("id", "rep", "keys"))
+    grouped = settled(signed.join(groups, ["same_a", "same_b", "words"]).select("id", "rep", "words", "odd", "keys"))
     member = grouped.where("id != rep").select("id", "rep")
     rows = grouped.where("id = rep").select("id", F.explode("keys").alias("key")).distinct()
     buckets = rows.groupBy("key").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -198,19 +215,24 @@ def near_duplicates(
     words = _word_rows(docs, id_col, text_col)
     first = shared.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     links = settled(_verified(first, words, similarity))
-    # Members of a bucket that differ from its smallest document are compared with the other members.
+    # Members of a bucket that differ from its smallest document are compared with the other members, unless a common
+    # pivot links them already, or length or parities rule the pair out.
     failed = shared.join(
         links.select(F.col("a").alias("pivot"), F.col("b").alias("id")), ["pivot", "id"], "left_anti"
-    ).select("key", F.col("id").alias("x"))
-    label = components(links)
-    others = shared.select("key", F.col("id").alias("y"))
+    ).select("key", "id")
+    label = links.groupBy("b").agg(F.min("a").alias("label")).withColumnRenamed("b", "id")
+    traits = grouped.where("id = rep").select("id", "words", "odd").join(label, "id", "left")
+    open_keys = failed.select("key").distinct()
+    x = failed.join(traits, "id").alias("x")
+    y = shared.join(open_keys, "key", "left_semi").select("key", "id").join(traits, "id").alias("y")
+    most = f"floor({1 - similarity} * greatest(x.words, y.words) + 1e-9)"
+    differ = " + ".join(f"bit_count(x.odd[{i}] ^ y.odd[{i}])" for i in range(PARITY_BITS // 64))
     rest = (
-        failed.join(others, "key").where("x != y")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        x.join(y, F.col("x.key") == F.col("y.key"))
+        .where(f"x.id != y.id AND abs(x.words - y.words) <= {most} AND {differ} <= 2 * {most}")
+        .where("coalesce(x.label, x.id) != coalesce(y.label, y.id)")
+        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     )
-    for end in ("a", "b"):
-        rest = rest.join(label.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
-    rest = rest.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
     more = _verified(rest, words, similarity)
     whole = components(
         links.unionAll(more).unionAll(member.select(F.col("rep").alias("a"), F.col("id").alias("b")))
