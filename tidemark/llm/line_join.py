@@ -17,9 +17,14 @@ from tidemark.session import settled
 _HASH_BITS = 48
 
 
+def _split(text: str) -> str:
+    """SQL for a text cut at every white space; empty words where several follow each other."""
+    return f"split(translate({text}, '\\t\\r\\u000c\\u000b', '    '), ' ')"
+
+
 def _words(line: str) -> str:
-    """SQL for the distinct words of a line: what lies between white space."""
-    return f"array_distinct(filter(split({line}, '\\\\s+'), w -> w != ''))"
+    """SQL for the distinct words of a line."""
+    return f"array_distinct(array_remove({_split(line)}, ''))"
 
 
 def _array_literal(values: list[int]) -> str:
@@ -33,48 +38,60 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
-def word_ranks(docs: DataFrame, text_col: str = "text", cells: int = 8192) -> list[int]:
-    """The place of each of ``cells`` hash cells when ordered by how many words of the corpus fall into it.
+def word_ranks(docs: DataFrame, text_col: str = "text", cells: int = 1 << 17) -> list[int]:
+    """For each of ``cells`` hash cells, how often words of the corpus fall into it, as steps of a fourth of a power of two.
 
-    All words of all texts are counted. The order of words by (place of the
-    cell, hash) is the rarity order of the join: frequent words come last, and
-    any consistent order gives exact results. The list has a fixed length.
+    All words of all texts are counted. The order of words by (step of the cell,
+    hash) is the rarity order of the join: frequent words come last, and any
+    consistent order gives exact results. The list has a fixed length.
     """
-    words = docs.select(F.explode(F.split(text_col, "\\s+")).alias("w"))
-    counts = words.groupBy(F.expr(f"xxhash64(w) & {cells - 1}").alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-    found = {r["cell"]: r["n"] for r in counts.collect()}
-    ordered = sorted(range(cells), key=lambda c: (found.get(c, 0), c))
+    words = docs.select(F.explode(F.split(F.translate(text_col, "\n", " "), " ")).alias("w"))
+    counts = words.groupBy(F.expr(f"cast(xxhash64(w) & {cells - 1} as int)").alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    steps = counts.select("cell", F.expr("cast(4 * log2(n) as int)").alias("step")).toPandas()
     ranks = [0] * cells
-    for rank, cell in enumerate(ordered):
-        ranks[cell] = rank
+    for cell, step in zip(steps["cell"].tolist(), steps["step"].tolist()):
+        ranks[cell] = step
     return ranks
 
 
 def line_sets(docs: DataFrame, threshold: float, ranks: list[int], id_col: str, text_col: str) -> DataFrame:
-    """(id, pos, n, prefix): the first line with each word set, its number of words and prefix word hashes.
+    """(id, pos, n, odd, prefix): the first line with each word set, its number of words, parities and prefix word hashes.
 
-    Lines without words are left out. Repeated sets are merged in each task
+    ``odd`` tells for 64 classes of words whether the set holds an odd number of
+    them. Lines without words are left out. Repeated sets are merged in each task
     before the shuffle, so a line that fills a third of the corpus is few rows.
     """
-    hashes = f"transform({_words('line')}, w -> xxhash64(w))"
+    hashes = f"array_distinct(array_remove(transform({_split('line')}, w -> xxhash64(w)), xxhash64('')))"
     rank = f"coalesce(element_at({_array_literal(ranks)}, cast(h & {len(ranks) - 1} as int) + 1), 0)"
     keys = f"sort_array(transform({hashes}, h -> shiftleft(cast({rank} as bigint), {_HASH_BITS}) | (h & {2**_HASH_BITS - 1})))"
     keyed = _lines(docs, id_col, text_col).select("id", "pos", F.expr(keys).alias("keys")).where("size(keys) > 0")
     prefix = f"slice(keys, 1, size(keys) - cast(ceil({threshold} * size(keys) - 1e-9) as int) + 1)"
-    rows = keyed.select(
-        F.expr("xxhash64(keys)").alias("sa"), F.expr("xxhash64(keys, 1)").alias("sb"),
-        F.struct("id", "pos", F.size("keys").alias("n"), F.expr(f"transform({prefix}, k -> hash(k))").alias("prefix")).alias("r"),
+    odd = "aggregate(keys, 0L, (a, k) -> a ^ shiftleft(1L, cast(shiftright(k, 20) & 63 as int)))"
+    first = F.struct(
+        "id", "pos", F.size("keys").alias("n"), F.expr(odd).alias("odd"), F.expr(f"transform({prefix}, k -> hash(k))").alias("prefix")
     )
+    rows = keyed.select(F.expr("xxhash64(keys)").alias("sa"), F.expr("xxhash64(keys, 1)").alias("sb"), first.alias("r"))
     return rows.groupBy("sa", "sb").agg(F.min("r").alias("r")).select("r.*")
 
 
-def _compatible(a: str, b: str, threshold: float) -> Column:
-    """Length and position filters for rows (n, i) of two sets that share the word at places i."""
-    need = f"ceil({threshold / (1 + threshold)} * ({a}.n + {b}.n) - 1e-9)"
-    return F.expr(
-        f"{a}.n >= {threshold} * {b}.n - 1e-9 AND {b}.n >= {threshold} * {a}.n - 1e-9 "
-        f"AND least({a}.n - {a}.i, {b}.n - {b}.i) >= {need}"
-    )
+def _partners(x: DataFrame, y: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of rows (k, id, pos, i, n, odd) that share the word hash k, x earlier, and pass all filters.
+
+    Length: the smaller set has at least ``threshold`` of the larger's words.
+    Position: what follows the shared word leaves room for the overlap.
+    Parity: sets that differ in more classes than in allowed words are too far
+    apart. ``n`` of a y that needs no partner is negative; the test for that
+    names both sides, so that both read the same shuffle.
+    """
+    most = f"floor({(1 - threshold) / (1 + threshold)} * (abs(x.n) + abs(y.n)) + 1e-9)"
+    need = f"ceil({threshold / (1 + threshold)} * (abs(x.n) + abs(y.n)) - 1e-9)"
+    return x.alias("x").join(y.alias("y"), F.col("x.k") == F.col("y.k")).where(
+        f"(x.id < y.id OR (x.id = y.id AND x.pos < y.pos)) AND bit_count(x.odd ^ y.odd) <= {most} "
+        f"AND if(y.n > 0, abs(x.n), 0) >= {threshold} * abs(y.n) - 1e-9 AND abs(y.n) >= {threshold} * abs(x.n) - 1e-9 "
+        f"AND least(abs(x.n) - x.i, abs(y.n) - y.i) >= {need}"
+    ).select(
+        F.col("x.id").alias("x_id"), F.col("x.pos").alias("x_pos"), F.col("y.id").alias("y_id"), F.col("y.pos").alias("y_pos")
+    ).distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, threshold: float, id_col: str, text_col: str, most_broadcast: int) -> DataFrame:
@@ -112,41 +129,27 @@ def kept_lines(
     are sent to the scan that fetches the lines; beyond, the texts are shuffled.
     """
     sets = settled(line_sets(docs, threshold, word_ranks(docs, text_col), id_col, text_col))
-    entries = sets.select("id", "pos", "n", F.posexplode("prefix").alias("i", "k"))
+    entries = sets.select("id", "pos", "n", "odd", F.posexplode("prefix").alias("i", "k"))
     cells = 1 << 16
-    cell = F.expr(f"k & {cells - 1}")
-    counts = entries.groupBy(cell.alias("c")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot).collect()
+    counts = entries.groupBy(F.expr(f"k & {cells - 1}").alias("c")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot).collect()
     decided = None
     if counts:
         busy = {r["c"] for r in counts}
         marks = _array_literal([int(c in busy) for c in range(cells)])
         rows = entries.where(F.expr(f"element_at({marks}, (k & {cells - 1}) + 1) = 1"))
-        pivots = rows.groupBy("k").agg(F.min(F.struct("id", "pos", "n", "i")).alias("p")).select("k", "p.*")
-        first = (
-            pivots.alias("x").join(rows.alias("y"), F.col("x.k") == F.col("y.k"))
-            .where("struct(x.id, x.pos) < struct(y.id, y.pos)").where(_compatible("x", "y", threshold))
-        )
-        decided = settled(_verified(settled(_pairs(first)), docs, threshold, id_col, text_col, most_broadcast))
+        pivots = rows.groupBy("k").agg(F.min(F.struct("id", "pos", "n", "odd", "i")).alias("p")).select("k", "p.*")
+        first = settled(_partners(pivots, rows, threshold))
+        decided = settled(_verified(first, docs, threshold, id_col, text_col, most_broadcast))
         marked = sets.join(decided.withColumn("done", F.lit(True)), ["id", "pos"], "left")
-        entries = marked.select("id", "pos", "n", F.col("done").isNull().alias("open"), F.posexplode("prefix").alias("i", "k"))
-    else:
-        entries = entries.withColumn("open", F.lit(True))
-    full = (
-        entries.alias("x").join(entries.alias("y"), F.col("x.k") == F.col("y.k"))
-        .where("y.open AND struct(x.id, x.pos) < struct(y.id, y.pos)").where(_compatible("x", "y", threshold))
-    )
-    gone = _verified(settled(_pairs(full)), docs, threshold, id_col, text_col, most_broadcast)
+        signed = F.when(F.col("done").isNull(), F.col("n")).otherwise(-F.col("n")).alias("n")
+        entries = marked.select("id", "pos", signed, "odd", F.posexplode("prefix").alias("i", "k"))
+    pairs = settled(_partners(entries, entries, threshold))
+    gone = _verified(pairs, docs, threshold, id_col, text_col, most_broadcast)
     if decided is not None:
         gone = gone.unionAll(decided).distinct()
     return sets.select("id", "pos").join(gone, ["id", "pos"], "left_anti")
 
 
-def _pairs(joined: DataFrame) -> DataFrame:
-    return joined.select(
-        F.col("x.id").alias("x_id"), F.col("x.pos").alias("x_pos"), F.col("y.id").alias("y_id"), F.col("y.pos").alias("y_pos")
-    ).distinct()
-
-
 def dedup_lines(
     docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
@@ -163,7 +166,8 @@ def dedup_lines(
     lines = docs.join(by_doc, F.col(id_col) == F.col("__id"), "left").withColumn(
         "__split", F.when(F.col(id_col).isNotNull(), F.split(text_col, "\n"))
     )
-    keep = "filter(__split, (l, i) -> trim(BOTH ' \\t\\r\\f' FROM l) = '' OR array_contains(coalesce(__kept, array()), i))"
+    blank = "trim(translate(l, '\\t\\r\\u000c\\u000b', '    ')) = ''"
+    keep = f"filter(__split, (l, i) -> array_contains(coalesce(__kept, array()), i) OR {blank})"
     lines = lines.withColumn("__left", F.expr(keep))
     cleaned = F.when(F.col("__split").isNull(), F.col(text_col)).otherwise(F.array_join("__left", "\n"))
     return lines.select(
