@@ -21,7 +21,7 @@ def brute(docs, t=0.8):
 
 def corpus():
     rng = random.Random(2)
-    vocabulary = ["w%d" % int(rng.paretovariate(0.7)) for _ in range(3000)]
+    vocabulary = ["fw%d" % int(rng.paretovariate(0.7)) for _ in range(3000)]
     lines = [[rng.choice(vocabulary) for _ in range(rng.randint(1, 25))] for _ in range(150)]
     docs = []
     for i in range(60):
@@ -31,7 +31,7 @@ def corpus():
             if rng.random() < 0.5 and line:
                 line[rng.randrange(len(line))] = rng.choice(vocabulary)
             rng.shuffle(line)
-            own.append(" ".join(line))
+            own.append(rng.choice([" ", "  ", "\t", " \r", "\x0b\x0c"]).join(line) + rng.choice(["", " "]))
         docs.append((i, "\n".join(own)))
     return docs
 
