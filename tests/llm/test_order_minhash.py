@@ -42,9 +42,10 @@ def corpus():
 def test_groups_equal_brute_force(make):
     texts = corpus()
     ids = sorted(texts)
+    shingles = {i: [tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))] for i, w in ((i, t.split()) for i, t in texts.items())}
     label = {i: i for i in ids}
     links = [(a, b) for a in ids for b in ids if a < b and
-             edit_distance(texts[a].split(), texts[b].split()) <= 0.2 * max(len(texts[a].split()), len(texts[b].split()))]
+             edit_distance(shingles[a], shingles[b]) <= 0.2 * max(len(shingles[a]), len(shingles[b]))]
     for _ in ids:
         for a, b in links:
             label[a] = label[b] = min(label[a], label[b])
@@ -53,6 +54,15 @@ def test_groups_equal_brute_force(make):
     assert all(r["kept"] == (r["doc_id"] == r["class_id"]) for r in got)
 
 
+def test_parities_bound_the_distance():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        a, b = rng.integers(0, 30, rng.integers(0, 40)).astype(np.uint64) << np.uint64(20), rng.integers(0, 30, rng.integers(0, 40)).astype(np.uint64) << np.uint64(20)
+        odd = order_minhash.parities(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+        classes = sum(int(x ^ y).bit_count() for x, y in zip(odd[0].view(np.uint64), odd[1].view(np.uint64)))
+        assert classes + abs(len(a) - len(b)) <= 2 * edit_distance(a.tolist(), b.tolist())
+
+
 def test_edges(make):
     long = "word and another one here " * 4000
     rows = [(1, None), (2, ""), (3, "  "), (4, "a b"), (5, "a b"), (6, "A b"), (7, long), (8, long + "end"), (9, "a c"), (9, "a c"), (None, "a b")]
