@@ -25,8 +25,9 @@ _NONE = np.uint64(2**64 - 1)
 PARITY_BITS = 2048
 
 
-def _labelled(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
+def labelled(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Hashes told apart by how often the same shingle has come before in the text."""
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     key = mix(hashes + mix(text.astype(np.uint64), 3))
     order = np.argsort(key, kind="stable")
     ranked = key[order]
@@ -38,8 +39,8 @@ def _labelled(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
     return mix(hashes + nth * np.uint64(0xA24BAED4963EE407), 7)
 
 
-def sketches(hashes: np.ndarray, offsets: np.ndarray, count: int, take: int) -> np.ndarray:
-    """``count`` sketch keys of every text; texts without shingles have zeros."""
+def sketches(labels: np.ndarray, offsets: np.ndarray, count: int, take: int) -> np.ndarray:
+    """``count`` sketch keys of every text from its labelled shingles; texts without shingles have zeros."""
     n = len(offsets) - 1
     out = np.zeros((n, count), dtype=np.uint64)
     filled = np.flatnonzero(offsets[1:] > offsets[:-1])
@@ -47,7 +48,6 @@ def sketches(hashes: np.ndarray, offsets: np.ndarray, count: int, take: int) ->
         return out
     starts = offsets[filled]
     sizes = np.diff(np.append(starts, offsets[-1]))
-    labels = _labelled(hashes, np.repeat(np.arange(len(filled)), sizes))
     for f in range(count):
         ranks = labels * np.uint64((0x9FB21C651E98DF25 + 0x2545F4914F6CDD1E * f) % 2**64 | 1)  # odd, so distinct stay distinct
         ranks ^= ranks >> np.uint64(32)
@@ -115,15 +115,15 @@ def aligned(a: np.ndarray, b: np.ndarray, most: int) -> bool:
     return distance <= most
 
 
-def parities(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """For every text, which of PARITY_BITS classes of shingles it holds an odd number of, as 64-bit numbers.
+def parities(labels: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For every text, which of PARITY_BITS classes of labelled shingles it holds an odd number of, as 64-bit numbers.
 
     Texts of m and n shingles that differ in c classes have at least
     (c + |m - n|) / 2 shingles to put in, take out or replace.
     """
     n = len(offsets) - 1
     text = np.repeat(np.arange(n), np.diff(offsets))
-    place = text * PARITY_BITS + (hashes >> np.uint64(20)).astype(np.int64) % PARITY_BITS
+    place = text * PARITY_BITS + (labels >> np.uint64(20)).astype(np.int64) % PARITY_BITS
     odd = (np.bincount(place, minlength=n * PARITY_BITS) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64).reshape(n, PARITY_BITS // 64)
 
@@ -137,15 +137,16 @@ def document_sketches(
         for batch in sliced(batches, "text", 1_000_000):
             words, at = word_hashes(*text_bytes(batch.column(1)))
             hashes, offsets = shingle_hashes(words, at, shingle)
+            labels = labelled(hashes, offsets)
             place = (np.arange(len(words)) - np.repeat(at[:-1], np.diff(at))).astype(np.uint64)
             sums = np.zeros((2, len(words) + 1), dtype=np.uint64)
             for k in range(2):
                 np.cumsum(mix(words + mix(place, 21 + k), 23 + k), out=sums[k, 1:])
             whole = sums[:, at[1:]] - sums[:, at[:-1]]
-            keys = sketches(hashes, offsets, count, take)
+            keys = sketches(labels, offsets, count, take)
             lists = [
                 pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.int64()))
-                for x in (keys.view(np.int64), parities(hashes, offsets))
+                for x in (keys.view(np.int64), parities(labels, offsets))
             ]
             yield pa.record_batch({
                 "id": batch.column(0), "words": np.diff(at), "same_a": whole[0].view(np.int64),
@@ -226,7 +227,7 @@ def near_duplicates(
     ).select("key", "id")
     label = links.groupBy("b").agg(F.min("a").alias("label")).withColumnRenamed("b", "id")
     length = F.greatest(F.col("words") - (shingle - 1), F.lit(1)).alias("n")
-    traits = grouped.where("id = rep").select("id", length, "odd").join(label, "id", "left")
+    traits = grouped.where("id = rep").select("id", length, "odd", "keys").join(label, "id", "left")
     open_keys = failed.select("key").distinct()
     x = failed.join(traits, "id").alias("x")
     y = shared.join(open_keys, "key", "left_semi").select("key", "id").join(traits, "id").alias("y")
@@ -236,6 +237,7 @@ def near_duplicates(
         x.join(y, F.col("x.key") == F.col("y.key"))
         .where(f"x.id != y.id AND abs(x.n - y.n) <= {most} AND {differ} + abs(x.n - y.n) <= 2 * {most}")
         .where("coalesce(x.label, x.id) != coalesce(y.label, y.id)")
+        .where("x.key = array_min(array_intersect(x.keys, y.keys))")  # once, however many keys they share
         .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     )
     more = _verified(rest, sequences, similarity)
