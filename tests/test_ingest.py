@@ -1,14 +1,19 @@
 """Raw reading, type inference and typed load on rows written by hand."""
 
 import csv
-from pathlib import Path
+import random
+from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.text_values import value_class
 from tidemark.operators import inference
 from tidemark.sources import loader
 from tidemark.sources.csv_tables import has_broken_lines, read_raw_csv
+from tidemark.sources.storage import clear_leftovers, current_loads, read_table
+
 
 def write_csv(path, rows):
     with open(path, "w", newline="", encoding="utf-8") as f:
@@ -55,7 +60,7 @@ def test_column_types(spark):
     types = {r["column"]: r for r in inference.infer_column_types(raw).collect()}
     assert {c: r["type"] for c, r in types.items()} == {c: t for c, (_, t) in columns.items()}
     assert types["mixed_number"]["spark_type"] == "decimal(18,2)"
-    assert types["special"]["spark_type"] == "double"
+    assert types["special"]["spark_type"] == "decimal(18,2)"
     example = inference.code_examples({"t": raw}).collect()
     assert {(r["column"], r["sample_code"]) for r in example} == {("one_code", "012"), ("day_first", "05/01/2024")}
 
@@ -65,18 +70,168 @@ def test_types_of_an_empty_table(spark):
     assert [r["type"] for r in inference.infer_column_types(raw).orderBy("pos").collect()] == ["TEXT", "TEXT"]
 
 
-def test_ddl_of_code_columns(spark, tmp_path):
-    rows = [
-        ["id", "tax_number", "phone", "postcode", "hired", "left_at", "is_active", "rate", "note"],
-        ["1", "42679135105", "06100715800", "64771-158", "2022-03-04", "", "TRUE", "7", ""],
-        ["2", "91124322450", "5507186332343", "26799096", "2025-02-19", "2025-07-10 08:24:02", "FALSE", "7.25", ""],
-        ["3", "", "", "", "", "", "", "", ""],
-    ]
-    raw = read_raw_csv(spark, write_csv(tmp_path / "staff.csv", rows))
-    ddl = inference.ddl_for(inference.infer_folder_types({"staff": raw})).first()
-    types = ["INTEGER PRIMARY KEY", "BIGINT", "TEXT", "TEXT", "TIMESTAMP", "TIMESTAMP", "BOOLEAN", "NUMERIC", "TEXT"]
-    lines = ",\n".join(f"    {c} {t}" for c, t in zip(rows[0], types))
-    assert (ddl["table"], ddl["ddl"], ddl["n_columns"]) == ("staff", f"CREATE TABLE staff (\n{lines}\n);", 9)
+# Invented rows, one table per kind of trap; the types are written down by hand.
+TRAPS = {
+    "people": {
+        "id": (["1", "2", "3"], "INTEGER PRIMARY KEY"),
+        "tax_no": (["31415926535", "27182818284", ""], "BIGINT"),
+        "badge": (["0042", "1042", "2042"], "TEXT"),
+        "mobile": (["03098765432", "4930123456789", ""], "TEXT"),
+        "zip": (["12345-678", "87654321", "10203-040"], "TEXT"),
+        "born": (["1999-12-31", "2000-1-1", ""], "TIMESTAMP"),
+        "left_at": (["", "2021-03-04 05:06:07", ""], "TIMESTAMP"),
+        "day_first": (["15/1/2024", "31/12/2023", ""], "TIMESTAMP"),
+        "day_first_zero": (["05/01/2024", "31/12/2023", ""], "TEXT"),
+        "active": (["TRUE", "false", ""], "BOOLEAN"),
+        "note": (["", "", ""], "TEXT"),
+    },
+    "amounts": {
+        "Id": (["10", "11", "12"], "INTEGER PRIMARY KEY"),
+        "rate": (["7", "7.25", ""], "NUMERIC"),
+        "price": (["1e2", "12.5", "3E-2"], "NUMERIC"),
+        "grouped": (["1_000", "+5", " 12 "], "INTEGER"),
+        "large": (["2147483648", "-1", "0"], "BIGINT"),
+        "longest": (["999999999999999", "1", ""], "BIGINT"),
+        "sixteen": (["1234567890123456", "1", ""], "TEXT"),
+        "missing": (["nan", "1.5", ""], "NUMERIC"),
+        "zero": (["0", "0.5", "0"], "NUMERIC"),
+    },
+    "oddities": {
+        "key": (["a", "b", "c"], "TEXT"),
+        "hexadecimal": (["0x1p3", "1", ""], "TEXT"),
+        "suffix": (["1d", "2", ""], "TEXT"),
+        "twice": (["1__0", "1", ""], "TEXT"),
+        "short_year": (["24-1-5", "2024-1-5", ""], "TEXT"),
+        "no_day": (["2024-02-30", "2024-02-28", ""], "TEXT"),
+        "blank": ([" ", "1", ""], "TEXT"),
+        "mixed_flag": (["true", "1", ""], "TEXT"),
+        "fraction": (["1_0.5", ".5", "1."], "NUMERIC"),
+    },
+}
+
+
+def test_ddl_of_traps(spark, tmp_path):
+    raw = {}
+    for table, columns in TRAPS.items():
+        rows = [list(columns)] + [[cells[i] for cells, _ in columns.values()] for i in range(3)]
+        raw[table] = read_raw_csv(spark, write_csv(tmp_path / f"{table}.csv", rows))
+    ddl = inference.ddl_for(inference.infer_folder_types(raw), loader.row_counts(raw))
+    for r in ddl.collect():
+        columns = TRAPS[r["table"]]
+        lines = ",\n".join(f"    {c} {t}" for c, (_, t) in columns.items())
+        assert (r["ddl"], r["n_columns"], r["n_rows"]) == (f"CREATE TABLE {r['table']} (\n{lines}\n);", len(columns), 3)
+    assert ddl.count() == len(TRAPS)
+
+
+def python_class(v):
+    """The rules in plain Python, as a loader would try them."""
+    if (len(v) > 1 and v[0] == "0" and v[1].isdigit()) or (len(v) > 15 and accepts(int, v)):
+        return "code"
+    if v.upper() in ("TRUE", "FALSE"):
+        return "boolean"
+    if accepts(int, v):
+        return "integer"
+    if accepts(float, v):
+        return "number"
+    forms = ["%Y-%m-%d", "%d/%m/%Y"]
+    return "date" if any(accepts(lambda x: datetime.strptime(x, f), v) for d in forms for f in (d, f"{d} %H:%M:%S")) else "text"
+
+
+def accepts(parse, v):
+    try:
+        parse(v)
+    except ValueError:
+        return False
+    return True
+
+
+def test_classes_are_those_of_python(spark):
+    cells = {c for columns in TRAPS.values() for values, _ in columns.values() for c in values if c}
+    rng = random.Random(3)
+    for c in sorted(cells):
+        for _ in range(12):
+            i = rng.randrange(len(c) + 1)
+            cells.add(c[:i] + rng.choice("0159_+-. /:eE") + c[i + rng.randint(0, 1) :])
+    cells -= {""}
+    rows = spark.createDataFrame([(c,) for c in sorted(cells)], "v string").select("v", value_class(F.col("v")).alias("kind"))
+    wrong = {r.v: (r.kind, python_class(r.v)) for r in rows.collect() if r.kind != python_class(r.v)}
+    assert not wrong
+
+
+def test_exact_numbers(spark, tmp_path):
+    long = "1234567890123456789012345678901234567.1234"
+    path = write_csv(tmp_path / "n.csv", [["id", "wide", "price", "far"], ["1", long, "1e2", "1e400"], ["2", "1.5", "0.05", "2.5"]])
+    types = inference.infer_column_types(read_raw_csv(spark, path))
+    found = {r["column"]: (r["type"], r["spark_type"]) for r in types.collect()}
+    assert found == {"id": ("INTEGER", "int"), "wide": ("NUMERIC", "string"), "price": ("NUMERIC", "decimal(18,2)"), "far": ("NUMERIC", "string")}
+    folder, dest = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    write_csv(folder / "n.csv", [["id", "wide", "price", "far"], ["1", long, "1e2", "1e400"], ["2", "1.5", "0.05", "2.5"]])
+    result = loader.load_folder(spark, str(folder), dest)[0]
+    assert (result.status, result.error) == ("loaded", "kept as text, more than 38 digits: far, wide")
+    rows = read_table(spark, f"{dest}/n").orderBy("id").collect()
+    assert [(r.wide, str(r.price)) for r in rows] == [(long, "100.00"), ("1.5", "0.05")]
+
+
+@pytest.mark.parametrize("cell", ["1 2", "__5", "4_", "1.5", "5 _ 5", "1e2", "x", "2147483648"])
+def test_cells_that_are_no_integer_fail(spark, tmp_path, cell):
+    path = write_csv(tmp_path / "t.csv", [["id"], ["7"], [cell]])
+    schema = T.StructType([T.StructField("id", T.IntegerType())])
+    with pytest.raises(Exception, match="not int"):
+        loader.load_table(spark, path, schema, str(tmp_path / "t"))
+    assert not current_loads(spark, str(tmp_path / "t"))
+
+
+def test_decimal_cells_are_not_rounded(spark, tmp_path):
+    schema = T.StructType([T.StructField("p", T.DecimalType(10, 2))])
+    path = write_csv(tmp_path / "t.csv", [["p"], ["1.234"]])
+    with pytest.raises(Exception, match="not decimal"):
+        loader.load_table(spark, path, schema, str(tmp_path / "t"))
+    path = write_csv(tmp_path / "u.csv", [["p"], ["1_0.500"]])
+    loader.load_table(spark, path, schema, str(tmp_path / "u"))
+    assert str(read_table(spark, str(tmp_path / "u")).first().p) == "10.50"
+
+
+def test_append_and_fixed_types(spark, tmp_path):
+    folder, dest = tmp_path / "csv", str(tmp_path / "tables")
+    folder.mkdir()
+
+    def load(rows, **options):
+        write_csv(folder / "t.csv", rows)
+        return loader.load_folder(spark, str(folder), dest, mode="append", **options)[0]
+
+    rows = lambda: sorted(tuple(r) for r in read_table(spark, f"{dest}/t").collect())
+    assert load([["id", "b"], ["1", "2"]]).status == "loaded"
+    assert "already in the table" in load([["id", "b"], ["2", "3"], ["1", "2"]]).error
+    assert load([["id", "b"], ["3", "x7"]]).status == "failed"
+    assert "columns" in load([["id", "b", "c"], ["3", "4", "5"]]).error
+    assert load([["b", "id"], ["4", "3"]]).status == "loaded" and rows() == [(1, 2), (3, 4)]
+    assert "unknown table" in load([["id", "b"], ["9", "9"]], schemas={}).error
+    assert rows() == [(1, 2), (3, 4)] and clear_leftovers(spark, f"{dest}/t") == 0
+
+
+def test_load_cut_off_leaves_the_table(spark, tmp_path, monkeypatch):
+    dest = str(tmp_path / "t")
+    schema = T.StructType([T.StructField("id", T.IntegerType())])
+    loader.load_table(spark, write_csv(tmp_path / "a.csv", [["id"], ["1"]]), schema, dest)
+
+    class Cut(BaseException):
+        """A stop that no handler sees, as when the driver dies."""
+
+    def stop(*_):
+        raise Cut
+
+    with monkeypatch.context() as m:
+        m.setattr(loader, "point_to", stop)
+        with pytest.raises(Cut):
+            loader.load_table(spark, write_csv(tmp_path / "b.csv", [["id"], ["2"]]), schema, dest)
+    assert [r.id for r in read_table(spark, dest).collect()] == [1]
+    with pytest.raises(Exception):
+        loader.load_table(spark, write_csv(tmp_path / "c.csv", [["id"], ["x"]]), schema, dest)
+    assert [r.id for r in read_table(spark, dest).collect()] == [1]
+    assert clear_leftovers(spark, dest) == 1
+    loader.load_table(spark, write_csv(tmp_path / "b.csv", [["id"], ["2"]]), schema, dest)
+    assert [r.id for r in read_table(spark, dest).collect()] == [2]
 
 
 def test_csv_quoting(spark, tmp_path):
@@ -114,7 +269,7 @@ def test_load_folder(spark, tmp_path):
     summary = loader.load_summary(loader.load_audit(spark, results)).first()
     assert tuple(summary) == (4, 3, "missing, ragged, repeated")
 
-    good = spark.read.parquet(f"{dest}/good")
+    good = read_table(spark, f"{dest}/good")
     assert good.dtypes == [
         ("id", "int"), ("total", "decimal(18,2)"), ("flag", "boolean"), ("at", "timestamp_ntz"),
         ("code", "string"), ("note", "string"),
@@ -124,19 +279,18 @@ def test_load_folder(spark, tmp_path):
     ]
 
     # A table that fails later keeps its old rows; a cell that does not fit its type is a failure.
-    write_csv(folder / "good.csv", [["id", "total"], ["1", "x"]])
-    schema = spark.read.parquet(f"{dest}/good").select("id", "total").schema
-    failed = loader.load_folder(spark, str(folder), dest, schemas={"good": schema}, tables=["good"])
-    assert failed[0].status == "failed"
-    assert spark.read.parquet(f"{dest}/good").count() == 2
+    write_csv(folder / "good.csv", [good.columns, ["1", "x", "", "", "", ""]])
+    failed = loader.load_folder(spark, str(folder), dest, tables=["good"])
+    assert failed[0].status == "failed" and "not decimal" in failed[0].error
+    assert read_table(spark, f"{dest}/good").count() == 2
 
     # Append adds the rows once more each time.
     loader.load_folder(spark, str(folder), dest, mode="append", tables=["links"])
-    assert spark.read.parquet(f"{dest}/links").count() == 4
+    assert read_table(spark, f"{dest}/links").count() == 4
     assert loader.reconciliation_total(
-        {"a": spark.read.parquet(f"{dest}/links"), "b": good}
+        {"a": read_table(spark, f"{dest}/links"), "b": good}
     ).first()[0] == 6
-    assert not list(Path(dest).glob("*__*"))
+    assert clear_leftovers(spark, f"{dest}/good") == 1
 
 
 def test_write_ddl(spark, tmp_path):

@@ -288,6 +288,33 @@ def test_state_reports(spark, shop):
     assert tuple(lead) == (1, 3, False)
 
 
+def test_means_are_rounded_once(spark):
+    # 20 001 orders of 1.00 or 1.01 with a true mean of 1.00499975: a quotient cut to six places first would give 1.01.
+    many = spark.range(20_001).select(
+        F.col("id").cast("int").alias("id"), F.lit(1).alias("customer_id"),
+        F.when(F.col("id") < 10_000, "1.01").otherwise("1.00").cast("decimal(18,2)").alias("total"),
+    )
+    cents = [(101, 10_000), (100, 10_001)]
+    exact = Decimal(sum(c * n for c, n in cents)) / sum(n for _, n in cents) / 100
+    assert exact < Decimal("1.005")
+    places = spark.createDataFrame([(1, "AL", True)], "customer_id int, state string, is_primary boolean")
+    assert reports.ticket_by_state(many, places).first()["mean_ticket"] == Decimal("1.00")
+    people = spark.createDataFrame([(1,)], "id int")
+    assert reports.kpis(many, people).first()["mean_ticket"] == Decimal("1.00")
+    sums = spark.createDataFrame([(Decimal("-0.05"), 10), (Decimal("0.05"), 10), (Decimal("1.00"), 0), (None, 3), (Decimal("99999999999999.99"), 1)], "t decimal(28,2), n int")
+    got = [r[0] for r in sums.select(money.rounded_ratio(F.col("t"), F.col("n"))).collect()]
+    assert got == [Decimal("-0.01"), Decimal("0.01"), None, None, Decimal("99999999999999.99")]
+
+
+def test_ties_keep_whole_states(spark):
+    sold = orders(spark, [(1, 1, 10), (2, 2, 10), (3, 3, 10), (4, 4, 9), (5, 5, 8)])
+    places = spark.createDataFrame(
+        [(1, "AL", True), (2, "AL", True), (3, "AL", True), (4, "SP", True), (5, "RJ", True)], "customer_id int, state string, is_primary boolean")
+    people = spark.createDataFrame([(i, f"n{i}") for i in range(1, 6)], "id int, legal_name string")
+    got = reports.anchor_customers(sold, places, people, k=2, ties=True).collect()
+    assert [(r["state"], r["customer_id"]) for r in got] == [("AL", 1), ("AL", 2), ("AL", 3), ("SP", 4)]
+
+
 def test_product_reports(spark, shop):
     o, a, _ = shop
     i = items(spark, [(1, 101, 3), (3, 102, 3), (4, 103, 50), (5, 102, 1)])

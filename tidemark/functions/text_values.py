@@ -40,12 +40,6 @@ def is_boolean(v: Column) -> Column:
     return F.length(v).between(4, 5) & v.rlike(BOOLEAN)
 
 
-def is_code(v: Column) -> Column:
-    """Digits that identify instead of count: a leading zero, or too long for a quantity."""
-    zero = v.startswith("0") & v.rlike(LEADING_ZERO)
-    return zero | ((F.length(v) > LONGEST_QUANTITY) & is_integer(v))
-
-
 def to_timestamp(v: Column) -> Column:
     """Zone-free timestamp of the four accepted date forms, NULL for anything else."""
     day_first = F.regexp_replace(v, r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$2-$1")

@@ -96,10 +96,10 @@ def group_categories(
 ) -> DataFrame:
     """Categories by units bought in a group of customers, best first; all of them if k is None.
 
-    ``members`` is a top-k result, so broadcasting it is safe. Units are summed
-    per variant before the catalogue is joined.
+    Units are summed per variant before the catalogue is joined. Whether
+    ``members`` is small enough to broadcast is left to the planner.
     """
-    ids = F.broadcast(members.select("customer_id"))
+    ids = members.select("customer_id")
     group_orders = orders.join(ids, "customer_id", "left_semi").select(F.col("id").alias("order_id"))
     units = (
         order_items.select("order_id", "product_variant_id", "quantity")

@@ -48,10 +48,17 @@ def infer_folder_types(tables: dict[str, DataFrame]) -> DataFrame:
     classed = _classed_cells(tables).withColumn(
         "digits", F.when(F.col("kind").isin("integer", "number"), tv.bare_digits(F.col("v")))
     )
-    plain = ~F.col("digits").rlike(r"[a-zA-Z]")
-    point, length = F.instr("digits", "."), F.length("digits")
-    whole = F.when(point > 0, point - 1).otherwise(length)
-    fraction = F.when(point > 0, length - point).otherwise(0)
+    plain = ~F.col("digits").rlike(r"(?i)[a-df-z]")  # all but nan and inf
+    # Signs are gone from "digits"; the exponent's is read from the cell. An absurd exponent counts as 99 places.
+    mantissa = F.when(F.col("digits").rlike("[eE]"), F.regexp_replace("digits", "[eE].*$", "")).otherwise(F.col("digits"))
+    power = F.coalesce(
+        F.when(F.col("digits").rlike("[eE]"), F.coalesce(
+            F.regexp_replace(F.regexp_extract("v", r"[eE]([+-]?[0-9_]+)", 1), "[+_]", "").try_cast("int"), F.lit(99)
+        )), F.lit(0),
+    )
+    point, length = F.instr(mantissa, "."), F.length(mantissa)
+    whole = F.greatest(F.when(point > 0, point - 1).otherwise(length) + power, F.lit(1))
+    fraction = F.greatest(F.when(point > 0, length - point).otherwise(0) - power, F.lit(0))
 
     def n(kind: str):
         return F.count_if(F.col("kind") == kind).alias(f"n_{kind}")
@@ -80,10 +87,12 @@ def infer_folder_types(tables: dict[str, DataFrame]) -> DataFrame:
         .otherwise("TEXT")
     )
     # NUMERIC is unbounded in SQL. Up to 16 + 2 digits are money; more are sized from the
-    # data; exponents, nan and inf, or more than 38 digits, only fit a DOUBLE.
+    # data, exponents included. Only nan and inf ask for a DOUBLE. What has more than
+    # 38 digits stays text, since neither type holds it.
     digits = F.col("whole_digits") + F.col("fraction_digits")
     decimal = (
-        F.when((F.col("n_special") > 0) | (digits > 38), "double")
+        F.when(digits > 38, "string")
+        .when(F.col("n_special") > 0, "double")
         .when((F.col("whole_digits") <= 16) & (F.col("fraction_digits") <= 2), "decimal(18,2)")
         .otherwise(F.format_string("decimal(%d,%d)", F.greatest(digits, F.lit(18)), "fraction_digits"))
     )
@@ -126,18 +135,22 @@ def spark_schema(types: DataFrame) -> T.StructType:
     return T.StructType([T.StructField(r[0], T.DataType.fromDDL(r[1])) for r in rows])
 
 
-def ddl_for(types: DataFrame) -> DataFrame:
-    """CREATE TABLE text per table from (table, pos, column, type); ``id`` is the primary key."""
+def ddl_for(types: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """CREATE TABLE text per table from (table, pos, column, type); ``id`` is the primary key.
+
+    ``counts`` (table, n_rows) adds the number of rows the types rest on.
+    """
     key = F.when(F.lower("column") == "id", " PRIMARY KEY").otherwise("")
     line = F.concat(F.lit("    "), F.col("column"), F.lit(" "), F.col("type"), key)
     lines = F.array_sort(F.collect_list(F.struct("pos", line.alias("line"))))
-    return types.groupBy("table").agg(
+    ddl = types.groupBy("table").agg(
         F.concat(
             F.lit("CREATE TABLE "), F.col("table"), F.lit(" (\n"),
             F.array_join(F.transform(lines, lambda s: s["line"]), ",\n"), F.lit("\n);"),
         ).alias("ddl"),
         F.count(F.lit(1)).alias("n_columns"),
     )
+    return ddl if counts is None else ddl.join(counts, "table", "left")
 
 
 def write_ddl(ddl: DataFrame, path: str) -> None:

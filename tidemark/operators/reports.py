@@ -90,7 +90,10 @@ def revenue_by_state(
 def ticket_by_state(
     orders: DataFrame, addresses: DataFrame, k: int | None = 10, statuses: list[str] | None = None
 ) -> DataFrame:
-    """Order rows and mean ticket per state, best tickets first."""
+    """Order rows and mean ticket per state, best tickets first.
+
+    States are ranked by the mean in cents that is shown, so equal figures are ties and go by name.
+    """
     rows = F.sum(F.col("frequency") * F.col("copies"))
     ranked = (
         _sales_by_state(orders, addresses, statuses)
@@ -109,7 +112,10 @@ def anchor_customers(
     ties: bool = False,
     statuses: list[str] | None = None,
 ) -> DataFrame:
-    """Best customer of each state, best k states; with ``ties`` all who share the first place."""
+    """Best customer of each state, best k states; with ``ties`` all who share the first place.
+
+    ``k`` counts states, never rows: a state that is in keeps all who share its first place.
+    """
     names = customers.select(F.col("id").alias("customer_id"), "legal_name")
     spent = _sales_by_state(orders, addresses, statuses).join(names, "customer_id")
     by_spent = F.desc_nulls_last("spent")
@@ -118,13 +124,11 @@ def anchor_customers(
         if ties
         else F.row_number().over(W.partitionBy("state").orderBy(by_spent, "customer_id"))
     )
-    ranked = (
-        spent.withColumn("place", place)
-        .where("place = 1")
-        .select("state", "customer_id", "legal_name", "spent")
-        .orderBy(by_spent, "state", "customer_id")
-    )
-    return ranked if k is None else ranked.limit(k)
+    first = spent.withColumn("place", place).where("place = 1").select("state", "customer_id", "legal_name", "spent")
+    if k is not None:
+        states = first.groupBy("state").agg(F.max("spent").alias("best")).orderBy(F.desc_nulls_last("best"), "state").limit(k)
+        first = first.join(states.select("state"), "state", "left_semi")
+    return first.orderBy(by_spent, "state", "customer_id")
 
 
 def top_products(

@@ -24,6 +24,10 @@ COLUMNS = {
     "documents": "doc_id text lang source n_chars",
     "labels": "doc_id quality toxic",
     "pages": "page_id url html",
+    "region": "r_regionkey r_name",
+    "embeddings": "vec_id embedding label",
+    "benchmark": "item_id text",
+    "conversations": "conv_id turn role text",
 }
 
 
@@ -138,7 +142,7 @@ KIND = rf"""CASE
   WHEN upper(v) IN ('TRUE', 'FALSE') THEN 'boolean'
   WHEN regexp_matches(v, '{INT}') THEN 'integer'
   WHEN regexp_matches(v, '{NUM}', 'i') THEN 'number'
-  WHEN length(v) <= 40 AND try_strptime(v, ['%Y-%m-%d %H:%M:%S', '%Y-%m-%d', '%d/%m/%Y %H:%M:%S', '%d/%m/%Y'])
+  WHEN try_strptime(v, ['%Y-%m-%d %H:%M:%S', '%Y-%m-%d', '%d/%m/%Y %H:%M:%S', '%d/%m/%Y'])
        IS NOT NULL THEN 'date'
   ELSE 'text' END"""
 
@@ -187,7 +191,7 @@ CODED = [
     ("orders", 3, "customer_id", "o_custkey", "orders"),
     ("orders", 4, "long_id", "o_custkey + 3000000000", "orders"),
 ]
-EVENT_CELLS = [("e", p, c, c, "events") for p, c in enumerate(["event_id", "ts", "event_type", "value", "props"])]
+EVENT_CELLS = [("e", p, c, c, "events") for p, c in enumerate(COLUMNS["events"].split())]
 
 
 def _brl(cents: str) -> str:
@@ -237,8 +241,23 @@ SELECT "table", "column", sample_code FROM types WHERE sample_code IS NOT NULL""
 SELECT "table", 'CREATE TABLE ' || "table" || ' (' || chr(10)
   || string_agg('    ' || "column" || ' ' || type || CASE WHEN "column" = 'id' THEN ' PRIMARY KEY' ELSE '' END,
                 ',' || chr(10) ORDER BY pos)
-  || chr(10) || ');' AS ddl, count(*) AS n_columns
+  || chr(10) || ');' AS ddl, count(*) AS n_columns,
+  CASE "table" WHEN 'orders' THEN (SELECT count(*) FROM orders) WHEN 'lineitem' THEN (SELECT count(*) FROM lineitem)
+    ELSE (SELECT count(*) FROM customer) END AS n_rows
 FROM types GROUP BY "table\"""",
+    "i2_exact_numbers": """SELECT CAST(l_orderkey AS INTEGER) AS order_id,
+  CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS price,
+  CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) AS cents FROM lineitem GROUP BY 1""",
+    "i4_schema_misfit": """SELECT 'orders' AS "table", count(*) AS rows, 'loaded' AS status, count(*) AS n_rows FROM orders
+UNION ALL SELECT 'orders', NULL, 'failed', count(*) FROM orders
+UNION ALL SELECT 'nation', NULL, 'failed', NULL""",
+    "i5_append_repeated_key": """SELECT 'orders' AS "table", count(*) FILTER (o_orderkey % 2 = 0) AS rows, 'loaded' AS status,
+  count(*) AS n_rows FROM orders
+UNION ALL SELECT 'orders', count(*) FILTER (o_orderkey % 2 = 1), 'loaded', count(*) FROM orders
+UNION ALL SELECT 'orders', NULL, 'failed', count(*) FROM orders""",
+    "i6_append_type_change": """SELECT 'lines' AS "table", count(*) AS rows, 'loaded' AS status, 2 * count(*) AS n_rows FROM lineitem
+UNION ALL SELECT 'lines', NULL, 'failed', 2 * count(*) FROM lineitem
+UNION ALL SELECT 'lines', count(*), 'loaded', 2 * count(*) FROM lineitem""",
     "i4_full_refresh": """SELECT CAST(o_orderkey AS INTEGER) AS id, CAST(o_custkey AS INTEGER) AS o_custkey,
   o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""",
     "i5_key_violations": """SELECT 'orders' AS "table", count(*) AS n_keys, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows
@@ -402,6 +421,10 @@ ORDER BY cents DESC, state LIMIT 10""",
     "b3b_anchor_customers_ties": f"""WITH {CUSTOMER_STATE},
 t AS (SELECT state, max(cents) AS cents FROM cs GROUP BY 1)
 SELECT state, customer_id, legal_name, {_money('cs.cents')} AS spent FROM cs JOIN t USING (state)
+WHERE cs.cents = t.cents""",
+    "b3b_anchor_customers_ties_top": f"""WITH {CUSTOMER_STATE},
+t AS (SELECT state, max(cents) AS cents FROM cs GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5)
+SELECT state, customer_id, legal_name, {_money('cs.cents')} AS spent FROM cs JOIN t USING (state)
 WHERE cs.cents = t.cents""",
     "b4_top_products": f"""WITH {TOP_PRODUCTS}
 SELECT product_id, name, units FROM tp ORDER BY units DESC, product_id LIMIT 10""",
@@ -418,6 +441,12 @@ SELECT product_id, name, units, revenue FROM st ORDER BY units DESC, product_id
 t AS (SELECT state, count(id) AS n_orders, {_rounded('sum(cents)', 'count(id)')} AS mean_ticket
       FROM o JOIN a USING (customer_id) GROUP BY 1)
 SELECT * FROM t ORDER BY mean_ticket DESC, state LIMIT 10""",
+    "b8_ticket_by_state_all": f"""WITH {ORDERS}, {ADDRESSES}
+SELECT state, count(id) AS n_orders, {_rounded('sum(cents)', 'count(id)')} AS mean_ticket
+FROM o JOIN a USING (customer_id) GROUP BY 1""",
+    "b9_common_products_top": f"""WITH {STATE_PRODUCTS}
+SELECT product_id FROM (SELECT product_id FROM tp ORDER BY units DESC, product_id LIMIT 10)
+INTERSECT SELECT product_id FROM (SELECT product_id FROM st ORDER BY units DESC, product_id LIMIT 5)""",
     "b9_common_products": f"""WITH {STATE_PRODUCTS}
 SELECT product_id FROM (SELECT product_id FROM tp ORDER BY units DESC, product_id LIMIT 200)
 INTERSECT SELECT product_id FROM (SELECT product_id FROM st ORDER BY units DESC, product_id LIMIT 200)""",

@@ -14,6 +14,7 @@ from tidemark.plans.tables import Retail, raw_table, supplier_addresses, testdat
 from tidemark.session import shared_dir
 from tidemark.sources import loader
 from tidemark.sources.csv_tables import read_raw_csv
+from tidemark.sources.storage import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,8 +27,8 @@ PRODUCT = 180
 OTHER_PRODUCT = 572
 TEST_START = "2001-04"
 TYPED_TABLES = [
-    "customer", "orders", "lineitem", "part", "supplier", "nation", "events", "documents",
-    "labels", "pages",
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+    "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
 
@@ -112,7 +113,7 @@ def _(spark, sf_dir):
 @query("i2b_value_classes")
 def _(spark, sf_dir):
     cells = _as_text(raw_table(spark, sf_dir, "events")).unpivot(
-        [], ["event_id", "ts", "event_type", "value", "props"], "column", "v"
+        [], ["event_id", "ts", "user_id", "event_type", "value", "props"], "column", "v"
     )
     return cells.groupBy("column", value_class(F.col("v")).alias("kind")).agg(
         F.count(F.lit(1)).alias("n")
@@ -132,7 +133,20 @@ def _(spark, sf_dir):
         "customer": raw_table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "id"),
     }
     types = inference.infer_folder_types({t: _as_text(df) for t, df in raw.items()})
-    return inference.ddl_for(types)
+    return inference.ddl_for(types, loader.row_counts(raw))
+
+
+@query("i2_exact_numbers")
+def _(spark, sf_dir):
+    """Prices with exponents load as exact numbers."""
+    lines = raw_table(spark, sf_dir, "lineitem")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    raw = lines.select(
+        F.col("l_orderkey").cast("string").alias("order_id"), F.concat(cents.cast("string"), F.lit("e-2")).alias("price"),
+        F.concat((cents / 10).cast("decimal(20,1)").cast("string"), F.lit("E+1")).alias("cents"),
+    )
+    typed = loader.apply_schema(raw, inference.spark_schema(inference.infer_column_types(raw)))
+    return typed.groupBy("order_id").agg(F.sum("price").alias("price"), F.sum("cents").alias("cents"))
 
 
 def _erp_folder(spark, sf_dir, names):
@@ -156,7 +170,53 @@ def _(spark, sf_dir):
     dest = f"{shared_dir(spark)}/tables"
     for _ in range(2):
         loader.load_folder(spark, folder, dest)
-    return spark.read.parquet(f"{dest}/orders")
+    return read_table(spark, f"{dest}/orders")
+
+
+def _audited(spark, loads, tables):
+    """What became of each load, and the rows each table then has."""
+    audit = loader.load_audit(spark, loads).select("table", "rows", "status")
+    return audit.join(loader.row_counts(tables), "table", "left")
+
+
+@query("i4_schema_misfit")
+def _(spark, sf_dir):
+    """A later extract with a text cell in a number column, and one of a table that is not known, fail."""
+    orders = raw_table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "id")
+    dest, first, later = f"{shared_dir(spark)}/tables", f"{shared_dir(spark)}/csv", f"{shared_dir(spark)}/csv"
+    _export_csv(orders, f"{first}/orders.csv")
+    loads = loader.load_folder(spark, first, dest)
+    misfit = F.concat(F.lit("x"), F.col("o_custkey").cast("string"))
+    _export_csv(orders.withColumn("o_custkey", misfit), f"{later}/orders.csv")
+    _export_csv(raw_table(spark, sf_dir, "nation"), f"{later}/nation.csv")
+    schemas = {"orders": loader.table_schema(spark, f"{dest}/orders")}
+    loads += loader.load_folder(spark, later, dest, schemas)
+    return _audited(spark, loads, {"orders": read_table(spark, f"{dest}/orders")})
+
+
+@query("i5_append_repeated_key")
+def _(spark, sf_dir):
+    """Rows with new keys are appended, the same extract once more is refused."""
+    orders = raw_table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "id")
+    dest, loads = f"{shared_dir(spark)}/tables", []
+    for part in ("id % 2 = 0", "id % 2 = 1", "id % 2 = 1"):
+        folder = f"{shared_dir(spark)}/csv"
+        _export_csv(orders.where(part), f"{folder}/orders.csv")
+        loads += loader.load_folder(spark, folder, dest, mode="append")
+    return _audited(spark, loads, {"orders": read_table(spark, f"{dest}/orders")})
+
+
+@query("i6_append_type_change")
+def _(spark, sf_dir):
+    """A keyless table keeps its types: an extract whose numbers turn to text is refused, the table stays readable."""
+    lines = raw_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    changed = lines.withColumn("l_quantity", F.concat(F.lit("n/a "), F.col("l_quantity").cast("string")))
+    dest, loads = f"{shared_dir(spark)}/tables", []
+    for part in (lines, changed, lines):
+        folder = f"{shared_dir(spark)}/csv"
+        _export_csv(part, f"{folder}/lines.csv")
+        loads += loader.load_folder(spark, folder, dest, mode="append")
+    return _audited(spark, loads, {"lines": read_table(spark, f"{dest}/lines")})
 
 
 @query("i5_key_violations")
@@ -176,7 +236,7 @@ def _(spark, sf_dir):
     dest = f"{shared_dir(spark)}/tables"
     for _ in range(2):
         loader.load_folder(spark, folder, dest, mode="append")
-    return spark.read.parquet(f"{dest}/order_lines").groupBy("l_linenumber").agg(
+    return read_table(spark, f"{dest}/order_lines").groupBy("l_linenumber").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("l_quantity").alias("quantity")
     )
 
@@ -545,6 +605,11 @@ def _(t):
     return reports.anchor_customers(t.orders, t.addresses, t.customers, k=None, ties=True)
 
 
+@retail_query("b3b_anchor_customers_ties_top")
+def _(t):
+    return reports.anchor_customers(t.orders, t.addresses, t.customers, k=5, ties=True)
+
+
 def _top_products(t: Retail) -> DataFrame:
     return reports.top_products(t.order_items, t.product_variants, t.products)
 
@@ -590,6 +655,16 @@ def _(t):
     return reports.ticket_by_state(t.orders, t.addresses)
 
 
+@retail_query("b8_ticket_by_state_all")
+def _(t):
+    return reports.ticket_by_state(t.orders, t.addresses, k=None)
+
+
+@retail_query("b9_common_products_top")
+def _(t):
+    return reports.common_products(_top_products(t), _state_products(t))
+
+
 @retail_query("b9_common_products")
 def _(t):
     return reports.common_products(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import MONEY
+from tidemark.sources.storage import read_table
 
 
 class Retail(NamedTuple):
@@ -22,7 +23,7 @@ class Retail(NamedTuple):
 
 def loaded_tables(spark: SparkSession, root: str) -> Retail:
     """Tables written by the loader."""
-    return Retail(*[spark.read.parquet(f"{root}/{name}") for name in Retail._fields])
+    return Retail(*[read_table(spark, f"{root}/{name}") for name in Retail._fields])
 
 
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

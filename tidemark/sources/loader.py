@@ -13,7 +13,7 @@ from tidemark.functions import text_values as tv
 from tidemark.operators.inference import infer_column_types, spark_schema
 from tidemark.session import small_rows
 from tidemark.sources.csv_tables import has_broken_lines, read_raw_csv
-from tidemark.sources.storage import discard, list_csv, swap_in
+from tidemark.sources.storage import current_loads, discard, list_csv, new_load, point_to, read_table
 
 
 class LoadResult(NamedTuple):
@@ -28,23 +28,35 @@ class KeyViolation(ValueError):
 
 
 def typed_column(name: str, data_type: T.DataType) -> Column:
-    """Raw cell to its type. An empty cell is NULL; a cell that does not fit fails the job."""
+    """Raw cell to its type. An empty cell is NULL; a cell that does not fit fails the job.
+
+    Blanks and underscores are only taken out of cells that are numbers with them.
+    """
     v = F.nullif(F.col(f"`{name}`"), F.lit(""))
     if isinstance(data_type, T.StringType):
         return v.alias(name)
     if isinstance(data_type, T.TimestampNTZType):
         parsed = tv.to_timestamp(v)
+    elif isinstance(data_type, T.IntegralType):
+        parsed = F.when(tv.is_integer(v), tv.without_marks(v).try_cast(data_type))
     elif isinstance(data_type, T.NumericType):
-        parsed = tv.without_marks(v).try_cast(data_type)
+        parsed = F.when(tv.is_number(v), tv.without_marks(v).try_cast(data_type))
     else:
         parsed = v.try_cast(data_type)
     # Said outright, so that a session without ANSI casts does not load NULL instead.
     misfit = F.concat(F.lit(f"{name}: not {data_type.simpleString()}: "), v)
+    if isinstance(data_type, T.DecimalType):
+        # A number with more places than the column would be rounded without a word.
+        exact = tv.without_marks(v).try_cast(f"decimal(38,{min(38, data_type.scale + 6)})")
+        parsed = F.when(exact.isNull() | (exact == parsed), parsed)
     typed = F.when(v.isNotNull() & parsed.isNull(), F.raise_error(misfit).cast(data_type)).otherwise(parsed)
     return typed.alias(name)
 
 
 def apply_schema(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """The raw table with the types of ``schema``, which must name the same columns."""
+    if sorted(raw.columns) != sorted(schema.names):
+        raise ValueError(f"columns {sorted(raw.columns)} are not those of the table {sorted(schema.names)}")
     return raw.select(*[typed_column(f.name, f.dataType) for f in schema.fields])
 
 
@@ -59,6 +71,12 @@ def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def table_schema(spark: SparkSession, dest: str) -> T.StructType | None:
+    """The types a table was created with; None if there is no table."""
+    loads = current_loads(spark, dest)
+    return spark.read.parquet(loads[0]).schema if loads else None
+
+
 def load_table(
     spark: SparkSession,
     path: str,
@@ -70,32 +88,43 @@ def load_table(
 ) -> int:
     """Load one extract and return its row count.
 
-    ``overwrite`` replaces the table, so a repeated load changes nothing;
-    ``append`` adds the rows again each time. The rows are first written to a
-    staged folder, which is the only parse of the CSV; the key check reads one
-    column of it. On any failure ``dest`` stays as it was.
+    ``overwrite`` replaces the rows, so a repeated load changes nothing;
+    ``append`` adds them, for a table with a key only those whose key is new.
+    The rows are first written to a folder of their own, which is the only parse
+    of the CSV; the key check reads one column of it, and on append one column of
+    the table. Only then does the table switch to them: on any failure, and
+    wherever the load is cut off, the table stays as it was.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unknown mode {mode}")
-    staged = f"{dest}.__new"
+    fixed = table_schema(spark, dest)
+    if fixed is not None and _kinds(fixed) != _kinds(schema):
+        raise ValueError(f"the table has {fixed.simpleString()}, the load {schema.simpleString()}")
+    before = current_loads(spark, dest)
+    staged = new_load(dest)
     try:
         raw = read_raw_csv(spark, path, multi_line, strict=True)
-        apply_schema(raw, schema).write.mode("overwrite").parquet(staged)
+        apply_schema(raw, schema).write.parquet(staged)
         loaded = spark.read.schema(schema).parquet(staged)
         if key and key in loaded.columns:
             bad = key_violations(loaded, [key]).limit(1).collect()
             if bad:
                 raise KeyViolation(f"{key}={bad[0][0]} occurs {bad[0]['n_rows']} times")
+            if mode == "append" and before:
+                known = read_table(spark, dest, schema).select(key)
+                again = known.join(loaded.select(key), key, "left_semi").limit(1).collect()
+                if again:
+                    raise KeyViolation(f"{key}={again[0][0]} is already in the table")
         rows = loaded.count()
-        if mode == "append":
-            loaded.write.mode("append").parquet(dest)
-            discard(spark, staged)
-        else:
-            swap_in(spark, staged, dest)
-        return rows
+        point_to(spark, dest, [*before, staged] if mode == "append" else [staged])
     except Exception:
         discard(spark, staged)
         raise
+    return rows
+
+
+def _kinds(schema: T.StructType) -> list[tuple[str, T.DataType]]:
+    return [(f.name, f.dataType) for f in schema.fields]
 
 
 def load_folder(
@@ -108,24 +137,34 @@ def load_folder(
 ) -> list[LoadResult]:
     """Load every CSV of a folder in name order; a table that fails is named and passed over.
 
-    ``schemas`` overrides the inferred types of a table, for instance to keep an
-    identity number as text. ``tables`` restricts the load to some tables.
+    A table that exists keeps its types, and a cell that does not fit fails the
+    load. ``schemas`` names the tables that may be loaded and their types; an
+    extract of any other table then fails. Without it a new table gets inferred
+    types. ``tables`` restricts the load to some tables. Columns whose numbers no
+    DECIMAL holds load as text, which the result says.
     """
     results = []
     for table, path in list_csv(spark, folder):
         if tables is not None and table not in tables:
             continue
+        dest, note = f"{dest_root}/{table}", None
         try:
+            if schemas is not None and table not in schemas:
+                raise LookupError(f"unknown table {table}")
             broken = has_broken_lines(spark, path)
-            schema = (schemas or {}).get(table)
+            schema = schemas[table] if schemas is not None else table_schema(spark, dest)
             if schema is None:
-                schema = spark_schema(infer_column_types(read_raw_csv(spark, path, broken)))
-            rows = load_table(
-                spark, path, schema, f"{dest_root}/{table}", mode, multi_line=broken
-            )
-            results.append(LoadResult(table, rows, "loaded", None))
+                types = infer_column_types(read_raw_csv(spark, path, broken))
+                schema = spark_schema(types)
+                wide = sorted(
+                    r["column"] for r in types.where("type = 'NUMERIC' AND spark_type = 'string'").select("column").collect()
+                )
+                if wide:
+                    note = f"kept as text, more than 38 digits: {', '.join(wide)}"
+            rows = load_table(spark, path, schema, dest, mode, multi_line=broken)
+            results.append(LoadResult(table, rows, "loaded", note))
         except Exception as error:  # whatever went wrong, the other tables still load
-            results.append(LoadResult(table, None, "failed", str(error).splitlines()[0]))
+            results.append(LoadResult(table, None, "failed", (str(error).splitlines() or [repr(error)])[0]))
     return results
 
 
