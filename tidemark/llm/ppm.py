@@ -146,7 +146,7 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def train(texts: DataFrame, min_rate: float = 5e-7) -> Model:
+def train(texts: DataFrame, min_rate: float = 1e-6) -> Model:
     """The trie over all rows of ``texts`` (text; null is empty), cut where it is too rare to matter.
 
     A symbol stays in a context if the two were seen at least twice and in at
@@ -157,22 +157,29 @@ def train(texts: DataFrame, min_rate: float = 5e-7) -> Model:
     grams = settled(gram_counts(texts))
     total = grams.agg(F.sum("n")).first()[0] or 0
     least = max(2, int(np.ceil(total * min_rate)))
-    every = (
+    every = settled(
         grams.select(F.explode(F.sequence(F.lit(0), F.lit(ORDER))).alias("k"), "code", "n")
         .select("k", F.expr("code & (shiftleft(1L, 8 * (k + 1)) - 1)").alias("code"), "n")
         .groupBy("k", "code").agg(F.sum("n").alias("n"))
     )
-    pairs = every.where(F.col("n") >= least).toPandas()
+    kept_pairs = every.where(F.col("n") >= least)
     contexts = (
         every.groupBy("k", F.expr("shiftright(code, 8)").alias("context"))
-        .agg(F.sum("n").alias("n"), F.max("n").alias("top")).where(F.col("top") >= least).select("k", "context", "n").toPandas()
+        .agg(F.sum("n").alias("n"), F.max("n").alias("top")).where(F.col("top") >= least)
     )
+
+    def column(table: pa.Table, name: str) -> np.ndarray:
+        return table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
+
     levels: list[Level] = []
     below = None  # of the order before: nodes, totals, kept, distinct, pairs, counts
     for k in range(ORDER + 1):
-        own, ctx = pairs[pairs["k"] == k], contexts[contexts["k"] == k]
-        codes, counts = own["code"].to_numpy(np.int64).view(np.uint64), own["n"].to_numpy(np.float64)
-        keys, totals = ctx["context"].to_numpy(np.int64).view(np.uint64), ctx["n"].to_numpy(np.float64)
+        # One order at a time, each at most 1 / min_rate rows.
+        own = kept_pairs.where(F.col("k") == k).select("code", "n").toArrow()
+        codes, counts = column(own, "code").astype(np.int64).view(np.uint64), column(own, "n").astype(np.float64)
+        ctx = contexts.where(F.col("k") == k).select("context", "n").toArrow()
+        keys, totals = column(ctx, "context").astype(np.int64).view(np.uint64), column(ctx, "n").astype(np.float64)
+        del own, ctx
         nodes, table = Table.of(keys), Table.of(codes)
         owner = nodes.find(codes >> np.uint64(8))
         kept = np.bincount(owner, weights=counts, minlength=len(keys))
@@ -187,9 +194,8 @@ def train(texts: DataFrame, min_rate: float = 5e-7) -> Model:
             below_whole = below[1][down] - out
             nothing = (below_whole <= 0) | (below_escape <= 0)  # the shorter context knows nothing more: pass through
             below_whole[nothing], below_escape[nothing] = 1, 1
-        levels.append(Level(
-            table, np.log10(counts - DISCOUNT), nodes, np.log10(whole), np.log10(escape), np.log10(below_whole), np.log10(below_escape)
-        ))
+        logs = [np.log10(x).astype(np.float32) for x in (counts - DISCOUNT, whole, escape, below_whole, below_escape)]
+        levels.append(Level(table, logs[0], nodes, *logs[1:]))
         below = (nodes, totals, kept, distinct, table, counts)
     n_known = len(levels[0].log_count)
     return Model(levels, -float(np.log10(max(1, 256 - n_known))))
@@ -244,7 +250,7 @@ def token_counts(texts: DataFrame) -> DataFrame:
 
 def score(
     docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text",
-    min_rate: float = 5e-7, common_rate: float = 1e-6, add: float = 0.1,
+    min_rate: float = 1e-6, common_rate: float = 1e-6, add: float = 0.1,
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_tokens, n_known, train_tokens, base_score, score.
 
