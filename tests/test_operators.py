@@ -37,16 +37,33 @@ def identity_variants(spark, ids):
 # --- quantiles and profile ----------------------------------------------------
 
 
-@pytest.mark.parametrize("bins,passes", [(4096, 8), (4, 8), (2, 1), (3, 0)])
-def test_quantiles_are_exact(spark, bins, passes):
+@pytest.mark.parametrize("accuracy,hold", [(10_000, 4096), (50, 8), (10, 1)])
+def test_quantiles_are_exact(spark, accuracy, hold):
     rng = np.random.default_rng(3)
     data = np.concatenate([rng.lognormal(8, 4, 300), np.full(200, 7.0), [1e14, -5.0, 0.0]])
     df = spark.createDataFrame([(float(x),) for x in data] + [(None,), (float("nan"),)], "x double")
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    got = quantiles.quantile_values(df, "x", probs, bins=bins, passes=passes)
+    got = quantiles.quantile_values(df, "x", probs, accuracy, hold)
     assert [got[p] for p in probs] == pytest.approx(list(np.quantile(data, probs)), rel=1e-12)
 
 
+def test_quantiles_of_extreme_values_need_few_passes(spark, monkeypatch):
+    inf, passes = float("inf"), []
+    narrowed = quantiles._narrowed
+    monkeypatch.setattr(quantiles, "_narrowed", lambda *a: passes.append(1) or narrowed(*a))
+    rows = [-inf, -1.5e308, -1.0, 0.0, 1.5e308, inf, inf] * 400 + [float(x) for x in range(3000)]
+    df = spark.createDataFrame([(x,) for x in rows], "x double")
+    got = quantiles.quantile_values(df, "x", [0.0, 0.1, 0.5, 0.9, 1.0], hold=16)
+    data = sorted(rows)
+    spot = {p: p * (len(data) - 1) for p in got}
+    low = {p: data[math.floor(x)] for p, x in spot.items()}
+    high = {p: data[math.ceil(x)] for p, x in spot.items()}
+    assert got == {p: low[p] if low[p] == high[p] else low[p] + (high[p] - low[p]) * (x % 1) for p, x in spot.items()}
+    assert len(passes) <= 4
+    five = spark.createDataFrame([(x,) for x in (-1.5e308, 1.5e308, inf, -inf, 0.0)], "x double")
+    assert quantiles.quantile_values(five, "x", [0.25, 0.5]) == {0.25: -1.5e308, 0.5: 0.0}
+
+
 def test_profile_edges(spark):
     empty = spark.createDataFrame([], "x double")
     assert profile.median(empty, "x").first()[0] is None
@@ -202,11 +219,11 @@ def skewed_pairs():
     return sorted(pairs)
 
 
-@pytest.mark.parametrize("hot,block,part", [(256, 512, 2048), (5, 16, 8), (0, 7, 3)])
-def test_similarity_of_hot_baskets(spark, skewed_pairs, hot, block, part):
+@pytest.mark.parametrize("hot,chunk", [(256, 512), (5, 16), (0, 7), (3, 1)])
+def test_similarity_of_hot_baskets(spark, skewed_pairs, hot, chunk):
     inter = spark.createDataFrame(skewed_pairs, "customer_id int, product_id int")
     buyers, expected = brute_force(skewed_pairs)
-    found = affinity.co_purchases(inter, hot, block, part).collect()
+    found = affinity.co_purchases(inter, hot, chunk).collect()
     assert {(r.product_a, r.product_b): r.co for r in found} == {k: v[0] for k, v in expected.items()}
     assert all(r.buyers_a == len(buyers[r.product_a]) and r.buyers_b == len(buyers[r.product_b]) for r in found)
 

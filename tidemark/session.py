@@ -40,18 +40,31 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
 
 
+#: Folders written by ``settled`` in this process.
+_SETTLED: list[str] = []
+
+
 def settled(df: DataFrame) -> DataFrame:
     """The frame written once to the shared folder and read back.
 
     For a result of costly joins that a plan uses several times: it is computed
     once, survives the loss of executors, and its size is known to the planner.
-    The folder stays until the owner of the shared folder clears it.
+    The folder stays until ``clear_settled`` or the owner of the shared folder
+    removes it.
     """
     path = shared_dir(df.sparkSession)
+    _SETTLED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_settled(spark: SparkSession) -> None:
+    """Delete what ``settled`` has written, once all results that may read it are written or collected."""
+    while _SETTLED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SETTLED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_rows(spark: SparkSession, rows: list[tuple], columns: dict[str, pa.DataType]) -> DataFrame:
     """A handful of driver rows as a local relation. A list of tuples would start Python workers."""
     values = list(zip(*rows)) if rows else [()] * len(columns)
