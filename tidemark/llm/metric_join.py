@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.components import components
-from tidemark.session import settled
+from tidemark.session import settled, small_rows
 
 #: Beyond any rounding of the single-precision products that pick candidates.
 _MARGIN = 1e-4
@@ -132,8 +132,7 @@ def near_vectors(
         _joined(settled(classes.where(F.size("vec") == dim)) if len(sizes) > 1 else classes, dim, kind, cosine, per_cell, block, sample, most_pivots)
         for dim in sizes
     ]
-    spark = vectors.sparkSession
-    found = spark.createDataFrame([], "id long, n long, root long")
+    found = small_rows(vectors.sparkSession, [], {"id": pa.int64(), "n": pa.int64(), "root": pa.int64()})
     for part in parts:
         found = found.unionAll(part)
     found = settled(found)
@@ -202,7 +201,7 @@ def _joined(
     held = {r["cell"]: r["n"] for r in dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     # A cell of h own and t rows in all is joined as ceil(h / block) x ceil(t / block) blocks, each a bounded group.
     ways = [(c, -(-reach[c][1] // block), -(-held[c] // block)) for c in reach]
-    table = spark.createDataFrame(pd.DataFrame(ways, columns=["cell", "across", "down"]).astype("int64"))
+    table = small_rows(spark, ways, {"cell": pa.int64(), "across": pa.int64(), "down": pa.int64()})
     spots = dealt.join(F.broadcast(table), "cell")  # a row per pivot, at most most_pivots
     i, j = F.pmod(F.xxhash64("id"), F.col("across")), F.pmod(F.xxhash64("id", F.lit(1)), F.col("down"))
     as_query = spots.where("NOT guest").select(

@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, lattice, line_join, metric_join, order_minhash, packing, pii_surrogates, ppm, scaled_sketch, secret_scan
+from tidemark.llm import language_id, lattice, line_join, metric_join, oracle, order_minhash, packing, pii_surrogates, ppm, scaled_sketch, secret_scan
 from tidemark.plans.tables import raw_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(oracle.SQL)
 
 #: The queries show the operator with a fixed key; a user brings a secret one.
 SURROGATE_KEY = "tidemark"
