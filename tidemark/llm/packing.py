@@ -3,8 +3,8 @@
 A sequence holds ``size`` tokens; its gap is what is still free. N(g) counts
 the open sequences of gap g, and every piece goes where the sum of N(g)^2 over
 all gaps becomes smallest, a new sequence being one of the choices. Pieces are
-taken from long to short. Tasks pack groups of pieces by themselves; the
-sequences that stay open are then packed again, as wholes, across groups.
+taken from long to short. Tasks pack groups of pieces by themselves; the pieces
+of the sequences that stay open are then packed anew across groups.
 """
 
 from __future__ import annotations
@@ -196,54 +196,43 @@ def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarr
     return sequence, offset
 
 
-def pack(pieces: DataFrame, size: int = 2048, group: int = 20_000, regroup: int = 16) -> DataFrame:
-    """All columns of ``pieces`` but ``deal``, with ``sequence_id`` and ``offset``.
-
-    ``pieces`` has ``length`` (1 to ``size``) and ``deal`` (evenly spread
-    numbers). About ``group`` pieces are packed by one task, then the open
-    sequences of about ``regroup`` groups are packed once more as wholes, so the
-    work of a task does not grow with the table. Every sequence is gapless from
-    offset 0; full pieces are sequences of their own. An empty table stays empty.
-    """
-    groups = max(1, -(-pieces.count() // group))
-    columns = [c for c in pieces.columns if c != "deal"]
-    fields = ", ".join(f"`{c}` {pieces.schema[c].dataType.simpleString()}" for c in columns)
+def _packed(pieces: DataFrame, parts: int, size: int) -> DataFrame:
+    """``pieces`` with the part each was dealt to, its sequence in the part, its offset, and how full that sequence is."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
 
-    def first(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "deal"], ascending=False, kind="stable")
+    def place(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop(columns="__part").sort_values(["length", "deal"], ascending=False, kind="stable")
         sequence, offset = sum_of_squares(rows["length"].to_numpy(), size)
         filled = np.bincount(sequence, weights=rows["length"].to_numpy()).astype(np.int64)
-        return rows[columns].assign(grp=key[0], seq=sequence, offset=offset, filled=filled[sequence])
+        return rows.assign(part=key[0], seq=sequence, offset=offset, filled=filled[sequence])
 
-    def again(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["filled", "grp", "seq"], ascending=False)
-        sequence, offset = sum_of_squares(rows["filled"].to_numpy(), size)
-        return pd.DataFrame({"grp": rows["grp"], "seq": rows["seq"], "into": sequence, "shift": offset})
+    dealt = pieces.withColumn("__part", F.pmod("deal", F.lit(parts)))
+    return dealt.groupBy("__part").applyInPandas(place, fields + ", part long, seq long, offset long, filled long")
 
-    packed = settled(
-        pieces.withColumn("__grp", F.pmod("deal", F.lit(groups)))
-        .groupBy("__grp").applyInPandas(first, fields + ", grp long, seq long, offset long, filled long")
-    )
-    # A full sequence stays as it is; the others, one row each, meet those of other groups.
-    still_open = packed.where((F.col("filled") < size) & (F.col("offset") == 0)).select("grp", "seq", "filled")
-    supers = max(1, -(-groups // regroup))
-    moved = (
-        still_open.withColumn("__super", F.pmod(F.xxhash64("grp", "seq"), F.lit(supers)))
-        .groupBy("__super").applyInPandas(
-            lambda key, rows: again(key, rows).assign(super=key[0]),
-            "grp long, seq long, into long, shift long, super long",
-        )
-    )
-    rest = packed.where(F.col("filled") < size).join(moved, ["grp", "seq"])
-    step = 2 * max(groups, supers)
-    done = packed.where(F.col("filled") == size).select(
-        *columns, (F.col("seq") * step + 2 * F.col("grp")).alias("sequence_id"), "offset"
+
+def pack(pieces: DataFrame, size: int = 2048, group: int = 20_000) -> DataFrame:
+    """All columns of ``pieces`` but ``deal``, with ``sequence_id`` and ``offset``.
+
+    ``pieces`` has ``length`` (1 to ``size``) and ``deal`` (evenly spread
+    numbers). About ``group`` pieces are packed by one task; then the pieces of
+    the sequences that are not full, a small part, are packed anew in groups of
+    that size. So the work of a task does not grow with the table, and nearly all
+    waste is in the few sequences left open by the second round. Every sequence
+    is gapless from offset 0. An empty table stays empty.
+    """
+    columns = [c for c in pieces.columns if c != "deal"]
+    parts = max(1, -(-pieces.count() // group))
+    first = settled(_packed(pieces, parts, size))
+    still_open = first.where(F.col("filled") < size).select(*pieces.columns)
+    again = max(1, -(-still_open.count() // group))
+    # Other bits of deal than before, so that pieces of many parts meet.
+    second = _packed(still_open.withColumn("deal", F.xxhash64("deal")), again, size)
+    step = 2 * max(parts, again)
+    done = first.where(F.col("filled") == size).select(
+        *columns, (F.col("seq") * step + 2 * F.col("part")).alias("sequence_id"), "offset"
     )
     return done.unionAll(
-        rest.select(
-            *columns, (F.col("into") * step + 2 * F.col("super") + 1).alias("sequence_id"),
-            (F.col("offset") + F.col("shift")).alias("offset"),
-        )
+        second.select(*columns, (F.col("seq") * step + 2 * F.col("part") + 1).alias("sequence_id"), "offset")
     )
 
 
