@@ -63,9 +63,9 @@ def test_rule_takes_the_smallest_sum_of_squares():
 
 def test_groups_are_packed_again_together(make, spark):
     pieces = spark.createDataFrame([(i, 3 + i % 5, i * 7919) for i in range(300)], "doc_id long, length long, deal long")
-    got = packing.pack(pieces, size=16, group=10, regroup=4).collect()
+    got = packing.pack(pieces, size=16, group=40).collect()
     fill = defaultdict(int)
     for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
         assert fill[r["sequence_id"]] == r["offset"]
         fill[r["sequence_id"]] += r["length"]
-    assert len(got) == 300 and max(fill.values()) <= 16 and len(fill) <= 1.15 * sum(fill.values()) / 16
+    assert len(got) == 300 and max(fill.values()) <= 16 and len(fill) <= 1.08 * sum(fill.values()) / 16
