@@ -246,6 +246,27 @@ def test_csv_quoting(spark, tmp_path):
     assert [r.a for r in read_raw_csv(spark, str(tmp_path / "short.csv")).orderBy("id").collect()] == [None, "x"]
 
 
+@pytest.mark.parametrize("split", ["40", "1000", "128m"])
+def test_csv_with_broken_lines_is_split(spark, tmp_path, split):
+    rng = random.Random(7)
+    cells = ["", "a", 'say "hi"', "x,y", "two\nlines", 'three\n"quoted"\nlines', "é\n\n,", "z" * 90 + "\n" + "y" * 90, " pad "]
+    for part in range(2):
+        rows = [["id", "a", "b c"]] + [[f"{part}-{i}", rng.choice(cells), rng.choice(cells)] for i in range(60)]
+        write_csv(tmp_path / f"part{part}.csv", rows)
+    plain = spark.read.csv(str(tmp_path), header=True, quote='"', escape='"', multiLine=True)
+    want = sorted(tuple(r) for r in plain.collect())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        raw = read_raw_csv(spark, str(tmp_path))
+        assert raw.columns == ["id", "a", "b c"]
+        assert sorted(tuple(r) for r in raw.collect()) == want and len(want) == 120
+        scans = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+        assert scans > 8 or split != "40"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_load_folder(spark, tmp_path):
     folder, dest = tmp_path / "csv", str(tmp_path / "tables")
     folder.mkdir()

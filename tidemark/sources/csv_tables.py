@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+def _quotes(line: str) -> Column:
+    return F.length(line) - F.length(F.replace(F.col(line), F.lit('"'), F.lit("")))
+
+
 def has_broken_lines(spark: SparkSession, path: str) -> bool:
     """Whether a quoted cell may hold a line break.
 
     A cell that runs on to the next line leaves an odd number of quotes on the
     line where it opens. The search is a split text scan that stops at one hit.
     """
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    odd = spark.read.text(path).where(quotes % 2 == 1)
+    odd = spark.read.text(path).where(_quotes("value") % 2 == 1)
     return bool(odd.limit(1).count())
 
 
@@ -22,19 +26,56 @@ def read_raw_csv(
 ) -> DataFrame:
     """Every column as string, first row as names, quotes doubled inside quotes.
 
-    A file read with ``multi_line`` cannot be split, so it is used only where a
-    cell holds a line break; by default the file is checked for that. ``strict``
-    fails on rows shorter or longer than the header, else they are padded or cut.
+    With ``multi_line`` cells may hold line breaks; by default the file is
+    checked for that. Either way files are split among tasks. ``strict`` fails on
+    rows shorter or longer than the header, else they are padded or cut.
     """
     if multi_line is None:
         multi_line = has_broken_lines(spark, path)
-    return spark.read.csv(
-        path,
-        header=True,
-        inferSchema=False,
-        quote='"',
-        escape='"',
-        multiLine=multi_line,
-        encoding="UTF-8",
-        mode="FAILFAST" if strict else "PERMISSIVE",
+    mode = "FAILFAST" if strict else "PERMISSIVE"
+    if not multi_line:
+        return spark.read.csv(
+            path, header=True, inferSchema=False, quote='"', escape='"', encoding="UTF-8", mode=mode
+        )
+    # Only the head of a file is read for its names.
+    names = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"', multiLine=True).columns
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    options = {"quote": '"', "escape": '"', "mode": mode}
+    rows = _records(spark, path).select(F.from_csv("record", schema, options).alias("row"))
+    return rows.select("row.*")
+
+
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """(record): the rows of all files as text, headers and blank lines left out.
+
+    A line starts a row if an even number of quotes comes before it in its file.
+    Each split counts its own quotes; a list of one entry per split then tells
+    the parity before it, and to which row of an earlier split its first lines
+    belong.
+    """
+    lines = spark.read.text(path, lineSep="\n").select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("at"), _quotes("value").alias("quotes"),
+    )
+    in_file = W.partitionBy("file").orderBy("split")
+    earlier = in_file.rowsBetween(W.unboundedPreceding, -1)
+    parity = lines.groupBy("file", "split").agg(F.sum("quotes").alias("n")).select(
+        "file", "split", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) % 2).alias("open")
+    )
+    in_split = W.partitionBy("file", "split").orderBy("at")
+    before = F.coalesce(F.sum("quotes").over(in_split.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = ((F.col("open") + before) % 2 == 0).cast("int")
+    numbered = lines.join(parity, ["file", "split"]).withColumn("starts", starts).withColumn(
+        "row", F.sum("starts").over(in_split.rowsBetween(W.unboundedPreceding, W.currentRow))
+    )
+    last = F.when(F.col("rows") > 0, F.struct("split", F.col("rows").alias("row")))
+    owners = numbered.groupBy("file", "split").agg(F.max("row").alias("rows")).select(
+        "file", "split", F.last(last, ignorenulls=True).over(earlier).alias("owner")
     )
+    own = F.when(F.col("row") > 0, F.struct("split", "row")).otherwise(F.col("owner"))
+    owned = numbered.join(owners, ["file", "split"]).select("file", own.alias("own"), "split", "at", "value")
+    # One row of the table, however many lines it has.
+    parts = F.array_sort(F.collect_list(F.struct("split", "at", "value")))
+    whole = owned.groupBy("file", "own").agg(F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("text"))
+    first = (F.col("own.split") == 0) & (F.col("own.row") == 1)
+    return whole.where(~first).select(F.regexp_replace("text", "\r$", "").alias("record")).where("record != ''")
