@@ -17,9 +17,14 @@ from tidemark.session import settled
 _HASH_BITS = 48
 
 
+def _spaced(text: str) -> str:
+    """SQL for a text with spaces for all other ASCII white space but line breaks."""
+    return f"replace(replace(replace(replace({text}, '\\t', ' '), '\\r', ' '), '\\u000c', ' '), '\\u000b', ' ')"
+
+
 def _split(text: str) -> str:
-    """SQL for a text cut at every white space; empty words where several follow each other."""
-    return f"split(translate({text}, '\\t\\r\\u000c\\u000b', '    '), ' ')"
+    """SQL for a line cut at every white space; empty words where several follow each other."""
+    return f"split({_spaced(text)}, ' ')"
 
 
 def _words(line: str) -> str:
@@ -38,14 +43,14 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
-def word_ranks(docs: DataFrame, text_col: str = "text", cells: int = 1 << 17) -> list[int]:
+def word_ranks(docs: DataFrame, text_col: str = "text", cells: int = 1 << 18) -> list[int]:
     """For each of ``cells`` hash cells, how often words of the corpus fall into it, as steps of a fourth of a power of two.
 
     All words of all texts are counted. The order of words by (step of the cell,
     hash) is the rarity order of the join: frequent words come last, and any
     consistent order gives exact results. The list has a fixed length.
     """
-    words = docs.select(F.explode(F.split(F.translate(text_col, "\n", " "), " ")).alias("w"))
+    words = docs.select(F.explode(F.split(F.replace(F.col(text_col), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
     counts = words.groupBy(F.expr(f"cast(xxhash64(w) & {cells - 1} as int)").alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     steps = counts.select("cell", F.expr("cast(4 * log2(n) as int)").alias("step")).toPandas()
     ranks = [0] * cells
@@ -64,7 +69,9 @@ def line_sets(docs: DataFrame, threshold: float, ranks: list[int], id_col: str,
     hashes = f"array_distinct(array_remove(transform({_split('line')}, w -> xxhash64(w)), xxhash64('')))"
     rank = f"coalesce(element_at({_array_literal(ranks)}, cast(h & {len(ranks) - 1} as int) + 1), 0)"
     keys = f"sort_array(transform({hashes}, h -> shiftleft(cast({rank} as bigint), {_HASH_BITS}) | (h & {2**_HASH_BITS - 1})))"
-    keyed = _lines(docs, id_col, text_col).select("id", "pos", F.expr(keys).alias("keys")).where("size(keys) > 0")
+    # Lines without words are found by their text: a filter on the keys would compute them twice.
+    filled = _lines(docs, id_col, text_col).where(f"trim({_spaced('line')}) != ''")
+    keyed = filled.select("id", "pos", F.expr(keys).alias("keys"))
     prefix = f"slice(keys, 1, size(keys) - cast(ceil({threshold} * size(keys) - 1e-9) as int) + 1)"
     odd = "aggregate(keys, 0L, (a, k) -> a ^ shiftleft(1L, cast(shiftright(k, 20) & 63 as int)))"
     first = F.struct(
@@ -166,7 +173,7 @@ def dedup_lines(
     lines = docs.join(by_doc, F.col(id_col) == F.col("__id"), "left").withColumn(
         "__split", F.when(F.col(id_col).isNotNull(), F.split(text_col, "\n"))
     )
-    blank = "trim(translate(l, '\\t\\r\\u000c\\u000b', '    ')) = ''"
+    blank = f"trim({_spaced('l')}) = ''"
     keep = f"filter(__split, (l, i) -> array_contains(coalesce(__kept, array()), i) OR {blank})"
     lines = lines.withColumn("__left", F.expr(keep))
     cleaned = F.when(F.col("__split").isNull(), F.col(text_col)).otherwise(F.array_join("__left", "\n"))
