@@ -43,23 +43,23 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
-def word_ranks(docs: DataFrame, text_col: str = "text", cells: int = 1 << 18) -> list[int]:
-    """For each of ``cells`` hash cells, how often words of the corpus fall into it, as steps of a fourth of a power of two.
+def word_ranks(docs: DataFrame, text_col: str = "text", cells: int = 1 << 20) -> bytes:
+    """For each of ``cells`` hash cells, how often words of the corpus fall into it, in steps of a third of a power of two.
 
     All words of all texts are counted. The order of words by (step of the cell,
     hash) is the rarity order of the join: frequent words come last, and any
-    consistent order gives exact results. The list has a fixed length.
+    consistent order gives exact results. One byte per cell, whatever the corpus.
     """
     words = docs.select(F.explode(F.split(F.replace(F.col(text_col), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
     counts = words.groupBy(F.expr(f"cast(xxhash64(w) & {cells - 1} as int)").alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-    steps = counts.select("cell", F.expr("cast(4 * log2(n) as int)").alias("step")).toPandas()
-    ranks = [0] * cells
+    steps = counts.select("cell", F.expr("cast(least(3 * log2(n), 126) as int)").alias("step")).toPandas()
+    ranks = bytearray(cells)
     for cell, step in zip(steps["cell"].tolist(), steps["step"].tolist()):
         ranks[cell] = step
-    return ranks
+    return bytes(ranks)
 
 
-def line_sets(docs: DataFrame, threshold: float, ranks: list[int], id_col: str, text_col: str) -> DataFrame:
+def line_sets(docs: DataFrame, threshold: float, ranks: bytes, id_col: str, text_col: str) -> DataFrame:
     """(id, pos, n, odd, prefix): the first line with each word set, its number of words, parities and prefix word hashes.
 
     ``odd`` tells for 64 classes of words whether the set holds an odd number of
@@ -67,7 +67,7 @@ def line_sets(docs: DataFrame, threshold: float, ranks: list[int], id_col: str,
     before the shuffle, so a line that fills a third of the corpus is few rows.
     """
     hashes = f"array_distinct(array_remove(transform({_split('line')}, w -> xxhash64(w)), xxhash64('')))"
-    rank = f"coalesce(element_at({_array_literal(ranks)}, cast(h & {len(ranks) - 1} as int) + 1), 0)"
+    rank = f"ascii(cast(substring(X'{ranks.hex()}', cast(h & {len(ranks) - 1} as int) + 1, 1) as string))"
     keys = f"sort_array(transform({hashes}, h -> shiftleft(cast({rank} as bigint), {_HASH_BITS}) | (h & {2**_HASH_BITS - 1})))"
     # Lines without words are found by their text: a filter on the keys would compute them twice.
     filled = _lines(docs, id_col, text_col).where(f"trim({_spaced('line')}) != ''")
