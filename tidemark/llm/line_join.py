@@ -81,24 +81,37 @@ def line_sets(docs: DataFrame, threshold: float, ranks: bytes, id_col: str, text
     return rows.groupBy("sa", "sb").agg(F.min("r").alias("r")).select("r.*")
 
 
-def _partners(x: DataFrame, y: DataFrame, threshold: float) -> DataFrame:
+def _partners(x: DataFrame, y: DataFrame, threshold: float, counted: bool) -> DataFrame:
     """Pairs of rows (k, id, pos, i, n, odd) that share the word hash k, x earlier, and pass all filters.
 
     Length: the smaller set has at least ``threshold`` of the larger's words.
-    Position: what follows the shared word leaves room for the overlap.
+    Position: what comes before and after the shared word leaves room for the
+    overlap; at the first shared word what follows it alone.
     Parity: sets that differ in more classes than in allowed words are too far
     apart. ``n`` of a y that needs no partner is negative; the test for that
     names both sides, so that both read the same shuffle.
+
+    Count, if both sides hold whole prefixes: a word of one prefix can be shared
+    with the other set only inside the other prefix, if that ends later; so the
+    overlap is at most the number of shared prefix words and what follows the
+    longer rest, and pairs that share too few are out.
     """
     most = f"floor({(1 - threshold) / (1 + threshold)} * (abs(x.n) + abs(y.n)) + 1e-9)"
     need = f"ceil({threshold / (1 + threshold)} * (abs(x.n) + abs(y.n)) - 1e-9)"
-    return x.alias("x").join(y.alias("y"), F.col("x.k") == F.col("y.k")).where(
+    met = x.alias("x").join(y.alias("y"), F.col("x.k") == F.col("y.k")).where(
         f"(x.id < y.id OR (x.id = y.id AND x.pos < y.pos)) AND bit_count(x.odd ^ y.odd) <= {most} "
         f"AND if(y.n > 0, abs(x.n), 0) >= {threshold} * abs(y.n) - 1e-9 AND abs(y.n) >= {threshold} * abs(x.n) - 1e-9 "
-        f"AND least(abs(x.n) - x.i, abs(y.n) - y.i) >= {need}"
-    ).select(
-        F.col("x.id").alias("x_id"), F.col("x.pos").alias("x_pos"), F.col("y.id").alias("y_id"), F.col("y.pos").alias("y_pos")
-    ).distinct()
+        f"AND least(x.i, y.i) + least(abs(x.n) - x.i, abs(y.n) - y.i) >= {need}"
+    )
+    pair = [F.col(f"{e}.{c}").alias(f"{e}_{c}") for e in "xy" for c in ("id", "pos")]
+    keys = ["x_id", "x_pos", "y_id", "y_pos"]
+    if not counted:
+        return met.select(*pair).distinct()
+    rest = f"ceil({threshold} * greatest(abs(x.n), abs(y.n)) - 1e-9) - 1"
+    least = F.expr(f"cast({need} - ({rest}) as int)").alias("least")
+    room = F.expr(f"cast(least(abs(x.n) - x.i, abs(y.n) - y.i) - {need} as int)").alias("room")  # most at the first one
+    sums = [F.count(F.lit(1)).alias("shared"), F.max("least").alias("least"), F.max("room").alias("room")]
+    return met.select(*pair, least, room).groupBy(*keys).agg(*sums).where("shared >= least AND room >= 0").select(*keys)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, threshold: float, id_col: str, text_col: str, most_broadcast: int) -> DataFrame:
@@ -145,12 +158,12 @@ def kept_lines(
         marks = _array_literal([int(c in busy) for c in range(cells)])
         rows = entries.where(F.expr(f"element_at({marks}, (k & {cells - 1}) + 1) = 1"))
         pivots = rows.groupBy("k").agg(F.min(F.struct("id", "pos", "n", "odd", "i")).alias("p")).select("k", "p.*")
-        first = settled(_partners(pivots, rows, threshold))
+        first = settled(_partners(pivots, rows, threshold, counted=False))
         decided = settled(_verified(first, docs, threshold, id_col, text_col, most_broadcast))
         marked = sets.join(decided.withColumn("done", F.lit(True)), ["id", "pos"], "left")
         signed = F.when(F.col("done").isNull(), F.col("n")).otherwise(-F.col("n")).alias("n")
         entries = marked.select("id", "pos", signed, "odd", F.posexplode("prefix").alias("i", "k"))
-    pairs = settled(_partners(entries, entries, threshold))
+    pairs = settled(_partners(entries, entries, threshold, counted=True))
     gone = _verified(pairs, docs, threshold, id_col, text_col, most_broadcast)
     if decided is not None:
         gone = gone.unionAll(decided).distinct()
