@@ -32,11 +32,6 @@ def _words(line: str) -> str:
     return f"array_distinct(array_remove({_split(line)}, ''))"
 
 
-def _array_literal(values: list[int]) -> str:
-    """SQL for an array of integers, folded to one literal by the optimiser."""
-    return f"cast(split('{','.join(map(str, values))}', ',') as array<int>)"
-
-
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, pos, line) of every line of documents with an id."""
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -135,7 +130,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: float, id_col: str,
 
 def kept_lines(
     docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
-    hot: int = 1000, most_broadcast: int = 1_000_000,
+    hot: int = 64, most_broadcast: int = 1_000_000,
 ) -> DataFrame:
     """(id, pos) of the first line with each word set that no earlier line is similar to.
 
@@ -150,13 +145,16 @@ def kept_lines(
     """
     sets = settled(line_sets(docs, threshold, word_ranks(docs, text_col), id_col, text_col))
     entries = sets.select("id", "pos", "n", "odd", F.posexplode("prefix").alias("i", "k"))
-    cells = 1 << 16
-    counts = entries.groupBy(F.expr(f"k & {cells - 1}").alias("c")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot).collect()
+    cells = 1 << 20
+    cell = f"(k & {cells - 1})"
+    counts = entries.groupBy(F.expr(cell).alias("c")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot)
+    busy = counts.select("c").toPandas()["c"].tolist()  # at most one per cell, a fixed number
     decided = None
-    if counts:
-        busy = {r["c"] for r in counts}
-        marks = _array_literal([int(c in busy) for c in range(cells)])
-        rows = entries.where(F.expr(f"element_at({marks}, (k & {cells - 1}) + 1) = 1"))
+    if busy:
+        marks = bytearray(cells)
+        for c in busy:
+            marks[c] = 1
+        rows = entries.where(F.expr(f"substring(X'{marks.hex()}', {cell} + 1, 1) = X'01'"))
         pivots = rows.groupBy("k").agg(F.min(F.struct("id", "pos", "n", "odd", "i")).alias("p")).select("k", "p.*")
         first = settled(_partners(pivots, rows, threshold, counted=False))
         decided = settled(_verified(first, docs, threshold, id_col, text_col, most_broadcast))
