@@ -38,7 +38,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
-def word_ranks(docs: DataFrame, text_col: str = "text", cells: int = 1 << 20) -> bytes:
+def word_ranks(docs: DataFrame, text_col: str = "text", cells: int = 1 << 18) -> bytes:
     """For each of ``cells`` hash cells, how often words of the corpus fall into it, in steps of a third of a power of two.
 
     All words of all texts are counted. The order of words by (step of the cell,
@@ -130,7 +130,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: float, id_col: str,
 
 def kept_lines(
     docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
-    hot: int = 64, most_broadcast: int = 1_000_000,
+    hot: int = 256, most_broadcast: int = 1_000_000,
 ) -> DataFrame:
     """(id, pos) of the first line with each word set that no earlier line is similar to.
 
@@ -145,7 +145,7 @@ def kept_lines(
     """
     sets = settled(line_sets(docs, threshold, word_ranks(docs, text_col), id_col, text_col))
     entries = sets.select("id", "pos", "n", "odd", F.posexplode("prefix").alias("i", "k"))
-    cells = 1 << 20
+    cells = 1 << 18
     cell = f"(k & {cells - 1})"
     counts = entries.groupBy(F.expr(cell).alias("c")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot)
     busy = counts.select("c").toPandas()["c"].tolist()  # at most one per cell, a fixed number
