@@ -61,7 +61,9 @@ def load(path: str) -> Vocabulary:
     safe = "".join("\\" + c for c in marks)
     free = [c for c in "\n\t\r" if not any(c in p for p, _, _ in pieces)]
     breaks = "".join({"\n": "\\n", "\t": "\\t", "\r": "\\r"}[c] for c in free)
-    word = rf"{SPACE}*[^{SPACE}{breaks}{safe}]+|{SPACE}*[{safe}][^{SPACE}{breaks}{safe}]*" if safe else rf"{SPACE}*[^{SPACE}{breaks}]+"
+    # A mark starts a word only after a letter; after anything else it goes on with the word.
+    inside = rf"[^{SPACE}{breaks}{safe}]|(?<!\p{{L}})[{safe}]" if safe else rf"[^{SPACE}{breaks}]"
+    word = rf"{SPACE}*[^{SPACE}{breaks}](?:{inside})*"
     pattern = rf"{word}|{SPACE}+" + (f"|[{breaks}]" if breaks else "")
     return Vocabulary(
         pieces, [model.id_to_piece(i) for i in ids], first_byte, model.unk_id(), max(len(p) for p, _, _ in pieces),
