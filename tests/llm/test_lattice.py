@@ -53,7 +53,7 @@ def test_paths_are_the_best_ones(spark, vocabulary):
 
 
 def test_words_cut_only_where_no_piece_reaches_across(spark, vocabulary):
-    import re
+    import regex as re
 
     pieces = [p for p, _, _ in vocabulary.pieces]
     text = "▁it's▁(a.b),▁end..▁naïve!x"
