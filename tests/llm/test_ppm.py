@@ -103,3 +103,13 @@ def test_codes_hold_the_bytes_before():
     assert symbols.tolist() == [3, 1, 2]
     assert [int(c).to_bytes(8, "big")[-(ppm.ORDER + 1):] for c in codes] == [
         b"\xff" * 6 + b"a", b"\xff" * 5 + b"ab", b"\xff" * 4 + b"ab\xff", b"\xff" * 7, b"\xff" * 6 + b"c", b"\xff" * 5 + b"c\xff"]
+
+
+def test_pairs_seen_twice_stay_in_a_larger_corpus(make):
+    # 2.4 million symbols: a millionth of them is more than two, which once cut the pairs of the rare text.
+    rows = [(1, "cat " * 300_000), (3, "cat " * 300_000), (5, "zyxwvu tsrq"), (7, "zyxwvu tsrq"), (2, "zyxwvu tsrq")]
+    got = {r["doc_id"]: r["score"] for r in scored(make, rows)}
+    # Whatever the filler counts: after their six bytes these symbols were seen twice of two times.
+    sure = math.log10((2 - ppm.DISCOUNT) / 2)
+    start = math.log10((2 - ppm.DISCOUNT) / 4)
+    assert math.isclose(got[2], start + 11 * sure, rel_tol=1e-5) and got[2] == got[5] == got[7]

@@ -3,12 +3,14 @@
 The byte-context trie of orders 0 to 6 is counted over all training texts by
 Spark. A symbol not seen after a context escapes to the next shorter one, where
 all symbols the longer context knows are excluded. Every known symbol gives up
-half a count to the escape (method D), and so does all that pruning has taken
-from the context. The trained model is static; a document's score is its log10 probability.
+half a count to the escape (method D), and so do all symbols seen only once in
+the context. The trained model is static and stays in Spark, in buckets that the
+symbols of the documents are sent to; a document's score is its log10 probability.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -115,90 +117,103 @@ def _codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return code[keep], lengths + 1
 
 
-def gram_counts(texts: DataFrame) -> DataFrame:
-    """(code, n) of every symbol with its ORDER bytes of context over all rows; summed in each task first."""
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes with the sum of their counts."""
+    if not parts:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    keys = np.concatenate([p[0] for p in parts])
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], np.concatenate([p[1] for p in parts])[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return (keys[first], np.add.reduceat(n, first)) if len(keys) else (keys, n)
+
+
+def _task_counts(batches: Iterator[pa.RecordBatch], n_bytes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Counts of the last ``n_bytes`` of every code of a task, in parts that are summed first."""
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    held = 0
+    for batch in sliced(batches, "text", 2_000_000):
+        if batch.num_rows:
+            parts.append(np.unique(_codes(batch.column(0))[0] & _mask(n_bytes), return_counts=True))
+            held += len(parts[-1][0])
+        if held > 4_000_000:
+            parts = [_merged(parts)]
+            held = len(parts[0][0])
+            if held > 2_000_000:
+                yield parts[0]
+                parts, held = [], 0
+    if parts:
+        yield _merged(parts)
+
+
+def gram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(code, n) of every symbol with ``order`` bytes of context over all rows; summed in each task first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
-        held = 0
-
-        def merged():
-            keys = np.concatenate([p[0] for p in parts])
-            order = np.argsort(keys, kind="stable")
-            keys, n = keys[order], np.concatenate([p[1] for p in parts])[order]
-            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-            return keys[first], np.add.reduceat(n, first)
-
-        for batch in sliced(batches, "text", 2_000_000):
-            if batch.num_rows:
-                parts.append(np.unique(_codes(batch.column(0))[0], return_counts=True))
-                held += len(parts[-1][0])
-            if held > 4_000_000:
-                parts = [merged()]
-                held = len(parts[0][0])
-                if held > 2_000_000:
-                    yield pa.record_batch({"code": parts[0][0].view(np.int64), "n": parts[0][1]})
-                    parts, held = [], 0
-        if parts:
-            keys, n = merged()
+        for keys, n in _task_counts(batches, order + 1):
             yield pa.record_batch({"code": keys.view(np.int64), "n": n})
 
     return texts.select("text").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def train(texts: DataFrame, min_rate: float = 1e-6) -> Model:
-    """The trie over all rows of ``texts`` (text; null is empty), cut where it is too rare to matter.
+class Counts(NamedTuple):
+    """What an order leaves to the next longer one."""
 
-    A symbol stays in a context if the two were seen at least twice and in at
-    least ``min_rate`` of all places, so each order keeps at most 1 / min_rate
-    pairs however large the corpus; that bounds the model sent to the tasks.
-    Counts of contexts include what is cut, which goes to their escapes.
-    """
-    grams = settled(gram_counts(texts))
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    least = max(2, int(np.ceil(total * min_rate)))
-    every = settled(
-        grams.select(F.explode(F.sequence(F.lit(0), F.lit(ORDER))).alias("k"), "code", "n")
-        .select("k", F.expr("code & (shiftleft(1L, 8 * (k + 1)) - 1)").alias("code"), "n")
-        .groupBy("k", "code").agg(F.sum("n").alias("n"))
-    )
-    kept_pairs = every.where(F.col("n") >= least)
-    contexts = (
-        every.groupBy("k", F.expr("shiftright(code, 8)").alias("context"))
-        .agg(F.sum("n").alias("n"), F.max("n").alias("top")).where(F.col("top") >= least)
-    )
+    nodes: Table
+    totals: np.ndarray
+    kept: np.ndarray
+    distinct: np.ndarray
+    pairs: Table
+    counts: np.ndarray
 
-    def column(table: pa.Table, name: str) -> np.ndarray:
-        return table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
 
+def _grown(keys: np.ndarray, n: np.ndarray, orders: range, below: Counts | None) -> tuple[list[Level], Counts | None]:
+    """The levels of ``orders``, from all codes that end in the same contexts (sorted, distinct) and their counts.
+
+    A symbol stays in a context if the two were seen at least twice, whatever
+    the size of the corpus. Counts of contexts include what is cut, which goes
+    to their escapes.
+    """
     levels: list[Level] = []
-    below = None  # of the order before: nodes, totals, kept, distinct, pairs, counts
-    for k in range(ORDER + 1):
-        # One order at a time, each at most 1 / min_rate rows.
-        own = kept_pairs.where(F.col("k") == k).select("code", "n").toArrow()
-        codes, counts = column(own, "code").astype(np.int64).view(np.uint64), column(own, "n").astype(np.float64)
-        ctx = contexts.where(F.col("k") == k).select("context", "n").toArrow()
-        keys, totals = column(ctx, "context").astype(np.int64).view(np.uint64), column(ctx, "n").astype(np.float64)
-        del own, ctx
-        nodes, table = Table.of(keys), Table.of(codes)
+    for k in orders:
+        codes, every = _merged([(keys & _mask(k + 1), n)])
+        context = codes >> np.uint64(8)
+        first = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(codes) else np.zeros(0, dtype=np.int64)
+        known = np.maximum.reduceat(every, first) >= 2 if len(codes) else np.zeros(0, dtype=bool)
+        totals = (np.add.reduceat(every, first) if len(codes) else every)[known].astype(np.float64)
+        contexts, codes, counts = context[first][known], codes[every >= 2], every[every >= 2].astype(np.float64)
+        nodes, table = Table.of(contexts), Table.of(codes)
         owner = nodes.find(codes >> np.uint64(8))
-        kept = np.bincount(owner, weights=counts, minlength=len(keys))
-        distinct = np.bincount(owner, minlength=len(keys)).astype(np.float64)
+        kept = np.bincount(owner, weights=counts, minlength=len(contexts))
+        distinct = np.bincount(owner, minlength=len(contexts)).astype(np.float64)
         whole, escape = totals, totals - kept + DISCOUNT * distinct
-        below_whole, below_escape = np.ones(len(keys)), np.ones(len(keys))
+        below_whole, below_escape = np.ones(len(contexts)), np.ones(len(contexts))
         if below is not None:
-            down = below[0].find(keys & _mask(k - 1))
-            shared = below[5][below[4].find(codes & _mask(k))]  # the same symbols in the shorter context
-            out = np.bincount(owner, weights=shared, minlength=len(keys))
-            below_escape = below[1][down] - below[2][down] + DISCOUNT * (below[3][down] - distinct)
-            below_whole = below[1][down] - out
+            down = below.nodes.find(contexts & _mask(k - 1))
+            shared = below.counts[below.pairs.find(codes & _mask(k))]  # the same symbols in the shorter context
+            out = np.bincount(owner, weights=shared, minlength=len(contexts))
+            below_escape = below.totals[down] - below.kept[down] + DISCOUNT * (below.distinct[down] - distinct)
+            below_whole = below.totals[down] - out
             nothing = (below_whole <= 0) | (below_escape <= 0)  # the shorter context knows nothing more: pass through
             below_whole[nothing], below_escape[nothing] = 1, 1
         logs = [np.log10(x).astype(np.float32) for x in (counts - DISCOUNT, whole, escape, below_whole, below_escape)]
         levels.append(Level(table, logs[0], nodes, *logs[1:]))
-        below = (nodes, totals, kept, distinct, table, counts)
-    n_known = len(levels[0].log_count)
-    return Model(levels, -float(np.log10(max(1, 256 - n_known))))
+        below = Counts(nodes, totals, kept, distinct, table, counts)
+    return levels, below
+
+
+def _low(texts: DataFrame, order: int) -> tuple[Model, Counts]:
+    """The levels up to ``order``, grown on the driver."""
+    grams = gram_counts(texts, order).toArrow()
+    keys = grams.column("code").combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    n = grams.column("n").combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64)
+    levels, counts = _grown(*_merged([(keys, n)]), range(order + 1), None)
+    return Model(levels, -float(np.log10(max(1, 256 - len(levels[0].log_count))))), counts
+
+
+def train(texts: DataFrame) -> Model:
+    """The trie over all rows of ``texts`` (text; null is empty) in one process, for texts that fit there."""
+    return _low(texts, ORDER)[0]
 
 
 def symbol_scores(model: Model, codes: np.ndarray) -> np.ndarray:
@@ -227,6 +242,168 @@ def symbol_scores(model: Model, codes: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Contexts up to this length are sent to the tasks: at most 2^24 pairs of bytes and symbol, whatever the corpus.
+NEAR = 2
+#: Training text per bucket, and symbols per row of the shuffle.
+BUCKET_BYTES, PIECE = 64_000_000, 2048
+
+
+def _buckets(codes: np.ndarray, n: int) -> np.ndarray:
+    """Where the contexts of more than NEAR bytes of a code are counted: by the NEAR + 1 bytes before the symbol."""
+    return (mix((codes >> np.uint64(8)) & _mask(NEAR + 1)) % np.uint64(n)).astype(np.int64)
+
+
+def _packed(codes: np.ndarray, more: np.ndarray) -> bytes:
+    """Sorted codes and a small number beside each, as compressed byte planes of the differences."""
+    steps = np.diff(codes, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
+    planes = np.concatenate([steps, more.astype(np.uint32).view(np.uint8).reshape(-1, 4).T])
+    return len(codes).to_bytes(4, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(data[:4], "little")
+    planes = np.frombuffer(pa.decompress(data[4:], 12 * n, "zstd", asbytes=True), dtype=np.uint8).reshape(12, n)
+    steps = np.ascontiguousarray(planes[:8].T).view(np.uint64).ravel()
+    return np.cumsum(steps, dtype=np.uint64), np.ascontiguousarray(planes[8:].T).view(np.uint32).ravel()
+
+
+_SENT = "bucket long, kind int, slice long, n_docs int, data binary"
+
+
+def _sent(codes: np.ndarray, more: np.ndarray, n_buckets: int, kind: int, first: int, n_docs: int) -> pa.RecordBatch:
+    """Sorted codes as rows of at most PIECE symbols by bucket."""
+    bucket = _buckets(codes, n_buckets)
+    order = np.argsort(bucket, kind="stable")
+    bucket, codes, more = bucket[order], codes[order], more[order]
+    cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    ends = np.append(cuts[1:], len(codes))
+    pieces = [(a, min(a + PIECE, e)) for c, e in zip(cuts, ends) for a in range(c, e, PIECE)]
+    data = [_packed(codes[a:b], more[a:b]) for a, b in pieces]
+    m = len(pieces)
+    return pa.record_batch({
+        "bucket": pa.array([int(bucket[a]) for a, _ in pieces], pa.int64()), "kind": pa.array([kind] * m, pa.int32()),
+        "slice": pa.array([first] * m, pa.int64()), "n_docs": pa.array([n_docs] * m, pa.int32()), "data": pa.array(data, pa.binary()),
+    })
+
+
+def _text_keys(column: pa.Array) -> list[bytes]:
+    """16 bytes that stand for a text; a null text is empty."""
+    return [hashlib.blake2b(t or b"", digest_size=16).digest() for t in column.cast(pa.large_binary()).to_pylist()]
+
+
+def model_scores(taught: DataFrame, asked: DataFrame) -> DataFrame:
+    """(key, score) of every distinct text of ``asked`` under the model of ``taught``; both have a column text.
+
+    Contexts and symbols go to buckets by the three bytes before the symbol, so
+    that a bucket has every longer context of its symbols whole. There the
+    counts of the training texts come first and make the bucket's part of the
+    trie; then the symbols of the texts are looked up, and their sums go back by
+    slice of texts. No task holds more than one bucket's contexts, the driver
+    none beyond those of NEAR bytes.
+    """
+    spark = taught.sparkSession
+    size = taught.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_buckets = max(8, -(-size // BUCKET_BYTES))
+    near = spark.sparkContext.broadcast(_low(taught, NEAR))
+
+    def learnt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, n in _task_counts(batches, ORDER + 1):
+            while len(keys):  # counts beyond 32 bits go in parts
+                yield _sent(keys, np.minimum(n, 2**32 - 1), n_buckets, 0, -1, 0)
+                n = n - np.minimum(n, 2**32 - 1)
+                keys, n = keys[n > 0], n[n > 0]
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 40
+        for batch in sliced(batches, "text", 1_000_000):
+            if not batch.num_rows:
+                continue
+            codes, symbols = _codes(batch.column(0))
+            doc = np.repeat(np.arange(batch.num_rows), symbols)
+            order = np.argsort(codes, kind="stable")
+            yield _sent(codes[order], doc[order], n_buckets, 1, first, batch.num_rows)
+            yield pa.record_batch({
+                "bucket": pa.array([first % n_buckets], pa.int64()), "kind": pa.array([2], pa.int32()), "slice": pa.array([first], pa.int64()),
+                "n_docs": pa.array([batch.num_rows], pa.int32()), "data": pa.array([b"".join(_text_keys(batch.column(0)))], pa.binary()),
+            })
+            first += batch.num_rows
+
+    def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, below = near.value
+        at, model = None, None
+        grams: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+
+        def answers():
+            scores = symbol_scores(model, np.concatenate([h[2] for h in held]))
+            sums: dict[int, np.ndarray] = {}
+            done = 0
+            for first, n_docs, codes, doc in held:
+                part = np.bincount(doc, weights=scores[done : done + len(codes)], minlength=n_docs)
+                sums[first] = sums[first] + part if first in sums else part
+                done += len(codes)
+            data = [v.tobytes() for v in sums.values()]
+            held.clear()
+            return pa.record_batch({"slice": pa.array(sums.keys(), pa.int64()), "is_key": pa.array([False] * len(data)), "data": pa.array(data, pa.binary())})
+
+        n_held = 0
+        for batch in batches:
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            for i, (bucket, kind, first, n_docs) in enumerate(zip(*(c.tolist() for c in columns))):
+                data = batch.column(4)[i].as_py()
+                if bucket != at:
+                    if held:
+                        yield answers()
+                        n_held = 0
+                    at, model, grams = bucket, None, []
+                if kind == 0:
+                    keys, n = _unpacked(data)
+                    grams.append((keys, n.astype(np.int64)))
+                    n_held += len(keys)
+                    if n_held > 4_000_000:
+                        grams, n_held = [_merged(grams)], 0
+                elif kind == 1:
+                    if model is None:
+                        model = Model(low.levels + _grown(*_merged(grams), range(NEAR + 1, ORDER + 1), below)[0], low.log_rest)
+                        grams, n_held = [], 0
+                    held.append((first, n_docs, *_unpacked(data)))
+                    n_held += len(held[-1][2])
+                    if n_held > 1_000_000:
+                        yield answers()
+                        n_held = 0
+                else:
+                    yield pa.record_batch({"slice": pa.array([first], pa.int64()), "is_key": pa.array([True]), "data": pa.array([data], pa.binary())})
+        if held:
+            yield answers()
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, keys, total = None, b"", None
+
+        def out():
+            return pa.record_batch({"key": pa.array([keys[i : i + 16] for i in range(0, len(keys), 16)], pa.binary()), "score": pa.array(total, pa.float64())})
+
+        for batch in batches:
+            for first, is_key, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if first != at:
+                    if at is not None:
+                        yield out()
+                    at, total = first, None
+                if is_key:
+                    keys = data
+                else:
+                    part = np.frombuffer(data, dtype=np.float64)
+                    total = part if total is None else total + part
+        if at is not None:
+            yield out()
+
+    sent = taught.select("text").mapInArrow(learnt, _SENT).unionAll(asked.select("text").mapInArrow(wanted, _SENT))
+    parts = sent.repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "kind", "slice").mapInArrow(
+        looked_up, "slice long, is_key boolean, data binary"
+    )
+    slices = parts.repartition("slice").sortWithinPartitions("slice").mapInArrow(summed, "key binary, score double")
+    return slices.groupBy("key").agg(F.max("score").alias("score"))
+
+
 def token_counts(texts: DataFrame) -> DataFrame:
     """(token, c) over all rows: A-Z made small, words between ASCII white space, and one END per row."""
 
@@ -250,7 +427,7 @@ def token_counts(texts: DataFrame) -> DataFrame:
 
 def score(
     docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text",
-    min_rate: float = 1e-6, common_rate: float = 1e-6, add: float = 0.1,
+    common_rate: float = 1e-6, add: float = 0.1,
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -265,23 +442,19 @@ def score(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), training.alias("teach"))
     taught = rows.where("teach").select("text")
     spark = docs.sparkSession
-    model = train(taught, min_rate)
     counts = settled(token_counts(taught))
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     common = counts.where(F.col("c") >= n * common_rate).toPandas()
     weights = dict(zip(map(bytes, common["token"]), np.log10(common["c"].to_numpy(np.float64) + add).tolist()))
-    shared = spark.sparkContext.broadcast((model, weights))
+    shared = spark.sparkContext.broadcast(weights)
     id_type = docs.schema[id_col].dataType
 
     def assess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, weights = shared.value
+        weights = shared.value
         row = TaskContext.get().partitionId() << 40
         for batch in sliced(batches, "text", 1_000_000):
             if not batch.num_rows:
                 continue
-            codes, symbols = _codes(batch.column(1))
-            ends = np.cumsum(symbols)
-            scores = np.add.reduceat(symbol_scores(model, codes), ends - symbols)
             n_tokens, known, sums, owner, token, times = [], [], [], [], [], []
             for text in batch.column(1).cast(pa.large_binary()).to_pylist():
                 words = (text or b"").lower().split()
@@ -302,19 +475,19 @@ def score(
             mine = np.arange(row - k, row)
             yield pa.record_batch({
                 "row": pa.array(mine), "id": batch.column(0), "n_tokens": pa.array(n_tokens, pa.int64()),
-                "known": pa.array(known, pa.int64()), "base": pa.array(sums, pa.float64()), "score": pa.array(scores),
+                "known": pa.array(known, pa.int64()), "base": pa.array(sums, pa.float64()), "key": pa.array(_text_keys(batch.column(1)), pa.binary()),
                 "token": pa.nulls(k, pa.binary()), "times": pa.nulls(k, pa.int64()),
             })
             if owner:
                 m = len(owner)
                 yield pa.record_batch({
                     "row": pa.array(owner, pa.int64()), "id": pa.nulls(m, batch.column(0).type), "n_tokens": pa.nulls(m, pa.int64()),
-                    "known": pa.nulls(m, pa.int64()), "base": pa.nulls(m, pa.float64()), "score": pa.nulls(m, pa.float64()),
+                    "known": pa.nulls(m, pa.int64()), "base": pa.nulls(m, pa.float64()), "key": pa.nulls(m, pa.binary()),
                     "token": pa.array(token, pa.binary()), "times": pa.array(times, pa.int64()),
                 })
 
     fields = (
-        f"row long, id {id_type.simpleString()}, n_tokens long, known long, base double, score double, "
+        f"row long, id {id_type.simpleString()}, n_tokens long, known long, base double, key binary, "
         "token binary, times long"
     )
     found = settled(rows.select("id", "text").mapInArrow(assess, fields))  # read twice: texts and their rare tokens
@@ -327,7 +500,8 @@ def score(
     )
     per_token = float(np.log10(n + add * (v + 1)))
     return (
-        found.where("n_tokens IS NOT NULL").select("row", "id", "n_tokens", "known", "base", "score").join(rare, "row", "left")
+        found.where("n_tokens IS NOT NULL").select("row", "id", "n_tokens", "known", "base", "key").join(rare, "row", "left")
+        .join(model_scores(taught, rows), "key", "left")
         .select(
             F.col("id").alias(id_col), "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
             F.lit(n).cast("long").alias("train_tokens"),
