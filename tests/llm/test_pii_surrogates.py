@@ -73,3 +73,20 @@ def test_empty_table_columns_and_plan(make, capsys):
     pii_surrogates.replace_entities(make(ROWS), "k").explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_numbers_beside_each_other_are_no_card(make):
+    rows = [(1, "2024-01-15 555-123-4567"), (2, "4711 555-123-4567"), (3, "123-45-6789 987-65-4322"), (9, "123-45-6789 987-65-4321"), (4, "4041894974608795 123"),
+            (5, "4711 4712 47135 555 123 4567"), (6, "see 4041-8949-7460-8796."), (7, "2024-01-15 555-123-4567, a@b.co"), (8, "x 4711 555-123-4567")]
+    got = {r["doc_id"]: (r["text"], r["__mentions"]) for r in pii_surrogates.replace_entities(make(rows), "k").collect()}
+    phone = got[2][0][5:]
+    assert re.fullmatch(r"\d{3}-\d{3}-\d{4}", phone) and phone != "555-123-4567"
+    assert got[1] == (f"2024-01-15 {phone}", 1) and got[2] == (f"4711 {phone}", 1) and got[8] == (f"x 4711 {phone}", 1)
+    first, second = got[3][0].split()
+    assert got[3][1] == 2 and first != "123-45-6789" and second != "987-65-4322" and re.fullmatch(r"(\d{3}-\d\d-\d{4} ?){2}", got[3][0])
+    # By chance this one has a right check digit: one card, its digits replaced all the same.
+    assert luhn("123456789987654321") and got[9][1] == 1 and "123-45-6789" not in got[9][0] and "987-65-4321" not in got[9][0]
+    assert got[4][1] == 1 and got[4][0].endswith(" 123") and luhn(got[4][0][:16]) and not got[4][0].startswith("4041894974608795")
+    assert got[5][0].endswith(phone.replace("-", " ")), got[5]
+    assert got[6] == (dict(rows)[6], 0)
+    assert got[7][0].startswith(f"2024-01-15 {phone}, ") and got[7][1] == 2 and "a@b.co" not in got[7][0]

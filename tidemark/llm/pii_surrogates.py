@@ -29,6 +29,9 @@ PATTERNS = {
     "person": rf"{_TITLE}{_NAME}(?: {_NAME})?",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# Where a wide stretch of digits has a wrong check digit: cards in one run or in their usual groups only.
+_NARROW_CARD = r"(?<![0-9A-Za-z.-])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z]|[.-][0-9])"
+NARROW_PATTERN = "|".join(f"(?:{_NARROW_CARD if n == 'card' else p})" for n, p in PATTERNS.items())
 #: No mention without one of these.
 _HINT = rf"[0-9@]|{_TITLE}"
 
@@ -70,6 +73,44 @@ def mentions(text: str) -> Column:
     return F.when(F.coalesce(F.rlike(text, F.lit(_HINT)), F.lit(False)), found).otherwise(F.array().cast("array<string>"))
 
 
+def pieces(rows: DataFrame, text: str) -> DataFrame:
+    """``rows`` with ``__pieces``: a text with mentions ``__found`` as a list of (gap, mention), the last mention null.
+
+    The card pattern may take a date, an id and a phone number for one card.
+    Where its check digit is wrong, the text up to the next mentions on both
+    sides is searched again, for cards in their usual forms only.
+    """
+    digits = _digits("m")
+    failed = F.expr(
+        f"transform(__found, m -> m RLIKE '^[0-9][0-9 -]+$' AND length({digits}) >= 13 AND "
+        f"{_luhn(f'substr({digits}, 1, length({digits}) - 1)')} != cast(right({digits}, 1) as int))"
+    )
+    rows = rows.withColumns({"__failed": failed, "__gaps": F.split(text, PATTERN)})
+    plain = F.expr("transform(__gaps, (g, i) -> struct(g as gap, get(__found, i) as mention))")
+    # Failed mentions go back into the gap before the next mention.
+    joined = F.expr(
+        "aggregate(__gaps, struct(cast(array() as array<struct<gap: string, mention: string, again: boolean>>) as done, "
+        "'' as open, false as again, 0 as i), (a, g) -> if(coalesce(get(__failed, a.i), false), "
+        "struct(a.done as done, concat(a.open, g, get(__found, a.i)) as open, true as again, a.i + 1 as i), "
+        "struct(array_append(a.done, struct(concat(a.open, g) as gap, get(__found, a.i) as mention, a.again as again)) as done, "
+        "'' as open, false as again, a.i + 1 as i))).done"
+    )
+
+    def searched(p: Column) -> Column:
+        gaps = F.split(p["gap"], NARROW_PATTERN)
+        inner = F.transform(
+            F.regexp_extract_all(p["gap"], F.lit(NARROW_PATTERN), F.lit(0)),
+            lambda m, i: F.struct(F.get(gaps, i).alias("gap"), m.alias("mention")),
+        )
+        last = F.struct(F.element_at(gaps, -1).alias("gap"), p["mention"].alias("mention"))
+        kept = F.array(F.struct(p["gap"].alias("gap"), p["mention"].alias("mention")))
+        return F.when(p["again"], F.concat(inner, F.array(last))).otherwise(kept)
+
+    again = F.flatten(F.transform(joined, searched))
+    some = F.exists("__failed", lambda x: x)
+    return rows.withColumn("__pieces", F.when(some, again).otherwise(plain)).drop("__failed", "__gaps")
+
+
 def _kinds(rows: DataFrame) -> DataFrame:
     """(mention, part, kind, canon): the entities in a mention; a person has one per word of the name."""
     kind = F.lit(None).cast("string")
@@ -196,7 +237,7 @@ def _rendered(parts: DataFrame) -> DataFrame:
 
 
 def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs``, personal data in the text replaced, with the number of mentions ``__mentions``.
+    """All rows and columns of ``docs``, personal data in the text replaced, with the number of replaced mentions ``__mentions``.
 
     Found are e-mail and IP addresses, card numbers (13 to 19 digits with a
     right check digit), account numbers, social security and phone numbers, and
@@ -209,25 +250,28 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataF
     if "'" in key or "\\" in key:
         raise ValueError("the key may not hold quotes or backslashes")
     found = docs.withColumn("__found", mentions(text_col))
-    some = found.where(F.size("__found") > 0).withColumns({
-        "__a": F.xxhash64(text_col), "__b": F.xxhash64(F.lit("b"), text_col),
-        "__gaps": F.split(text_col, PATTERN),
-    })
-    named = found.select(F.explode("__found").alias("mention")).distinct()
+    some = pieces(found.where(F.size("__found") > 0), text_col).withColumns(
+        {"__a": F.xxhash64(text_col), "__b": F.xxhash64(F.lit("b"), text_col)}
+    )
+    named = some.select(F.explode("__pieces.mention").alias("mention")).where("mention IS NOT NULL").distinct()
     parts = settled(_kinds(named))
     mapped = settled(_rendered(parts.join(surrogates(settled(parts.select("kind", "canon").distinct()), key), ["kind", "canon"])))
     # The mentions of one text, whichever rows have it: bounded by the text.
-    pairs = some.select("__a", "__b", F.explode("__found").alias("mention")).distinct().join(mapped, "mention")
+    pairs = some.select("__a", "__b", F.explode("__pieces.mention").alias("mention")).distinct().join(mapped, "mention")
     maps = pairs.groupBy("__a", "__b").agg(F.map_from_entries(F.collect_list(F.struct("mention", "shown"))).alias("__map"))
     filled = some.join(maps, ["__a", "__b"], "left").withColumn(
         "__text",
         F.expr(
-            "array_join(transform(__gaps, (g, i) -> concat(g, if(i < size(__found), "
-            "coalesce(try_element_at(__map, get(__found, i)), get(__found, i)), ''))), '')"
+            "array_join(transform(__pieces, p -> concat(p.gap, "
+            "coalesce(try_element_at(__map, p.mention), p.mention, ''))), '')"
         ),
     )
+    # No map: none of the text's mentions is an entity.
+    replaced = F.when(F.col("__map").isNull(), 0).otherwise(
+        F.expr("size(filter(__pieces, p -> try_element_at(__map, p.mention) IS NOT NULL))")
+    )
     same = [F.col(c) for c in docs.columns]
     new = [F.col("__text").alias(c) if c == text_col else F.col(c) for c in docs.columns]
     return found.where(F.size("__found") == 0).select(*same, F.lit(0).alias("__mentions")).unionAll(
-        filled.select(*new, F.size("__found").alias("__mentions"))
+        filled.select(*new, replaced.alias("__mentions"))
     )
