@@ -322,3 +322,28 @@ def test_write_ddl(spark, tmp_path):
     assert text == "\n\n".join(
         f"CREATE TABLE {t} (\n    ID INTEGER PRIMARY KEY,\n    name TEXT\n);" for t in "ab"
     )
+
+
+@pytest.mark.parametrize("split", ["40", "128m"])
+def test_csv_quote_inside_a_plain_cell(spark, tmp_path, split):
+    lines = ["id,a,b"] + [f"{i},plain,x" for i in range(20)] + ['20,3" pipe,x', '21,"two\nlines",y', '22,a"b"",c"', '23,"q ""z"" ,",w"', '24,"","""o\n"', '25,"x"y"z,"k\n\n,"']
+    lines += [f"{i},4\" pipe,x" for i in range(26, 40)]
+    path = tmp_path / "t.csv"
+    path.write_text("\n".join(lines) + "\n")
+    with open(path, newline="") as f:
+        want = sorted(r for r in list(csv.reader(f))[1:] if not r[0] == "25")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = sorted([x or "" for x in r] for r in read_raw_csv(spark, str(path), strict=True).collect())
+        assert [r[0] for r in got] == sorted(str(i) for i in range(40))
+        assert [r for r in got if r[0] != "25"] == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    flat = tmp_path / "flat.csv"
+    flat.write_text('id,a\n1,3" pipe\n2,x\n')
+    assert not has_broken_lines(spark, str(flat)) and read_raw_csv(spark, str(flat), strict=True).count() == 2
+    never = tmp_path / "never.csv"
+    never.write_text('id,a\n1,"x\n2,y\n')
+    with pytest.raises(Exception, match="never closed"):
+        read_raw_csv(spark, str(never)).collect()

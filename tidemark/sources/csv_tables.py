@@ -7,18 +7,25 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def _quotes(line: str) -> Column:
-    return F.length(line) - F.length(F.replace(F.col(line), F.lit('"'), F.lit("")))
+def _single(text: str) -> Column:
+    """The text with one quote for an odd run of quotes and none for an even one: no cell opens or ends otherwise."""
+    return F.replace(F.col(text), F.lit('""'), F.lit(""))
+
+
+def _left_open(single: Column) -> Column:
+    """Whether a text that starts outside of quotes ends inside; a quote opens only at its start or after a delimiter."""
+    return F.rlike(F.regexp_replace(single, '(^|,)"[^"]*"', "$1x"), F.lit('(^|,)"'))
 
 
 def has_broken_lines(spark: SparkSession, path: str) -> bool:
-    """Whether a quoted cell may hold a line break.
+    """Whether a quoted cell holds a line break.
 
-    A cell that runs on to the next line leaves an odd number of quotes on the
-    line where it opens. The search is a split text scan that stops at one hit.
+    A cell that runs on to the next line is open where its first line ends; if
+    no line opens one, all start outside of quotes. The search is a split text
+    scan that stops at one hit.
     """
-    odd = spark.read.text(path).where(_quotes("value") % 2 == 1)
-    return bool(odd.limit(1).count())
+    opened = spark.read.text(path).where(_left_open(_single("value")))
+    return bool(opened.limit(1).count())
 
 
 def read_raw_csv(
@@ -48,24 +55,41 @@ def read_raw_csv(
 def _records(spark: SparkSession, path: str) -> DataFrame:
     """(record): the rows of all files as text, headers and blank lines left out.
 
-    A line starts a row if an even number of quotes comes before it in its file.
-    Each split counts its own quotes; a list of one entry per split then tells
-    the parity before it, and to which row of an earlier split its first lines
-    belong.
+    A line starts a row if no quoted cell is open before it. What a line does is
+    known for both cases: it ends open or closed whatever came before (fixed),
+    or it keeps or turns that (turns). The state after some lines is that of the
+    last fixed one, turned as often as lines after it turn. Each split does this
+    for its own lines; a list of one entry per split then tells the state before
+    it, and to which row of an earlier split its first lines belong. A file that
+    ends in an open cell fails the read.
     """
     lines = spark.read.text(path, lineSep="\n").select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("at"), _quotes("value").alias("quotes"),
+        F.monotonically_increasing_id().alias("at"), _single("value").alias("single"),
     )
-    in_file = W.partitionBy("file").orderBy("split")
-    earlier = in_file.rowsBetween(W.unboundedPreceding, -1)
-    parity = lines.groupBy("file", "split").agg(F.sum("quotes").alias("n")).select(
-        "file", "split", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) % 2).alias("open")
+    rest = F.expr("concat('x', substr(single, instr(single, '\"') + 1))")
+    outside = _left_open(F.col("single")).cast("int")
+    inside = F.when(F.instr("single", '"') == 0, 1).otherwise(_left_open(rest).cast("int"))
+    lines = lines.select("value", "file", "split", "at", outside.alias("outside"), inside.alias("inside")).select(
+        "value", "file", "split", "at", F.when(F.col("outside") == F.col("inside"), F.col("outside")).alias("fixed"),
+        (F.col("outside") > F.col("inside")).cast("int").alias("turns"),
     )
+    in_file = W.partitionBy("file").orderBy("split")
     in_split = W.partitionBy("file", "split").orderBy("at")
-    before = F.coalesce(F.sum("quotes").over(in_split.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    starts = ((F.col("open") + before) % 2 == 0).cast("int")
-    numbered = lines.join(parity, ["file", "split"]).withColumn("starts", starts).withColumn(
+    until, earlier = (W.unboundedPreceding, W.currentRow), in_file.rowsBetween(W.unboundedPreceding, -1)
+    lines = lines.withColumn("turned", F.sum("turns").over(in_split.rowsBetween(*until))).withColumn(
+        "base", (F.col("fixed") + F.col("turned")) % 2
+    )
+    splits = lines.groupBy("file", "split").agg(F.max_by("base", F.when(F.col("base").isNotNull(), F.col("at"))).alias("last"), F.sum("turns").alias("turns"))
+    splits = splits.withColumn("turned", F.sum("turns").over(in_file.rowsBetween(*until))).withColumn(
+        "base", (F.col("last") + F.col("turns") + F.col("turned")) % 2
+    )
+    # Lines before the first of a file: closed.
+    before = F.coalesce(F.last("base", ignorenulls=True).over(earlier), F.lit(0)) + F.col("turned") - F.col("turns")
+    entry = splits.select("file", "split", (before % 2).alias("open"))
+    base = F.coalesce(F.last("base", ignorenulls=True).over(in_split.rowsBetween(W.unboundedPreceding, -1)), F.col("open"))
+    starts = ((base + F.col("turned") - F.col("turns")) % 2 == 0).cast("int")
+    numbered = lines.join(entry, ["file", "split"]).withColumn("starts", starts).withColumn(
         "row", F.sum("starts").over(in_split.rowsBetween(W.unboundedPreceding, W.currentRow))
     )
     last = F.when(F.col("rows") > 0, F.struct("split", F.col("rows").alias("row")))
@@ -78,4 +102,5 @@ def _records(spark: SparkSession, path: str) -> DataFrame:
     parts = F.array_sort(F.collect_list(F.struct("split", "at", "value")))
     whole = owned.groupBy("file", "own").agg(F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("text"))
     first = (F.col("own.split") == 0) & (F.col("own.row") == 1)
-    return whole.where(~first).select(F.regexp_replace("text", "\r$", "").alias("record")).where("record != ''")
+    closed = F.when(_left_open(_single("text")), F.raise_error(F.concat(F.lit("a quoted cell is never closed in "), "file"))).otherwise(F.col("text"))
+    return whole.where(~first).select(F.regexp_replace(closed, "\r$", "").alias("record")).where("record != ''")
