@@ -72,3 +72,22 @@ def test_table(make):
     found = [(r["doc_id"], r["text"]) for r in masked.collect()]
     assert found[:3] == [(1, "[SECRET:assign]"), (2, None), (3, "")] and found[3][1].endswith("[SECRET:assign]") and len(found) == 6
     assert secret_scan.find_secrets(make([])).count() == secret_scan.mask_secrets(make([])).count() == 0
+
+
+MANY = "\n".join(f"line {i} {i * 7919 % 10007} of the file" for i in range(40)) + "\n" + SECRET
+
+
+@pytest.mark.parametrize("wrapped", [
+    base64.encodebytes(gzip.compress(MANY.encode())).decode().strip(), base64.encodebytes(MANY.encode()).decode().strip().replace("\n", "\r\n"),
+    "id_" + ONCE, "cfg/x" + ONCE, "a-b/" + ZIPPED, base64.b64encode(SECRET.encode("utf-16")).decode(),
+    base64.b64encode(SECRET.encode("utf-16-be")).decode(), base64.b64encode(b"\x00\xff " + SECRET.encode() + b"\n\xfe\x01").decode(),
+    base64.b64encode(gzip.compress(b"first") + gzip.compress(SECRET.encode())).decode(),
+    base64.b64encode(zlib.compress(b"first") + b"\n" + SECRET.encode()).decode(),
+])
+def test_other_readings_of_a_run(wrapped):
+    text = f"pré {wrapped} post"
+    base, every = secret_scan.text_spans(text)
+    assert not base and 0 in {k for k, _, _ in every}
+    assert all(4 <= s < e <= 4 + len(wrapped) for _, s, e in every)
+    hidden = secret_scan.masked(text)
+    assert secret_scan.text_spans(hidden)[1] == [] and hidden.endswith(" post")

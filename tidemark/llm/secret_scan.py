@@ -37,6 +37,12 @@ _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|
 _ONE_ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\[uUx]([0-9A-Fa-f]+)")
 # The shortest secret, token=12345678, has 14 bytes and so 19 base64 digits.
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{19,}={0,2}")
+# Lines of a wrapped run; the last may be short.
+_WRAPPED = re.compile(r"(?:[A-Za-z0-9+/_-]{16,}\r?\n[ \t]*)+[A-Za-z0-9+/_-]+={0,2}")
+# Where a gzip or zlib stream may start among base64 digits.
+_STREAM = re.compile(r"(?=H4sI|e(?:A[E-H]|F[4-7]|J[w-z]|N[o-r]))")
+# ASCII in UTF-16 of either byte order.
+_WIDE = re.compile(rb"(?:[\x01-\x7f]\x00){7,}[\x01-\x7f]?")
 _URL_SAFE = bytes.maketrans(b"-_", b"+/")
 _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 #: Inflated layers are searched in windows of so many bytes, with an overlap.
@@ -84,7 +90,7 @@ def _as_text(data: bytes) -> str | None:
 
 
 def _inflated(data: bytes) -> Iterator[bytes]:
-    """The windows of a gzip or zlib stream; nothing if it is none."""
+    """The windows of a gzip or zlib stream and of what follows it; nothing if it is none."""
     if data[:2] == b"\x1f\x8b":
         mode = 31
     elif len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0:
@@ -98,11 +104,17 @@ def _inflated(data: bytes) -> Iterator[bytes]:
         except zlib.error:
             return
         left = stream.unconsumed_tail
-        if not piece:
-            return
-        yield held + piece
-        held = (held + piece)[-OVERLAP:]
-        if stream.eof:
+        if piece:
+            yield held + piece
+            held = (held + piece)[-OVERLAP:]
+        if stream.eof:  # a further member, or bytes after the stream
+            left = stream.unused_data
+            if left[:2] == b"\x1f\x8b" or (left[:1] == b"\x78" and len(left) > 2 and (left[0] * 256 + left[1]) % 31 == 0):
+                stream = zlib.decompressobj(31 if left[0] == 0x1F else 15)
+            elif left:
+                yield held + left
+                return
+        elif not piece:
             return
 
 
@@ -148,25 +160,19 @@ def _escapes(run: str) -> list[tuple[str, int]]:
     return out
 
 
-def _unwrapped_bytes(data: bytes) -> Iterator[tuple[str, bool]]:
-    """Texts inside decoded bytes, through any number of compressed layers; whether bytes and text still line up."""
-    todo, seen = [(data, True)], set()
+def _opened(data: bytes) -> Iterator[bytes]:
+    """What compressed bytes hold, through any number of compressed layers; nothing if they are none."""
+    todo, seen = [data], set()
     while todo:
-        now, plain = todo.pop()
+        now = todo.pop()
         digest = hashlib.sha256(now).digest()
         if digest in seen:
             continue
         seen.add(digest)
-        text = _as_text(now)
-        if text is not None:
-            yield text, plain
-            continue
-        windows = list(_inflated(now)) if len(now) < WINDOW else _inflated(now)
-        for window in windows:
+        for window in list(_inflated(now)) if len(now) < WINDOW else _inflated(now):
             if window[:2] == b"\x1f\x8b" or (window[:1] == b"\x78" and _as_text(window) is None):
-                todo.append((window, False))
-            else:
-                yield window.decode("utf-8", "replace"), False
+                todo.append(window)
+            yield window
 
 
 def _layers(layer: _Layer) -> Iterator[_Layer]:
@@ -176,26 +182,62 @@ def _layers(layer: _Layer) -> Iterator[_Layer]:
         yield new
     for m in _BASE64.finditer(layer.text):
         digits = m[0].rstrip("=")
-        if len(digits) % 4 == 1:
-            digits = digits[:-1]
-        raw = digits.encode().translate(_URL_SAFE)
-        head = base64.b64decode(raw[:4])
-        if head[:2] != b"\x1f\x8b" and head[0] != 0x78 and (head[0] < 9 or 0x80 <= head[0] < 0xC2 or head[0] > 0xF4):
-            continue  # neither text nor compressed
-        for text, plain in _unwrapped_bytes(base64.b64decode(raw + b"=" * (-len(raw) % 4))):
-            if plain:  # byte b needs the digits floor(4b/3) to ceil(4(b+1)/3)
-                sizes = np.array([len(c.encode("utf-8")) for c in text], dtype=np.int64)
-                stop = np.cumsum(sizes)
-                first = m.start() + (stop - sizes) * 4 // 3
-                last = np.minimum(m.start() + -(-stop * 4 // 3), m.start() + len(digits)) - 1
-                last[-1:] = m.end() - 1  # with the padding
-            else:
-                first = np.full(len(text), m.start(), dtype=np.int64)
-                last = np.full(len(text), m.end() - 1, dtype=np.int64)
-            if layer.starts is None:
-                yield _Layer(text, first, last + 1)
-            else:
-                yield _Layer(text, layer.starts[first], layer.ends[last])
+        yield from _decoded(layer, digits, np.arange(m.start(), m.start() + len(digits)), m.end())
+    for m in _WRAPPED.finditer(layer.text) if "\n" in layer.text else ():
+        at = np.array([i for i, c in enumerate(m[0], m.start()) if c not in "\r\n\t ="], dtype=np.int64)
+        yield from _decoded(layer, re.sub(r"[\r\n\t =]", "", m[0]), at, m.end())
+
+
+def _decoded(layer: _Layer, digits: str, at: np.ndarray, end: int) -> Iterator[_Layer]:
+    """Layers of a run of base64 digits at the places ``at``, which ends with its padding at ``end``.
+
+    The run may start with characters that are not of the payload: all four
+    alignments are read as text, and streams are tried wherever one may start.
+    """
+
+    def made(text: str, first: np.ndarray, last: np.ndarray) -> _Layer:
+        if layer.starts is None:
+            return _Layer(text, first, last + 1)
+        return _Layer(text, layer.starts[first], layer.ends[last])
+
+    for skip in range(4):
+        data = _bytes_of(digits[skip:])
+        for text, stop, size in _readings(data):  # byte b needs the digits floor(4b/3) to ceil(4(b+1)/3)
+            first = at[skip + (stop - size) * 4 // 3]
+            last = at[np.minimum(skip - (-stop * 4 // 3), len(digits)) - 1]
+            last[stop == len(data)] = end - 1  # with the padding
+            yield made(text, first, last)
+    for m in _STREAM.finditer(digits):
+        head = _bytes_of(digits[m.start() : m.start() + 400])
+        try:
+            zlib.decompressobj(47).decompress(head, 1 << 16)
+        except zlib.error:
+            continue  # no stream starts here
+        first = int(at[m.start()])
+        for window in _opened(_bytes_of(digits[m.start():])):
+            for text, _, _ in _readings(window):
+                yield made(text, np.full(len(text), first, dtype=np.int64), np.full(len(text), end - 1, dtype=np.int64))
+
+
+def _bytes_of(digits: str) -> bytes:
+    if len(digits) % 4 == 1:
+        digits = digits[:-1]
+    raw = digits.encode().translate(_URL_SAFE)
+    return base64.b64decode(raw + b"=" * (-len(raw) % 4))
+
+
+def _readings(data: bytes) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """(text, end of each character among the bytes, its bytes): as UTF-8, other bytes kept as such, and runs of UTF-16."""
+    text = data.decode("utf-8", "surrogateescape")
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    size = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
+    size[(points >= 0xDC80) & (points <= 0xDCFF)] = 1
+    yield text, np.cumsum(size), size
+    if b"\0" in data:
+        for m in _WIDE.finditer(data):
+            text = m[0][::2].decode("ascii")
+            stop = np.minimum(m.start() + 2 * np.arange(1, len(text) + 1), m.end())
+            yield text, stop, stop - m.start() - 2 * np.arange(len(text))
 
 
 def text_spans(text: str | None) -> tuple[list[Span], list[Span]]:
