@@ -61,3 +61,21 @@ def test_words_cut_only_where_no_piece_reaches_across(spark, vocabulary):
     assert "".join(words) == text
     for a, b in zip(words, words[1:]):
         assert not any(a[-1] + b[0] in p for p in pieces if b[0] != "▁")
+
+
+def test_long_words_are_not_cut(make, vocabulary):
+    table = {p: ([i], w) for p, i, w in vocabulary.pieces}
+    texts = ["internationalization" * 50, "你好世界" * 250, "x\U0001f600international" * 70, "a" * 1000]
+    got = {r["doc_id"]: r["ids"] for r in lattice.encode(make(list(enumerate(texts))), vocabulary).collect()}
+    weights = {i: w for _, i, w in vocabulary.pieces}
+    for i, text in enumerate(texts):
+        word = lattice.SPACE + text
+        total, _ = best(word, table, vocabulary)
+        known = sum(weights[x] for x in got[i] if x in weights)
+        unknown = sum(1 for c in word if c not in table)
+        assert abs(known + unknown * vocabulary.unknown_weight - total) < 1e-6
+    # The relational lattice and the loop find the same paths.
+    words = make([]).sparkSession.createDataFrame([(lattice.SPACE + t[:k],) for t in texts for k in (7, 100, 255)], "word string")
+    short = {r["word"]: r["ids"] for r in lattice.word_pieces(words, vocabulary).collect()}
+    long = {r["word"]: r["ids"] for r in lattice._long_word_pieces(words, vocabulary).collect()}
+    assert short == long and len(short) == 12

@@ -3,24 +3,26 @@
 Every distinct word of the corpus is segmented once: its substrings of bounded
 length are joined with the table of pieces, the matches are the edges of the
 word's lattice, and a Viterbi fold over the edges, grouped by word, finds the
-best path. Documents are encoded by joining their words with that dictionary.
+best path; words of more than 256 characters get theirs from a plain loop. Documents are encoded by joining their words with that dictionary.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import sliced
 from tidemark.session import settled, small_rows
 
 #: What a piece table writes for a space.
 SPACE = "▁"
-#: Words are cut here, so that a fold is bounded; a round trip is exact all the same.
+#: Longer words get their path from a loop over their characters, so that a relational lattice is bounded.
 LONGEST_WORD = 256
 
 
@@ -79,16 +81,40 @@ def _prepared(text: str) -> Column:
 def words_of(text: str, vocabulary: Vocabulary) -> Column:
     """The words of a text in order; together they are the prepared text. Empty for a null or empty text."""
     found = F.regexp_extract_all(_prepared(text), F.lit(vocabulary.pattern), F.lit(0))
-    short = F.transform(
-        F.coalesce(found, F.array().cast("array<string>")),
-        lambda w: F.when(F.length(w) <= LONGEST_WORD, F.array(w)).otherwise(
-            F.transform(
-                F.sequence(F.lit(0), F.ceil(F.length(w) / LONGEST_WORD).cast("int") - 1),
-                lambda k: F.substring(w, k * LONGEST_WORD + 1, F.lit(LONGEST_WORD)),
-            )
-        ),
-    )
-    return F.flatten(short)
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
+def _long_word_pieces(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(word, ids) as ``word_pieces`` has them, one word at a time with work linear in its length."""
+    shared = words.sparkSession.sparkContext.broadcast({p: (w, i) for p, i, w in vocabulary.pieces})
+    longest, first_byte, unknown_weight = vocabulary.longest, vocabulary.first_byte, vocabulary.unknown_weight
+
+    def path(word: str, pieces: dict[str, tuple[float, int]]) -> list[int]:
+        weights, starts = [0.0], [-1]
+        for end in range(1, len(word) + 1):
+            top = None
+            for start in range(max(0, end - longest), end):
+                found = pieces.get(word[start:end])
+                if found is None and start < end - 1:
+                    continue
+                edge = (weights[start] + (unknown_weight if found is None else found[0]), start)
+                top = edge if top is None or edge > top else top
+            weights.append(top[0])
+            starts.append(top[1])
+        parts, end = [], len(word)
+        while end:
+            piece = word[starts[end] : end]
+            found = pieces.get(piece)
+            parts.append([first_byte + b for b in piece.encode()] if found is None else [found[1]])
+            end = starts[end]
+        return [i for part in reversed(parts) for i in part]
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "word", 1_000_000):
+            ids = [path(w, shared.value) for w in batch.column(0).to_pylist()]
+            yield pa.record_batch({"word": batch.column(0), "ids": pa.array(ids, pa.list_(pa.int32()))})
+
+    return words.select("word").mapInArrow(fold, "word string, ids array<int>")
 
 
 def word_pieces(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -98,6 +124,8 @@ def word_pieces(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     equally good paths the one with the later start of its last piece wins.
     """
     spark = words.sparkSession
+    long_words = words.where(F.length("word") > LONGEST_WORD)
+    words = words.where(F.length("word") <= LONGEST_WORD)
     pieces, ids, weights = zip(*vocabulary.pieces)
     table = small_rows(spark, list(zip(pieces, ids, weights)), {"sub": pa.string(), "id": pa.int32(), "weight": pa.float64()})
     starts = words.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("start"))
@@ -126,7 +154,8 @@ def word_pieces(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         "aggregate(ends, struct(size(ends) as at, cast(array() as array<int>) as ids), (a, e) -> if(a.at > 0, "
         "struct(element_at(best, a.at + 1).start as at, concat(element_at(best, a.at + 1).ids, a.ids) as ids), a)).ids"
     )
-    return lattice.withColumn("best", best).select("word", path.alias("ids"))
+    short = lattice.withColumn("best", best).select("word", path.alias("ids"))
+    return short.unionAll(_long_word_pieces(long_words, vocabulary))
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
