@@ -35,7 +35,7 @@ def test_filter_keeps_columns_and_clean_documents(make):
 
 def test_bloom_hits_are_exact_but_for_false_ones(make):
     m = model(make)
-    hashes, _, _ = language_id._grams(["the dog and the cat"], m.gram)
+    hashes, _, _ = language_id._grams(["the cat and the dog sat"], m.gram)  # n-grams of the English training text only
     masks = np.full(len(hashes), ~np.uint64(0))
     for at in language_id._slots(hashes, m.n_hashes, len(m.filters)):
         masks &= m.filters[at][:, 0]

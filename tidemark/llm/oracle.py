@@ -2,7 +2,36 @@
 
 from __future__ import annotations
 
+
+
+def _crc_table() -> list[int]:
+    """The 256 remainders of the CRC-32 that zlib uses, from its polynomial."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    return table
+
+
 SQL = {
+    "op11_jump_shards": f"""WITH RECURSIVE
+b AS (SELECT doc_id, coalesce(octet_length(encode(text)), 0) + 16 AS size,
+        list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT) AS bytes FROM documents),
+d AS (SELECT doc_id, CAST(size AS BIGINT) AS size,
+        xor(list_reduce(bytes, lambda c, x: xor(c >> 8, ({_crc_table()})[CAST(xor(c, x) & 255 AS INTEGER) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32
+      FROM b),
+k AS (SELECT DISTINCT doc_id, ('0x' || md5(coalesce(CAST(doc_id AS VARCHAR), ''))[:16])::HUGEINT AS key0 FROM documents),
+j AS (SELECT doc_id, key0 AS key, -1::BIGINT AS b, 0::BIGINT AS j FROM k
+      UNION ALL
+      SELECT doc_id, key, j, CAST(floor((j + 1) * (2147483648.0::DOUBLE / CAST((key >> 33) + 1 AS DOUBLE))) AS BIGINT)
+      FROM (SELECT doc_id, (key * 2862933555777941757 + 1) % 18446744073709551616 AS key, j FROM j WHERE j < 41)),
+s AS (SELECT doc_id, max(b) FILTER (b < 40) AS shard, max(b) FILTER (b < 41) AS grown FROM j GROUP BY 1),
+p AS (SELECT d.*, s.shard, s.grown FROM d JOIN s ON d.doc_id IS NOT DISTINCT FROM s.doc_id)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard, CAST(grown AS INTEGER) AS grown_shard,
+  row_number() OVER (PARTITION BY shard
+    ORDER BY md5(concat_ws('|', coalesce(CAST(doc_id AS VARCHAR), ''), size, text_crc32)), doc_id NULLS FIRST, size, text_crc32) - 1 AS slot
+FROM p""",
     "op6_metric_range_join": """WITH RECURSIVE
 v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
       WHERE vec_id IS NOT NULL AND len(embedding) > 0

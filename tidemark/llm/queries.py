@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, lattice, line_join, metric_join, oracle, order_minhash, packing, pii_surrogates, ppm, scaled_sketch, secret_scan
+from tidemark.llm import (
+    jump_shards, language_id, lattice, line_join, metric_join, oracle, order_minhash, packing, periodic_runs, pii_surrogates, ppm,
+    scaled_sketch, secret_scan, whitening,
+)
 from tidemark.plans.tables import raw_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +103,29 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = lattice.load(tokenizer_path("piece_bpe_32k.model"))
     return lattice.encode(raw_table(spark, sf_dir, "documents"), vocabulary)
+
+
+@query("op11_jump_shards")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = jump_shards.manifest(raw_table(spark, sf_dir, "documents"), 40)
+    return placed.withColumn("law", F.lit("key"))
+
+
+@query("op12_basic_factor_runs")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(raw_table(spark, sf_dir, "documents"))
+    found = periodic_runs.find_runs(docs)
+    # The greatest length first, then the smallest start and period.
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"), F.floor(-F.col("best.less") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_chebyshev_whitening")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(raw_table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
