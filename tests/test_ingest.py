@@ -218,11 +218,11 @@ def test_load_cut_off_leaves_the_table(spark, tmp_path, monkeypatch):
     class Cut(BaseException):
         """A stop that no handler sees, as when the driver dies."""
 
-    def stop(*_):
+    def stop(*_, **__):
         raise Cut
 
     with monkeypatch.context() as m:
-        m.setattr(loader, "point_to", stop)
+        m.setattr(loader, "commit", stop)
         with pytest.raises(Cut):
             loader.load_table(spark, write_csv(tmp_path / "b.csv", [["id"], ["2"]]), schema, dest)
     assert [r.id for r in read_table(spark, dest).collect()] == [1]

@@ -148,8 +148,10 @@ def moves(docs: DataFrame, n_shards: int, more_shards: int, id_col: str = "doc_i
     ).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def write_shards(docs: DataFrame, dest: str, n_shards: int, files_per_shard: int, id_col: str = "doc_id") -> None:
-    """One folder ``shard=N`` per shard with about ``files_per_shard`` Parquet files; a hot id is spread over a shard's files."""
+def write_shards(
+    docs: DataFrame, dest: str, n_shards: int, files_per_shard: int, id_col: str = "doc_id", text_col: str = "text"
+) -> None:
+    """One folder ``shard=N`` per shard with about ``files_per_shard`` Parquet files; an id with many texts is spread over them."""
     placed = assign(docs, n_shards, id_col)
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_shard))
+    salt = F.pmod(F.xxhash64(id_col, text_col), F.lit(files_per_shard))
     placed.drop("grown_shard").repartition(n_shards * files_per_shard, "shard", salt).write.partitionBy("shard").parquet(dest)

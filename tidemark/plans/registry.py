@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, money
 from tidemark.functions.text_values import value_class
 from tidemark.operators import affinity, calendar, customers, forecast, inference, profile, reports
+from tidemark.plans import table_queries  # noqa: F401  registers its own
+from tidemark.plans.register import QUERIES, query, retail_query  # noqa: F401
 from tidemark.plans.tables import Retail, raw_table, supplier_addresses, testdata_tables
 from tidemark.session import shared_dir
 from tidemark.sources import loader
 from tidemark.sources.csv_tables import read_raw_csv
 from tidemark.sources.storage import read_table
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-
 # Parameters of the registered queries on the test tables.
 CHANNEL = "1-URGENT"
 STATE = "NATION_3"
@@ -32,26 +29,6 @@ TYPED_TABLES = [
 ]
 
 
-def query(name: str):
-    """Register a query; DECIMAL results leave as DOUBLE so that other engines can be compared."""
-
-    def register(f: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: money.decimals_to_double(f(spark, sf_dir))
-        return f
-
-    return register
-
-
-def retail_query(name: str):
-    """Register a query that needs only the seven retail tables."""
-
-    def register(f: Callable[[Retail], DataFrame]):
-        query(name)(lambda spark, sf_dir: f(testdata_tables(spark, sf_dir)))
-        return f
-
-    return register
-
-
 # --- ingest -----------------------------------------------------------------
 
 

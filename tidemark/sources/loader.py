@@ -13,7 +13,10 @@ from tidemark.functions import text_values as tv
 from tidemark.operators.inference import infer_column_types, spark_schema
 from tidemark.session import small_rows
 from tidemark.sources.csv_tables import has_broken_lines, read_raw_csv
-from tidemark.sources.storage import current_loads, discard, list_csv, new_load, point_to, read_table
+from tidemark.sources.changes import KeyViolation, key_violations, write_key_ranges
+from tidemark.sources.storage import (
+    Version, commit, current_version, discard, list_csv, new_load, read_table, retried, table_schema,
+)
 
 
 class LoadResult(NamedTuple):
@@ -23,10 +26,6 @@ class LoadResult(NamedTuple):
     error: str | None
 
 
-class KeyViolation(ValueError):
-    """The key column of a table holds a NULL or the same value twice."""
-
-
 def typed_column(name: str, data_type: T.DataType) -> Column:
     """Raw cell to its type. An empty cell is NULL; a cell that does not fit fails the job.
 
@@ -60,23 +59,6 @@ def apply_schema(raw: DataFrame, schema: T.StructType) -> DataFrame:
     return raw.select(*[typed_column(f.name, f.dataType) for f in schema.fields])
 
 
-def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Key values that are NULL or occur more than once, with their row count."""
-    missing = F.lit(False)
-    for key in keys:
-        missing = missing | F.col(key).isNull()
-    return (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-        .where((F.col("n_rows") > 1) | missing)
-    )
-
-
-def table_schema(spark: SparkSession, dest: str) -> T.StructType | None:
-    """The types a table was created with; None if there is no table."""
-    loads = current_loads(spark, dest)
-    return spark.read.parquet(loads[0]).schema if loads else None
-
-
 def load_table(
     spark: SparkSession,
     path: str,
@@ -93,36 +75,68 @@ def load_table(
     The rows are first written to a folder of their own, which is the only parse
     of the CSV; the key check reads one column of it, and on append one column of
     the table. Only then does the table switch to them: on any failure, and
-    wherever the load is cut off, the table stays as it was.
+    wherever the load is cut off, the table stays as it was. Loads that run at the
+    same time come one after the other: the later one checks its types and keys
+    against what the earlier one has added, and of two overwrites it replaces
+    the earlier one's rows.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unknown mode {mode}")
-    fixed = table_schema(spark, dest)
-    if fixed is not None and _kinds(fixed) != _kinds(schema):
-        raise ValueError(f"the table has {fixed.simpleString()}, the load {schema.simpleString()}")
-    before = current_loads(spark, dest)
     staged = new_load(dest)
+    base = _checked_version(spark, dest, schema)
     try:
         raw = read_raw_csv(spark, path, multi_line, strict=True)
         apply_schema(raw, schema).write.parquet(staged)
         loaded = spark.read.schema(schema).parquet(staged)
-        if key and key in loaded.columns:
-            bad = key_violations(loaded, [key]).limit(1).collect()
-            if bad:
-                raise KeyViolation(f"{key}={bad[0][0]} occurs {bad[0]['n_rows']} times")
-            if mode == "append" and before:
-                known = read_table(spark, dest, schema).select(key)
-                again = known.join(loaded.select(key), key, "left_semi").limit(1).collect()
-                if again:
-                    raise KeyViolation(f"{key}={again[0][0]} is already in the table")
-        rows = loaded.count()
-        point_to(spark, dest, [*before, staged] if mode == "append" else [staged])
+        keyed = key if key in loaded.columns else None
+        if keyed:
+            _refuse_repeated(key_violations(loaded, [keyed]), keyed)
+            write_key_ranges(spark, dest, staged, [keyed], schema)
+        rows, checked = loaded.count(), Version()
+
+        def switch() -> None:
+            nonlocal base, checked
+            base = _checked_version(spark, dest, schema)
+            if mode == "append" and keyed:
+                _refuse_known(spark, dest, base, checked, loaded, keyed, schema)
+                checked = base
+            commit(spark, dest, base, [*base.loads, staged] if mode == "append" else [staged], base.dropped)
+
+        retried(switch)
     except Exception:
         discard(spark, staged)
         raise
     return rows
 
 
+def _checked_version(spark: SparkSession, dest: str, schema: T.StructType) -> Version:
+    """The newest version, an error if it has other columns or types."""
+    base = current_version(spark, dest)
+    fixed = table_schema(spark, dest, base)
+    if fixed is not None and _kinds(fixed) != _kinds(schema):
+        raise ValueError(f"the table has {fixed.simpleString()}, the load {schema.simpleString()}")
+    return base
+
+
+def _refuse_repeated(bad: DataFrame, key: str) -> None:
+    found = bad.limit(1).collect()
+    if found:
+        raise KeyViolation(f"{key}={found[0][0]} occurs {found[0]['n_rows']} times")
+
+
+def _refuse_known(
+    spark: SparkSession, dest: str, base: Version, checked: Version, loaded: DataFrame, key: str, schema: T.StructType
+) -> None:
+    """An error if a loaded key is in the table; loads already in the version ``checked`` are not looked at again."""
+    fresh = [load for load in base.loads if load not in checked.loads]
+    if not fresh:
+        return
+    known = read_table(spark, dest, schema, base._replace(loads=tuple(fresh)))
+    again = known.select(key).join(loaded.select(key), key, "left_semi").limit(1).collect()
+    if again:
+        raise KeyViolation(f"{key}={again[0][0]} is already in the table")
+
+
 def _kinds(schema: T.StructType) -> list[tuple[str, T.DataType]]:
     return [(f.name, f.dataType) for f in schema.fields]
 
