@@ -468,4 +468,5 @@ SELECT month, {_brl('cents')} AS revenue FROM t""",
 SQL["c5_elite_top_category"] = (
     SQL["c5c_elite_category_ranking"] + " ORDER BY sum(quantity) DESC, category_id LIMIT 1"
 )
+SQL["r4b_top_similar_from_pairs"] = SQL["r4b_top_similar"]
 SQL |= table_queries.SQL | stream_queries.SQL | order_queries.SQL

@@ -522,6 +522,12 @@ def _(t):
 
 @retail_query("r4b_top_similar")
 def _(t):
+    return affinity.top_similar_products(_inter(t))
+
+
+@retail_query("r4b_top_similar_from_pairs")
+def _(t):
+    """The same list from the similarities of all pairs."""
     return affinity.top_similar(affinity.item_similarity(_inter(t)))
 
 
