@@ -90,3 +90,69 @@ def test_numbers_beside_each_other_are_no_card(make):
     assert got[5][0].endswith(phone.replace("-", " ")), got[5]
     assert got[6] == (dict(rows)[6], 0)
     assert got[7][0].startswith(f"2024-01-15 {phone}, ") and got[7][1] == 2 and "a@b.co" not in got[7][0]
+
+
+def texts(make, rows, key="k"):
+    return {r["doc_id"]: r["text"] for r in pii_surrogates.replace_entities(make(rows), key).collect()}
+
+
+def test_names_are_replaced_without_a_form_of_address_too(make):
+    got = texts(make, [(1, "Dr. John Smith spoke. Later SMITH and John met Mr John Smith; Smithson stayed."), (2, "John Smith is not addressed here.")])
+    first = re.match(r"Dr\. (\w+) (\w+) spoke\. Later SMITH and (\w+) met Mr (\w+) (\w+); Smithson stayed\.", got[1])
+    assert first and first[1] == first[3] == first[4] != "John" and first[2] == first[5] != "Smith"
+    assert got[2] == "John Smith is not addressed here."
+
+
+def test_case_country_codes_private_addresses_and_account_check_digits(make):
+    got = texts(make, [
+        (1, "Mr. JOHN SMITH and Mr John Smith"), (2, "+1 212-555-0123 or 212-555-0123 or +44 212-555-0123"),
+        (3, "10.0.0.1 192.168.7.9 127.0.0.1 8.8.8.8"), (4, "IBAN DE89370400440532013000 and GB82 WEST 1234 5698 7654 32"),
+    ])
+    loud = re.match(r"Mr\. (\w+) (\w+) and Mr (\w+) (\w+)", got[1])
+    assert loud[1] == loud[3].upper() and loud[2] == loud[4].upper() and loud[3].istitle()
+    one, plain, other = re.match(r"\+1 (\S+) or (\S+) or \+44 (\S+)$", got[2]).groups()
+    assert one == plain != other and all(re.fullmatch(r"\d{3}-\d{3}-\d{4}", x) for x in (one, other)) and "212-555-0123" not in (one, other)
+    ips = got[3].split()
+    assert ips[0].startswith("10.") and ips[1].startswith("192.168.") and ips[2].startswith("127.") and ips[3] != "8.8.8.8"
+    for account in re.findall(r"[A-Z]{2}\d\d(?: ?[A-Z0-9]{4})+(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])", got[4]):
+        plain = account.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    assert re.fullmatch(r"IBAN DE\d{20} and GB\d\d [A-Z]{4} \d{4} \d{4} \d{4} \d\d", got[4]) and "3704" not in got[4]
+
+
+def test_clashing_columns_and_the_key_stay_out(make, capsys):
+    docs = make([(1, "call 212-555-0123"), (2, "none")]).selectExpr("*", "1 AS `row`", "2 AS a", "3 AS __found", "4 AS __pieces", "5 AS `x.y`", "6 AS shown", "7 AS __a")
+    out = pii_surrogates.replace_entities(docs, "it's a \\ secret")
+    assert out.columns == [*docs.columns, "__mentions"]
+    assert sorted((r["doc_id"], r["row"], r["__pieces"], r["x.y"], r["__mentions"]) for r in out.collect()) == [(1, 1, 4, 5, 1), (2, 1, 4, 5, 0)]
+    capsys.readouterr()
+    out.explain(True)
+    assert "a \\ secret" not in capsys.readouterr().out
+
+
+def test_mentions_equal_plain_python(spark):
+    """Every text of the test data: the mentions are those of the patterns in Python's own engine."""
+    import regex
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    wide, narrow = regex.compile(pii_surrogates.PATTERN), regex.compile(pii_surrogates.NARROW_PATTERN)
+    kinds = {k: regex.compile(p) for k, p in pii_surrogates.PATTERNS.items()}
+
+    def count(text):
+        n, gap = 0, 0
+        spans = [(m.start(), m.end()) for m in wide.finditer(text)]
+        bad = [s for s in spans if regex.fullmatch(r"[0-9][0-9 -]+", text[s[0] : s[1]]) and len(regex.sub("[^0-9]", "", text[s[0] : s[1]])) >= 13
+               and not luhn(regex.sub("[^0-9]", "", text[s[0] : s[1]]))]
+        good = [s for s in spans if s not in bad] + [(len(text), len(text))]
+        for start, end in good:
+            if any(gap <= b[0] < start for b in bad):
+                for m in narrow.finditer(text[gap:start]):
+                    kind = next(k for k, p in kinds.items() if p.fullmatch(m[0]))
+                    n += kind != "card" or luhn(regex.sub("[^0-9]", "", m[0]))
+            n += start < len(text)
+            gap = end
+        return n
+
+    got = pii_surrogates.replace_entities(docs, "k").select("doc_id", "__mentions").collect()
+    want = {r["doc_id"]: count(r["text"] or "") for r in docs.collect()}
+    assert {r["doc_id"]: r["__mentions"] for r in got} == want and sum(want.values()) > 50

@@ -8,6 +8,9 @@ and drawn again until every entity has one of its own.
 
 from __future__ import annotations
 
+import hashlib
+import hmac
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +20,10 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 # Forms of address by gender. A name is one or two capitalised words after one of them.
 MALE = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Signor", "Г-н", "Господин", "Κύριος"]
 FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Signora", "Г-жа", "Госпожа", "Κυρία"]
+# Forms of address that do not tell; their bearers get names of the first kind.
+OTHER = ["Dr", "Prof", "Sir", "Dra", "Д-р", "Δρ"]
 _NAME = r"\p{Lu}[\p{L}'’-]+"
-_TITLE = rf"(?<![\p{{L}}\p{{N}}-])(?:{'|'.join(sorted(MALE + FEMALE, key=len, reverse=True))})\.? +"
+_TITLE = rf"(?<![\p{{L}}\p{{N}}-])(?:{'|'.join(sorted(MALE + FEMALE + OTHER, key=len, reverse=True))})\.? +"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ip": rf"(?<![0-9A-Za-z.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z]|\.[0-9])",
@@ -67,6 +72,15 @@ def _luhn(digits: str) -> str:
     )
 
 
+def _mod97(text: str) -> str:
+    """SQL for digits and capital letters, A as 10 to Z as 35, read as one number modulo 97."""
+    c = f"substr({text}, i, 1)"
+    return (
+        f"aggregate(sequence(1, length({text})), 0L, (a, i) -> if({c} RLIKE '[0-9]', (a * 10 + cast({c} as int)) % 97, "
+        f"(a * 100 + ascii({c}) - 55) % 97))"
+    )
+
+
 def mentions(text: str) -> Column:
     """All mentions of a text from left to right; an empty list for a null text."""
     found = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
@@ -112,18 +126,23 @@ def pieces(rows: DataFrame, text: str) -> DataFrame:
 
 
 def _kinds(rows: DataFrame) -> DataFrame:
-    """(mention, part, kind, canon): the entities in a mention; a person has one per word of the name."""
+    """(mention, part, kind, canon, word): the entities in a mention; a person has one per word of the name."""
     kind = F.lit(None).cast("string")
     for name, pattern in reversed(PATTERNS.items()):
         kind = F.when(F.rlike("mention", F.lit(f"^(?:{pattern})$")), name).otherwise(kind)
     digits = _digits("mention")
     real_card = F.expr(f"{_luhn(f'substr({digits}, 1, length({digits}) - 1)')} = cast(right({digits}, 1) as int)")
     typed = rows.select("mention", kind.alias("kind")).where((F.col("kind") != "card") | real_card)
+    # A country code other than 1, which numbers without one have, is part of the number.
+    national = _digits("regexp_replace(mention, '^[+][0-9]+', '')")
     canon = F.expr(
         f"CASE kind WHEN 'email' THEN lower(mention) WHEN 'ip' THEN mention WHEN 'iban' THEN replace(mention, ' ', '') "
-        f"WHEN 'phone' THEN right({digits}, 10) ELSE {digits} END"
+        f"WHEN 'phone' THEN if(mention RLIKE '^[+](?!1[^0-9])', concat(regexp_extract(mention, '^([+][0-9]+)', 1), ':', {national}), {national}) "
+        f"ELSE {digits} END"
+    )
+    plain = typed.where("kind != 'person'").select(
+        "mention", F.lit(0).alias("part"), "kind", canon.alias("canon"), F.col("mention").alias("word")
     )
-    plain = typed.where("kind != 'person'").select("mention", F.lit(0).alias("part"), "kind", canon.alias("canon"))
     title = F.regexp_extract("mention", rf"^[\p{{L}}-]+", 0)
     words = F.split(F.regexp_replace("mention", r"^[\p{L}-]+\.? +", ""), " ")
     people = typed.where("kind = 'person'").select(
@@ -133,7 +152,7 @@ def _kinds(rows: DataFrame) -> DataFrame:
     script = F.when(F.rlike("word", F.lit(r"\p{IsCyrillic}")), "cyrillic").when(F.rlike("word", F.lit(r"\p{IsGreek}")), "greek").otherwise("latin")
     role = F.when(F.col("part") == F.col("n") - 1, "surname").otherwise(F.col("gender"))
     named = people.select(
-        "mention", "part", F.concat_ws(":", F.lit("name"), script, role).alias("kind"), F.lower("word").alias("canon")
+        "mention", "part", F.concat_ws(":", F.lit("name"), script, role).alias("kind"), F.lower("word").alias("canon"), "word"
     )
     return plain.unionAll(named)
 
@@ -155,7 +174,13 @@ def _drawn(entities: DataFrame, key: str) -> DataFrame:
     owner = r"regexp_extract(same, '^(.*?)(?:[A-Za-z0-9-]+\\.[A-Za-z]+)$', 1)"
     ending = r"if(canon RLIKE '\\.(com|org|net)$', regexp_extract(canon, '([a-z]+)$', 1), 'org')"
     octet = "cast(conv(substr(h, {0}, 4), 16, 10) as int)"
-    ip = f"concat_ws('.', 1 + {octet.format(1)} % 223, {octet.format(5)} % 256, {octet.format(9)} % 256, {octet.format(13)} % 256)"
+    # Private and loopback addresses stay so.
+    ip = (
+        f"concat_ws('.', CASE WHEN canon RLIKE '^(10|127)[.]' THEN regexp_extract(canon, '^([0-9]+)', 1) WHEN canon LIKE '192.168.%' THEN '192' "
+        f"ELSE cast(1 + {octet.format(1)} % 223 as string) END, if(canon LIKE '192.168.%', 168, {octet.format(5)} % 256), "
+        f"{octet.format(9)} % 256, {octet.format(13)} % 256)"
+    )
+    iban = "concat(substr(same, 5), left(canon, 2))"
     body = "concat(left(canon, 1), substr(same, 2, length(canon) - 2))"
     name = F.lit(None).cast("string")
     for script, parts in SYLLABLES.items():
@@ -168,8 +193,10 @@ def _drawn(entities: DataFrame, key: str) -> DataFrame:
         F.when(F.col("kind") == "email", F.expr(f"concat({owner}, 'example.', {ending})"))
         .when(F.col("kind") == "ip", F.expr(ip))
         .when(F.col("kind") == "card", F.expr(f"concat({body}, cast({_luhn(body)} as string))"))
-        .when(F.col("kind") == "iban", F.expr("concat(left(canon, 2), substr(same, 3))"))
-        .when(F.col("kind").isin("phone", "ssn"), F.expr("if(left(same, 1) = '0' AND left(canon, 1) != '0', concat('9', substr(same, 2)), same)"))
+        .when(F.col("kind") == "iban", F.expr(f"concat(left(canon, 2), lpad(cast(98 - {_mod97(iban)} * 100 % 97 as string), 2, '0'), substr(same, 5))"))
+        .when(F.col("kind").isin("phone", "ssn"), F.expr(
+            "concat(regexp_extract(canon, '^([+][0-9]+:)', 1), regexp_replace(regexp_replace(same, '^.*:', ''), "
+            "if(regexp_replace(canon, '^.*:', '') LIKE '0%', '^$', '^0'), '9'))"))
         .otherwise(name)
     )
     return rows.withColumn("same", F.expr(same_shape)).select("kind", "canon", "attempt", surrogate.alias("surrogate"))
@@ -209,14 +236,15 @@ def surrogates(entities: DataFrame, key: str, rounds: int = 12) -> DataFrame:
 
 
 def _rendered(parts: DataFrame) -> DataFrame:
-    """(mention, shown): each mention in its own format, with the surrogate of its entity."""
+    """(mention, shown, names): each mention in its own format with the surrogate of its entity, and the words of a name with theirs."""
     digit_at = _digits("substr(mention, 1, i)")
     total = f"length({_digits('mention')})"
     # The k-th digit from the right is that of the surrogate; a country code before it stays.
-    place = f"(length({digit_at}) - ({total} - length(canon)))"
+    own = "regexp_replace(surrogate, '^[+][0-9]+:', '')"
+    place = f"(length({digit_at}) - ({total} - length({own})))"
     digits = (
         f"array_join(transform(sequence(1, length(mention)), i -> if(substr(mention, i, 1) RLIKE '[0-9]' AND {place} > 0, "
-        f"substr(surrogate, {place}, 1), substr(mention, i, 1))), '')"
+        f"substr({own}, {place}, 1), substr(mention, i, 1))), '')"
     )
     spaced = (
         "array_join(transform(sequence(1, length(mention)), i -> if(substr(mention, i, 1) = ' ', ' ', "
@@ -225,15 +253,17 @@ def _rendered(parts: DataFrame) -> DataFrame:
     shown = F.expr(
         f"CASE WHEN surrogate LIKE '[%' THEN surrogate WHEN kind = 'email' THEN if(upper(mention) = mention, upper(surrogate), surrogate) "
         f"WHEN kind = 'iban' THEN {spaced} WHEN kind IN ('phone', 'card', 'ssn') THEN {digits} "
-        f"WHEN kind = 'ip' THEN surrogate ELSE initcap(surrogate) END"
+        f"WHEN kind = 'ip' THEN surrogate WHEN upper(word) = word THEN upper(surrogate) ELSE initcap(surrogate) END"
     )
     # At most two words per mention.
-    words = parts.select("mention", "part", "kind", shown.alias("shown")).groupBy("mention").agg(
-        F.min("kind").alias("kind"), F.array_sort(F.collect_list(F.struct("part", "shown"))).alias("words")
+    words = parts.select("mention", "part", "kind", "word", shown.alias("shown")).groupBy("mention").agg(
+        F.min("kind").alias("kind"), F.array_sort(F.collect_list(F.struct("part", "word", "shown"))).alias("words")
     )
     title = F.regexp_extract("mention", r"^[\p{L}-]+\.? +", 0)
     joined = F.array_join(F.transform("words", lambda w: w["shown"]), " ")
-    return words.select("mention", F.when(F.startswith("kind", F.lit("name:")), F.concat(title, joined)).otherwise(joined).alias("shown"))
+    is_name = F.startswith("kind", F.lit("name:"))
+    names = F.when(is_name, F.filter("words", lambda w: F.length(w["word"]) > 2)).otherwise(F.array().cast("array<struct<part:int,word:string,shown:string>>"))
+    return words.select("mention", F.when(is_name, F.concat(title, joined)).otherwise(joined).alias("shown"), names.alias("names"))
 
 
 def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
@@ -241,37 +271,52 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataF
 
     Found are e-mail and IP addresses, card numbers (13 to 19 digits with a
     right check digit), account numbers, social security and phone numbers, and
-    names after a form of address. Punctuation, spacing, case, country codes,
-    lengths and check digits stay in form; one entity in several formats has
-    one surrogate, so has a surname with or without a given name. Null texts,
-    empty ones and those without mentions come back as they are; repeated rows
-    are replaced alike.
+    names after a form of address; words of such a name, of three letters or more,
+    are replaced in the rest of the document too, also without it.
+    Punctuation, spacing, case, country codes, lengths and check digits stay in
+    form, private IP addresses private; one entity in several formats has one
+    surrogate, so has a surname with or without a given name. Null texts, empty
+    ones and those without mentions come back as they are; repeated rows are
+    replaced alike. A column ``__mentions`` is replaced, others of any name stay.
+
+    Texts with mentions are searched once and written, with what was found, to
+    the shared folder; all further steps read that. Plans hold a digest of the
+    key, not the key.
     """
-    if "'" in key or "\\" in key:
-        raise ValueError("the key may not hold quotes or backslashes")
-    found = docs.withColumn("__found", mentions(text_col))
-    some = pieces(found.where(F.size("__found") > 0), text_col).withColumns(
-        {"__a": F.xxhash64(text_col), "__b": F.xxhash64(F.lit("b"), text_col)}
-    )
+    digest = hmac.new(key.encode(), b"surrogates", hashlib.sha256).hexdigest()
+    names = [c for c in docs.columns if c != "__mentions"]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text_col).alias("text"))
+    searched = rows.withColumn("__found", mentions("text"))
+    some = settled(searched.where(F.size("__found") > 0))
+    some = settled(pieces(some, "text").withColumns({"a": F.xxhash64("text"), "b": F.xxhash64(F.lit("b"), "text")}).drop("__found"))
     named = some.select(F.explode("__pieces.mention").alias("mention")).where("mention IS NOT NULL").distinct()
     parts = settled(_kinds(named))
-    mapped = settled(_rendered(parts.join(surrogates(settled(parts.select("kind", "canon").distinct()), key), ["kind", "canon"])))
+    entities = settled(parts.select("kind", "canon").distinct())
+    mapped = settled(_rendered(parts.join(surrogates(entities, digest), ["kind", "canon"])))
     # The mentions of one text, whichever rows have it: bounded by the text.
-    pairs = some.select("__a", "__b", F.explode("__pieces.mention").alias("mention")).distinct().join(mapped, "mention")
-    maps = pairs.groupBy("__a", "__b").agg(F.map_from_entries(F.collect_list(F.struct("mention", "shown"))).alias("__map"))
-    filled = some.join(maps, ["__a", "__b"], "left").withColumn(
-        "__text",
+    pairs = some.select("a", "b", F.explode("__pieces.mention").alias("mention")).distinct().join(mapped, "mention")
+    maps = pairs.groupBy("a", "b").agg(
+        F.map_from_entries(F.collect_list(F.struct("mention", "shown"))).alias("shown"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias("names"),
+    )
+    # Words of names go in the text between mentions; the longest first, so that none is part of another.
+    gap = (
+        "aggregate(array_sort(names, (x, y) -> length(y.word) - length(x.word)), p.gap, (g, w) -> "
+        "regexp_replace(g, concat('(?<![\\\\p{L}\\\\p{N}])', w.word, '(?![\\\\p{L}\\\\p{N}])'), w.shown))"
+    )
+    filled = some.join(maps, ["a", "b"], "left").withColumn(
+        "new",
         F.expr(
-            "array_join(transform(__pieces, p -> concat(p.gap, "
-            "coalesce(try_element_at(__map, p.mention), p.mention, ''))), '')"
+            f"array_join(transform(__pieces, p -> concat(if(size(names) > 0, {gap}, p.gap), "
+            "coalesce(try_element_at(shown, p.mention), p.mention, ''))), '')"
         ),
     )
     # No map: none of the text's mentions is an entity.
-    replaced = F.when(F.col("__map").isNull(), 0).otherwise(
-        F.expr("size(filter(__pieces, p -> try_element_at(__map, p.mention) IS NOT NULL))")
+    replaced = F.when(F.col("shown").isNull(), 0).otherwise(
+        F.expr("size(filter(__pieces, p -> try_element_at(shown, p.mention) IS NOT NULL))")
     )
-    same = [F.col(c) for c in docs.columns]
-    new = [F.col("__text").alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    return found.where(F.size("__found") == 0).select(*same, F.lit(0).alias("__mentions")).unionAll(
+    same = [F.col("row")[c].alias(c) for c in names]
+    new = [F.col("new").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in names]
+    return searched.where(F.size("__found") == 0).select(*same, F.lit(0).alias("__mentions")).unionAll(
         filled.select(*new, replaced.alias("__mentions"))
     )
