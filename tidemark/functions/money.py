@@ -53,9 +53,9 @@ def decimals_to_double(df: DataFrame) -> DataFrame:
     """Same frame with every DECIMAL column as DOUBLE, for engines that compare doubles."""
     return df.select(
         *[
-            F.col(f.name).cast("double").alias(f.name)
+            F.col(f"`{f.name}`").cast("double").alias(f.name)
             if isinstance(f.dataType, T.DecimalType)
-            else F.col(f.name)
+            else F.col(f"`{f.name}`")
             for f in df.schema.fields
         ]
     )

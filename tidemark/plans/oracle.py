@@ -7,7 +7,7 @@ that both engines yield the same DOUBLE.
 from __future__ import annotations
 
 from tidemark.functions.dates import WEEKDAY_NAMES
-from tidemark.plans import cube_queries, order_queries, stream_queries, table_queries
+from tidemark.plans import cube_queries, nested_queries, order_queries, stream_queries, table_queries
 from tidemark.plans.registry import (
     CHANNEL, MIN_CATEGORIES, OTHER_PRODUCT, PRODUCT, STATE, TEST_START, TYPED_TABLES,
 )
@@ -469,4 +469,4 @@ SQL["c5_elite_top_category"] = (
     SQL["c5c_elite_category_ranking"] + " ORDER BY sum(quantity) DESC, category_id LIMIT 1"
 )
 SQL["r4b_top_similar_from_pairs"] = SQL["r4b_top_similar"]
-SQL |= table_queries.SQL | stream_queries.SQL | order_queries.SQL | cube_queries.SQL
+SQL |= table_queries.SQL | stream_queries.SQL | order_queries.SQL | cube_queries.SQL | nested_queries.SQL

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import dates, money
 from tidemark.functions.text_values import value_class
 from tidemark.operators import affinity, calendar, customers, forecast, inference, profile, reports
-from tidemark.plans import cube_queries, order_queries, stream_queries, table_queries  # noqa: F401  they register their own
+from tidemark.plans import cube_queries, nested_queries, order_queries, stream_queries, table_queries  # noqa: F401  they register their own
 from tidemark.plans.register import QUERIES, query, retail_query  # noqa: F401
 from tidemark.plans.tables import Retail, raw_table, supplier_addresses, testdata_tables
 from tidemark.session import shared_dir
