@@ -125,10 +125,12 @@ def anchor_customers(
         else F.row_number().over(W.partitionBy("state").orderBy(by_spent, "customer_id"))
     )
     first = spent.withColumn("place", place).where("place = 1").select("state", "customer_id", "legal_name", "spent")
-    if k is not None:
+    if k is not None and ties:
         states = first.groupBy("state").agg(F.max("spent").alias("best")).orderBy(F.desc_nulls_last("best"), "state").limit(k)
         first = first.join(states.select("state"), "state", "left_semi")
-    return first.orderBy(by_spent, "state", "customer_id")
+    ranked = first.orderBy(by_spent, "state", "customer_id")
+    # Without ties a state has one row, so the best rows are those of the best states.
+    return ranked if k is None or ties else ranked.limit(k)
 
 
 def top_products(
