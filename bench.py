@@ -17,7 +17,7 @@ NAMES = [
     "r1_interactions", "r3_item_similarity", "r3_item_similarity_blocks", "r4_similar_products", "r4b_top_similar",
     "b2b_state_orders_customers", "b3_anchor_customers", "b4b_top_products_revenue",
     "b6_multi_state_customers", "b7_state_products", "b8_ticket_by_state",
-    "m1_merge_upsert", "v1_daily_sales_view", "t1_asof_hot_key", "t2_overlapping_lines", "t3_rfm_quintiles", "g1_revenue_cube",
+    "m1_merge_upsert", "t1_asof_hot_key", "t2_overlapping_lines", "t3_rfm_quintiles", "g1_revenue_cube",
 ]
 
 

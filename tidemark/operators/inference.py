@@ -45,18 +45,26 @@ def infer_folder_types(tables: dict[str, DataFrame]) -> DataFrame:
     Every cell is classified once in the scan stage. All tables share one
     group-by, whose shuffle carries one partial row per column and task.
     """
+    kind_is = lambda name: F.col("kind") == name
+    # Step by step, so that nothing is worked out twice; whole numbers need no more than their length.
     classed = _classed_cells(tables).withColumn(
         "digits", F.when(F.col("kind").isin("integer", "number"), tv.bare_digits(F.col("v")))
     )
-    plain = ~F.col("digits").rlike(r"(?i)[a-df-z]")  # all but nan and inf
+    special = kind_is("number") & F.substring("digits", 1, 1).isin(*"nNiI")  # nan and inf
+    power_sign = kind_is("number") & ~special & (F.contains("digits", F.lit("e")) | F.contains("digits", F.lit("E")))
+    classed = classed.withColumns({"special": special, "scaled": power_sign})
     # Signs are gone from "digits"; the exponent's is read from the cell. An absurd exponent counts as 99 places.
-    mantissa = F.when(F.col("digits").rlike("[eE]"), F.regexp_replace("digits", "[eE].*$", "")).otherwise(F.col("digits"))
-    power = F.coalesce(
-        F.when(F.col("digits").rlike("[eE]"), F.coalesce(
+    classed = classed.withColumns({
+        "mantissa": F.when(F.col("scaled"), F.regexp_replace("digits", "[eE].*$", "")).otherwise(F.col("digits")),
+        "power": F.when(F.col("scaled"), F.coalesce(
             F.regexp_replace(F.regexp_extract("v", r"[eE]([+-]?[0-9_]+)", 1), "[+_]", "").try_cast("int"), F.lit(99)
-        )), F.lit(0),
-    )
-    point, length = F.instr(mantissa, "."), F.length(mantissa)
+        )).otherwise(0),
+    })
+    classed = classed.withColumns({
+        "point": F.when(kind_is("number"), F.instr("mantissa", ".")).otherwise(0), "length": F.length("mantissa"),
+    })
+    point, length, power = F.col("point"), F.col("length"), F.col("power")
+    plain = F.col("digits").isNotNull() & ~F.col("special")
     whole = F.greatest(F.when(point > 0, point - 1).otherwise(length) + power, F.lit(1))
     fraction = F.greatest(F.when(point > 0, length - point).otherwise(0) - power, F.lit(0))
 
@@ -67,7 +75,7 @@ def infer_folder_types(tables: dict[str, DataFrame]) -> DataFrame:
     found = classed.groupBy("table", "pos").agg(
         F.count("v").alias("n_filled"),
         n("code"), n("boolean"), n("integer"), n("number"), n("date"),
-        F.count_if(~plain).alias("n_special"),
+        F.count_if("special").alias("n_special"),
         F.max(F.when(F.col("kind") == "integer", F.col("digits").cast("bigint"))).alias("max_int"),
         F.max(F.when(plain, whole)).alias("whole_digits"),
         F.max(F.when(plain, fraction)).alias("fraction_digits"),
