@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from tidemark.llm import line_join
 
 
@@ -50,6 +52,33 @@ def test_first_round_and_shuffled_texts_change_nothing(make):
     assert clean(line_join.dedup_lines(make(docs), hot=3, most_broadcast=0)) == brute(docs)
 
 
+def test_every_threshold_and_length_band(make):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    docs = [(i, "\n".join(" ".join(rng.sample(words[: rng.choice([8, 60])], rng.randint(1, 8))) for _ in range(5))) for i in range(60)]
+    docs += [(100 + i, " ".join(words[: 40 + i])) for i in range(0, 20, 3)]
+    for t in (0.4, 0.6, 0.8, 1.0):
+        assert clean(line_join.dedup_lines(make(docs), threshold=t, hot=2)) == brute(docs, t)
+
+
+def test_clashing_columns(make):
+    names = ["__kept", "__left", "__split", "__lines", "__removed", "kept", "row", "cut", "s", "i", "l", "line", "k"]
+    docs = make([(1, "a b c\nd"), (2, "c b a\n")]).select("*", *[F.lit(n).alias(n) for n in names])
+    got = line_join.dedup_lines(docs)
+    assert sorted(got.columns) == sorted(docs.columns)
+    found = sorted((r["doc_id"], r["text"], r["__lines"], r["__removed"], r["id"], r["kept"], r["s"]) for r in got.collect())
+    assert found == [(1, "a b c\nd", 2, 0, 7, "kept", "s"), (2, "", 2, 1, 7, "kept", "s")]
+
+
+def test_long_documents_are_linear(make):
+    def lines(n, own):
+        return "\n".join(f"{own}{i} word{i % 7} more{i % 11} and{i % 13} the{i % 3}" for i in range(n))
+
+    docs = [(1, lines(12_000, "a")), (2, lines(12_000, "a") + "\nnew line"), (3, lines(12_000, "b"))]
+    got = {r["doc_id"]: r["text"] for r in line_join.dedup_lines(make(docs)).collect()}
+    assert got == {1: docs[0][1], 2: "new line", 3: docs[2][1]}
+
+
 def test_edges(make):
     long = " ".join(f"w{i}" for i in range(30_000))
     rows = [(1, "a b\n\n  \nA b\na  b"), (2, None), (3, ""), (4, long), (5, long + " more\nb a"), (6, "x y"), (6, "x y"), (None, "a b")]

@@ -4,11 +4,15 @@ A line is the set of its words. Words are ordered from rare to frequent; two
 sets with a Jaccard similarity of at least t must share a word in the first
 n - ceil(t n) + 1 of both, which is the join key. Length and position of the
 shared word rule most pairs out before any text is read; the rest are verified.
+The shorter set of a pair is found by a shorter prefix, and words are joined together
+with a band of lengths.
 A line goes if an earlier one (by document id, then line number) is similar.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +36,10 @@ def _words(line: str) -> str:
     return f"array_distinct(array_remove({_split(line)}, ''))"
 
 
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, pos, line) of every line of documents with an id."""
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -76,37 +84,68 @@ def line_sets(docs: DataFrame, threshold: float, ranks: bytes, id_col: str, text
     return rows.groupBy("sa", "sb").agg(F.min("r").alias("r")).select("r.*")
 
 
-def _partners(x: DataFrame, y: DataFrame, threshold: float, counted: bool) -> DataFrame:
-    """Pairs of rows (k, id, pos, i, n, odd) that share the word hash k, x earlier, and pass all filters.
+def _met(x: DataFrame, y: DataFrame, threshold: float, apart: str) -> DataFrame:
+    """Pairs of rows (k, id, pos, i, n, odd) that share the key k, fulfil ``apart`` and pass all filters.
 
     Length: the smaller set has at least ``threshold`` of the larger's words.
     Position: what comes before and after the shared word leaves room for the
     overlap; at the first shared word what follows it alone.
     Parity: sets that differ in more classes than in allowed words are too far
-    apart. ``n`` of a y that needs no partner is negative; the test for that
-    names both sides, so that both read the same shuffle.
-
-    Count, if both sides hold whole prefixes: a word of one prefix can be shared
-    with the other set only inside the other prefix, if that ends later; so the
-    overlap is at most the number of shared prefix words and what follows the
-    longer rest, and pairs that share too few are out.
+    apart. ``n`` of a line that needs no partner is negative.
     """
     most = f"floor({(1 - threshold) / (1 + threshold)} * (abs(x.n) + abs(y.n)) + 1e-9)"
-    need = f"ceil({threshold / (1 + threshold)} * (abs(x.n) + abs(y.n)) - 1e-9)"
-    met = x.alias("x").join(y.alias("y"), F.col("x.k") == F.col("y.k")).where(
-        f"(x.id < y.id OR (x.id = y.id AND x.pos < y.pos)) AND bit_count(x.odd ^ y.odd) <= {most} "
-        f"AND if(y.n > 0, abs(x.n), 0) >= {threshold} * abs(y.n) - 1e-9 AND abs(y.n) >= {threshold} * abs(x.n) - 1e-9 "
-        f"AND least(x.i, y.i) + least(abs(x.n) - x.i, abs(y.n) - y.i) >= {need}"
+    return x.alias("x").join(y.alias("y"), F.col("x.k") == F.col("y.k")).where(
+        f"{apart} AND bit_count(x.odd ^ y.odd) <= {most} "
+        f"AND abs(x.n) >= {threshold} * abs(y.n) - 1e-9 AND abs(y.n) >= {threshold} * abs(x.n) - 1e-9 "
+        f"AND least(x.i, y.i) + least(abs(x.n) - x.i, abs(y.n) - y.i) >= {_need(threshold)}"
+    )
+
+
+def _need(threshold: float) -> str:
+    """SQL for the least overlap of similar sets x and y."""
+    return f"ceil({threshold / (1 + threshold)} * (abs(x.n) + abs(y.n)) - 1e-9)"
+
+
+def _followers(pivots: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of the pivot of a word and a later line that has the word."""
+    met = _met(pivots, rows, threshold, "(x.id < y.id OR (x.id = y.id AND x.pos < y.pos))")
+    return met.select(*[F.col(f"{e}.{c}").alias(f"{e}_{c}") for e in "xy" for c in ("id", "pos")]).distinct()
+
+
+def _pairs(entries: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (x earlier, y later) of lines that share a prefix word and pass all filters; y needs a partner.
+
+    In the join x is the longer line, or the later one of equal length. The
+    overlap is then at least 2t / (1 + t) of the shorter one's words, so y is
+    found by a shorter prefix. The key is the word with a band of lengths: x lies
+    in one band, y in the one or two its longer partners may lie in.
+
+    Count: a word of one prefix can be shared with the other set only inside the
+    other prefix, if that ends later; so the overlap is at most the number of
+    shared prefix words and what follows the longer rest, and pairs that share
+    too few are out.
+    """
+    step = max(-3 * math.log(threshold), 1e-6)  # a third of the short ones lie in two bands
+    band = lambda n: f"cast(floor(ln({n}) / {step}) as bigint)"  # noqa: E731  monotone, so both sides agree
+    short = f"ceil({2 * threshold / (1 + threshold)} * abs(n) - 1e-9)"
+    key = f"shiftleft({{band}}, 32) | (k & {2**32 - 1}L)"
+    columns = ["id", "pos", "n", "odd", "i"]
+    x = entries.select(*columns, F.expr(key.format(band=band("abs(n)"))).alias("k"))
+    bands = f"sequence({band('abs(n)')}, {band(f'floor(abs(n) / {threshold} + 1e-9)')})"
+    y = (
+        entries.where(f"i <= abs(n) - {short}").select(*columns, "k", F.explode(F.expr(bands)).alias("band"))
+        .select(*columns, F.expr(key.format(band="band")).alias("k"))
     )
-    pair = [F.col(f"{e}.{c}").alias(f"{e}_{c}") for e in "xy" for c in ("id", "pos")]
+    later = "(x.id > y.id OR (x.id = y.id AND x.pos > y.pos))"
+    apart = f"(abs(x.n) > abs(y.n) OR (abs(x.n) = abs(y.n) AND {later})) AND if({later}, x.n, y.n) > 0"
+    met = _met(x, y, threshold, apart)
+    ends = [F.expr(f"if({later}, {b}.{c}, {a}.{c})").alias(f"{e}_{c}") for e, a, b in ("xxy", "yyx") for c in ("id", "pos")]
+    rest = f"greatest(ceil({threshold} * abs(x.n) - 1e-9), ceil({2 * threshold / (1 + threshold)} * abs(y.n) - 1e-9)) - 1"
+    least = F.expr(f"cast({_need(threshold)} - ({rest}) as int)").alias("least")
+    room = F.expr(f"cast(least(abs(x.n) - x.i, abs(y.n) - y.i) - {_need(threshold)} as int)").alias("room")  # most at the first
     keys = ["x_id", "x_pos", "y_id", "y_pos"]
-    if not counted:
-        return met.select(*pair).distinct()
-    rest = f"ceil({threshold} * greatest(abs(x.n), abs(y.n)) - 1e-9) - 1"
-    least = F.expr(f"cast({need} - ({rest}) as int)").alias("least")
-    room = F.expr(f"cast(least(abs(x.n) - x.i, abs(y.n) - y.i) - {need} as int)").alias("room")  # most at the first one
     sums = [F.count(F.lit(1)).alias("shared"), F.max("least").alias("least"), F.max("room").alias("room")]
-    return met.select(*pair, least, room).groupBy(*keys).agg(*sums).where("shared >= least AND room >= 0").select(*keys)
+    return met.select(*ends, least, room).groupBy(*keys).agg(*sums).where("shared >= least AND room >= 0").select(*keys)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, threshold: float, id_col: str, text_col: str, most_broadcast: int) -> DataFrame:
@@ -116,9 +155,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: float, id_col: str,
     if pairs.count() <= most_broadcast:
         needed = F.broadcast(needed)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # The wanted lines of one document, bounded by its own length.
-    texts = rows.join(needed, "id").select("id", F.explode("wanted").alias("pos"), F.split("text", "\n").alias("lines"))
-    sets = texts.select("id", "pos", F.expr(_words("element_at(lines, pos + 1)")).alias("words"))
+    # The wanted lines of one document, bounded by its own length; the text is split once, as a variable of the lambda.
+    picked = "transform(array(split(text, '\\n')), lines -> transform(wanted, p -> struct(p as pos, get(lines, p) as line)))[0]"
+    lines = rows.join(needed, "id").select("id", F.expr(f"inline({picked})"))
+    sets = lines.where("line IS NOT NULL").select("id", "pos", F.expr(_words("line")).alias("words"))
     for e in "xy":
         pairs = pairs.join(sets.select(*[F.col(c).alias(f"{e}_{c}") for c in sets.columns]), [f"{e}_id", f"{e}_pos"])
     shared = "size(array_intersect(x_words, y_words))"
@@ -156,12 +196,12 @@ def kept_lines(
             marks[c] = 1
         rows = entries.where(F.expr(f"substring(X'{marks.hex()}', {cell} + 1, 1) = X'01'"))
         pivots = rows.groupBy("k").agg(F.min(F.struct("id", "pos", "n", "odd", "i")).alias("p")).select("k", "p.*")
-        first = settled(_partners(pivots, rows, threshold, counted=False))
+        first = settled(_followers(pivots, rows, threshold))
         decided = settled(_verified(first, docs, threshold, id_col, text_col, most_broadcast))
         marked = sets.join(decided.withColumn("done", F.lit(True)), ["id", "pos"], "left")
         signed = F.when(F.col("done").isNull(), F.col("n")).otherwise(-F.col("n")).alias("n")
         entries = marked.select("id", "pos", signed, "odd", F.posexplode("prefix").alias("i", "k"))
-    pairs = settled(_partners(entries, entries, threshold, counted=True))
+    pairs = settled(_pairs(entries, threshold))
     gone = _verified(pairs, docs, threshold, id_col, text_col, most_broadcast)
     if decided is not None:
         gone = gone.unionAll(decided).distinct()
@@ -174,22 +214,29 @@ def dedup_lines(
     """All rows and columns of ``docs``, the text without lines similar to an earlier one, plus line counts.
 
     ``__lines`` and ``__removed`` count the lines of the text and those taken
-    out. Lines without words stay. A null text and a row with a null id stay as
+    out; columns of these names in ``docs`` are replaced. Lines without words stay. A null text and a row with a null id stay as
     they are, with counts 0, and take no part; rows that repeat an id are
     versions of one document and keep the same line numbers. Removed lines still
     count as earlier ones.
     """
     kept = kept_lines(docs, threshold, id_col, text_col, **options)
-    by_doc = kept.groupBy("id").agg(F.collect_list("pos").alias("__kept")).withColumnRenamed("id", "__id")
-    lines = docs.join(by_doc, F.col(id_col) == F.col("__id"), "left").withColumn(
-        "__split", F.when(F.col(id_col).isNotNull(), F.split(text_col, "\n"))
+    by_doc = kept.groupBy("id").agg(F.collect_list("pos").alias("kept"))
+    rows = docs.select(F.struct("*").alias("row"))
+    met = rows.join(by_doc, F.col(f"row.{_quoted(id_col)}") == F.col("id"), "left")
+    # Kept lines are fetched by number from the text split once, as a variable of the lambda: linear in the lines.
+    blank = f"filter(sequence(0, size(s) - 1), i -> trim({_spaced('s[i]')}) = '')"
+    places = f"array_sort(array_union(filter(coalesce(kept, array()), i -> i < size(s)), {blank}))"
+    left = f"transform({places}, i -> s[i])"
+    text = F.expr(f"row.{_quoted(text_col)}")
+    cut = F.expr(
+        f"transform(array(split(row.{_quoted(text_col)}, '\\n')), s -> "
+        f"transform(array({left}), l -> struct(array_join(l, '\\n') as text, size(s) as lines, size(s) - size(l) as removed))[0])[0]"
     )
-    blank = f"trim({_spaced('l')}) = ''"
-    keep = f"filter(__split, (l, i) -> array_contains(coalesce(__kept, array()), i) OR {blank})"
-    lines = lines.withColumn("__left", F.expr(keep))
-    cleaned = F.when(F.col("__split").isNull(), F.col(text_col)).otherwise(F.array_join("__left", "\n"))
-    return lines.select(
-        *[cleaned.alias(c) if c == text_col else F.col(c) for c in docs.columns],
-        F.coalesce(F.array_size("__split"), F.lit(0)).alias("__lines"),
-        F.coalesce(F.array_size("__split") - F.array_size("__left"), F.lit(0)).alias("__removed"),
+    some = F.col(f"row.{_quoted(id_col)}").isNotNull() & text.isNotNull()
+    done = met.select("row", F.when(some, cut).alias("cut"))
+    own = [c for c in docs.columns if c not in ("__lines", "__removed")]
+    return done.select(
+        *[F.coalesce("cut.text", text).alias(c) if c == text_col else F.col(f"row.{_quoted(c)}").alias(c) for c in own],
+        F.coalesce("cut.lines", F.lit(0)).alias("__lines"),
+        F.coalesce("cut.removed", F.lit(0)).alias("__removed"),
     )
