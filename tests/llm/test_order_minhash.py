@@ -75,6 +75,12 @@ def test_edges(make):
     assert kept.columns == docs.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == sorted("1 2 3 4 7 9 9 None".split())
 
 
+def test_one_text_without_words_stays(make):
+    docs = make([(5, ""), (3, " \n"), (4, "\t"), (8, None), (None, ""), (9, "some words here"), (6, "")])
+    kept = [(r["doc_id"], r["text"]) for r in order_minhash.drop_wordless_copies(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(3, " \n"), (8, None), (None, ""), (9, "some words here")], key=str)
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(50, 51), (51, 50), (60, 60), (None, 3)], "a long, b long")
     got = {r["id"]: r["component"] for r in components(links).collect()}

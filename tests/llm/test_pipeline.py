@@ -50,6 +50,13 @@ def test_run(spark, folder):
     assert sorted((r["doc_id"], r["length"]) for r in got) == want
 
 
+def test_emptied_copies_leave_one_document(spark, make):
+    docs = make([(i, "one and the same line of text in many documents") for i in range(5)] + [(9, "another text of quite other words")])
+    stage = dict(corpus_pipeline.STAGES)
+    left = stage["near_dedup"](spark, stage["line_dedup"](spark, docs, ""), "")
+    assert sorted((r["doc_id"], r["text"]) for r in left.collect()) == [(0, docs.first()["text"]), (1, ""), (9, "another text of quite other words")]
+
+
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_empty_table(spark, make, name):
     out = dict(corpus_pipeline.STAGES)[name](spark, make([]), "")

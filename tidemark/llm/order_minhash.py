@@ -256,3 +256,13 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
     gone = found.where(~F.col("kept")).select(F.col(id_col).alias("__gone"))
     return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+
+
+def drop_wordless_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns; of the texts without a word only those with the smallest id stay.
+
+    For stages after one that empties texts. Null texts and rows with a null id stay.
+    """
+    number, wordless = F.col(id_col).cast("long"), ~F.col(text_col).rlike(r"[^\x20\x09-\x0D]")
+    least = docs.where(wordless).agg(F.min(number)).first()[0]
+    return docs if least is None else docs.where(F.coalesce(~(wordless & (number > least)), F.lit(True)))
