@@ -34,8 +34,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; empty texts are no duplicates."""
-    return order_minhash.drop_near_duplicates(docs)
+    """The document with the smallest id of each group of near duplicates; texts without words are one group."""
+    return order_minhash.drop_near_duplicates(order_minhash.drop_wordless_copies(docs))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
