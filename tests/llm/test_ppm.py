@@ -24,12 +24,11 @@ def slow_score(texts, text):
         for i in range(ppm.ORDER, len(b)):
             for k in range(ppm.ORDER + 1):
                 counts.setdefault(b[i - k : i], Counter())[b[i]] += 1
-    kept = {c: {s: n for s, n in found.items() if n >= 2} for c, found in counts.items()}
     total, b = 0.0, wrap(text)
     for i in range(ppm.ORDER, len(b)):
         out, p = set(), 1.0
         for k in range(ppm.ORDER, -1, -1):
-            known = kept.get(b[i - k : i], {})
+            known = counts.get(b[i - k : i], {})
             if not known:
                 continue
             mass = sum(counts[b[i - k : i]].values()) - sum(counts[b[i - k : i]][s] for s in out)
@@ -45,7 +44,7 @@ def slow_score(texts, text):
             p *= escape / mass
             out |= set(known)
         else:
-            p /= 256 - len(kept.get(b"", {}))
+            p /= 256 - len(counts.get(b"", {}))
         total += math.log10(p)
     return total
 
@@ -105,7 +104,7 @@ def test_codes_hold_the_bytes_before():
         b"\xff" * 6 + b"a", b"\xff" * 5 + b"ab", b"\xff" * 4 + b"ab\xff", b"\xff" * 7, b"\xff" * 6 + b"c", b"\xff" * 5 + b"c\xff"]
 
 
-def test_pairs_seen_twice_stay_in_a_larger_corpus(make):
+def test_rare_pairs_stay_in_a_larger_corpus(make):
     # 2.4 million symbols: a millionth of them is more than two, which once cut the pairs of the rare text.
     rows = [(1, "cat " * 300_000), (3, "cat " * 300_000), (5, "zyxwvu tsrq"), (7, "zyxwvu tsrq"), (2, "zyxwvu tsrq")]
     got = {r["doc_id"]: r["score"] for r in scored(make, rows)}
@@ -113,3 +112,30 @@ def test_pairs_seen_twice_stay_in_a_larger_corpus(make):
     sure = math.log10((2 - ppm.DISCOUNT) / 2)
     start = math.log10((2 - ppm.DISCOUNT) / 4)
     assert math.isclose(got[2], start + 11 * sure, rel_tol=1e-5) and got[2] == got[5] == got[7]
+
+
+def test_many_slices_and_buckets_give_the_same(make, monkeypatch):
+    rows = [(i, f"{'ab' * (i % 7)} text {i * 7919 % 31} é") for i in range(300)]
+    whole = {r["doc_id"]: r["score"] for r in scored(make, rows)}
+    monkeypatch.setattr(ppm, "SLICE_BYTES", 100)
+    monkeypatch.setattr(ppm, "BUCKET_BYTES", 200)
+    monkeypatch.setattr(ppm, "PIECE", 3)
+    parts = {r["doc_id"]: r["score"] for r in scored(make, rows)}
+    assert parts.keys() == whole.keys() and all(math.isclose(parts[i], whole[i], rel_tol=1e-6) for i in whole)
+    texts = training(rows)
+    assert all(math.isclose(whole[i], slow_score(texts, t), rel_tol=1e-5) for i, t in rows[:20])
+
+
+def test_a_pair_seen_once_is_known(make):
+    got = {r["doc_id"]: r["score"] for r in scored(make, [(1, "qwertz uiop"), (2, "qwertz uiop"), (4, "mnbvcx ylkj")])}
+    # Each context was seen once: half of its mass is the symbol's, half the escape's.
+    assert math.isclose(got[2], 12 * math.log10(DISCOUNTED), rel_tol=1e-5) and got[4] < 2 * got[2]
+
+
+DISCOUNTED = 1 - ppm.DISCOUNT
+
+
+def test_stored_texts_come_back():
+    column = pa.array(["a", None, "", "é\n" * 1000])
+    assert ppm._restored(ppm._stored(column)).to_pylist() == ["a", "", "", "é\n" * 1000]
+    assert ppm._restored(ppm._stored(pa.array([], pa.string()))).to_pylist() == []

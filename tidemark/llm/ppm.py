@@ -2,9 +2,8 @@
 
 The byte-context trie of orders 0 to 6 is counted over all training texts by
 Spark. A symbol not seen after a context escapes to the next shorter one, where
-all symbols the longer context knows are excluded. Every known symbol gives up
-half a count to the escape (method D), and so do all symbols seen only once in
-the context. The trained model is static and stays in Spark, in buckets that the
+all symbols the longer context knows are excluded. Every symbol of a context, also
+one seen once, gives up half a count to the escape (method D). The trained model is static and stays in Spark, in buckets that the
 symbols of the documents are sent to; a document's score is its log10 probability.
 """
 
@@ -161,7 +160,6 @@ class Counts(NamedTuple):
 
     nodes: Table
     totals: np.ndarray
-    kept: np.ndarray
     distinct: np.ndarray
     pairs: Table
     counts: np.ndarray
@@ -170,35 +168,29 @@ class Counts(NamedTuple):
 def _grown(keys: np.ndarray, n: np.ndarray, orders: range, below: Counts | None) -> tuple[list[Level], Counts | None]:
     """The levels of ``orders``, from all codes that end in the same contexts (sorted, distinct) and their counts.
 
-    A symbol stays in a context if the two were seen at least twice, whatever
-    the size of the corpus. Counts of contexts include what is cut, which goes
-    to their escapes.
+    Every pair of context and symbol that was seen is in the trie.
     """
     levels: list[Level] = []
     for k in orders:
-        codes, every = _merged([(keys & _mask(k + 1), n)])
+        codes, n_seen = _merged([(keys & _mask(k + 1), n)])
         context = codes >> np.uint64(8)
         first = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(codes) else np.zeros(0, dtype=np.int64)
-        known = np.maximum.reduceat(every, first) >= 2 if len(codes) else np.zeros(0, dtype=bool)
-        totals = (np.add.reduceat(every, first) if len(codes) else every)[known].astype(np.float64)
-        contexts, codes, counts = context[first][known], codes[every >= 2], every[every >= 2].astype(np.float64)
+        contexts, counts = context[first], n_seen.astype(np.float64)
+        totals = np.add.reduceat(counts, first) if len(codes) else counts
+        distinct = np.diff(np.append(first, len(codes))).astype(np.float64)
         nodes, table = Table.of(contexts), Table.of(codes)
-        owner = nodes.find(codes >> np.uint64(8))
-        kept = np.bincount(owner, weights=counts, minlength=len(contexts))
-        distinct = np.bincount(owner, minlength=len(contexts)).astype(np.float64)
-        whole, escape = totals, totals - kept + DISCOUNT * distinct
+        whole, escape = totals, DISCOUNT * distinct
         below_whole, below_escape = np.ones(len(contexts)), np.ones(len(contexts))
         if below is not None:
             down = below.nodes.find(contexts & _mask(k - 1))
             shared = below.counts[below.pairs.find(codes & _mask(k))]  # the same symbols in the shorter context
-            out = np.bincount(owner, weights=shared, minlength=len(contexts))
-            below_escape = below.totals[down] - below.kept[down] + DISCOUNT * (below.distinct[down] - distinct)
-            below_whole = below.totals[down] - out
+            below_escape = DISCOUNT * (below.distinct[down] - distinct)
+            below_whole = below.totals[down] - (np.add.reduceat(shared, first) if len(codes) else shared)
             nothing = (below_whole <= 0) | (below_escape <= 0)  # the shorter context knows nothing more: pass through
             below_whole[nothing], below_escape[nothing] = 1, 1
         logs = [np.log10(x).astype(np.float32) for x in (counts - DISCOUNT, whole, escape, below_whole, below_escape)]
         levels.append(Level(table, logs[0], nodes, *logs[1:]))
-        below = Counts(nodes, totals, kept, distinct, table, counts)
+        below = Counts(nodes, totals, distinct, table, counts)
     return levels, below
 
 
@@ -244,8 +236,8 @@ def symbol_scores(model: Model, codes: np.ndarray) -> np.ndarray:
 
 #: Contexts up to this length are sent to the tasks: at most 2^24 pairs of bytes and symbol, whatever the corpus.
 NEAR = 2
-#: Training text per bucket, and symbols per row of the shuffle.
-BUCKET_BYTES, PIECE = 64_000_000, 2048
+#: Training text per bucket, symbols per row of the shuffle, and text whose symbols are looked up together.
+BUCKET_BYTES, PIECE, SLICE_BYTES = 8_000_000, 2048, 8_000_000
 
 
 def _buckets(codes: np.ndarray, n: int) -> np.ndarray:
@@ -267,25 +259,44 @@ def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps, dtype=np.uint64), np.ascontiguousarray(planes[8:].T).view(np.uint32).ravel()
 
 
-_SENT = "bucket long, kind int, slice long, n_docs int, data binary"
+_SENT = "bucket long, kind int, slice long, part int, data binary"
 
 
-def _sent(codes: np.ndarray, more: np.ndarray, n_buckets: int, kind: int, first: int, n_docs: int) -> pa.RecordBatch:
+def _sent(codes: np.ndarray, more: np.ndarray, n_buckets: int, kind: int, first: int) -> pa.RecordBatch:
     """Sorted codes as rows of at most PIECE symbols by bucket."""
-    bucket = _buckets(codes, n_buckets)
-    order = np.argsort(bucket, kind="stable")
-    bucket, codes, more = bucket[order], codes[order], more[order]
+    bucket, order = _dealt(codes, n_buckets)
+    codes, more = codes[order], more[order]
     cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
     ends = np.append(cuts[1:], len(codes))
-    pieces = [(a, min(a + PIECE, e)) for c, e in zip(cuts, ends) for a in range(c, e, PIECE)]
-    data = [_packed(codes[a:b], more[a:b]) for a, b in pieces]
+    pieces = [(a, min(a + PIECE, e), (a - c) // PIECE) for c, e in zip(cuts.tolist(), ends.tolist()) for a in range(c, e, PIECE)]
+    data = [_packed(codes[a:b], more[a:b]) for a, b, _ in pieces]
     m = len(pieces)
     return pa.record_batch({
-        "bucket": pa.array([int(bucket[a]) for a, _ in pieces], pa.int64()), "kind": pa.array([kind] * m, pa.int32()),
-        "slice": pa.array([first] * m, pa.int64()), "n_docs": pa.array([n_docs] * m, pa.int32()), "data": pa.array(data, pa.binary()),
+        "bucket": pa.array([int(bucket[a]) for a, _, _ in pieces], pa.int64()), "kind": pa.array([kind] * m, pa.int32()),
+        "slice": pa.array([first] * m, pa.int64()), "part": pa.array([i for _, _, i in pieces], pa.int32()), "data": pa.array(data, pa.binary()),
     })
 
 
+def _dealt(codes: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of sorted codes, ascending, and the order of the codes by them."""
+    bucket = _buckets(codes, n_buckets)
+    order = np.argsort(bucket, kind="stable")
+    return bucket[order], order
+
+
+def _stored(column: pa.Array) -> bytes:
+    """Texts as compressed bytes; a null text is empty."""
+    flat, offsets = text_bytes(column)
+    body = offsets.tobytes() + flat.tobytes()
+    return len(column).to_bytes(8, "little") + len(body).to_bytes(8, "little") + pa.compress(body, "zstd", asbytes=True)
+
+
+def _restored(data: bytes) -> pa.Array:
+    n, size = int.from_bytes(data[:8], "little"), int.from_bytes(data[8:16], "little")
+    body = pa.py_buffer(pa.decompress(data[16:], size, "zstd", asbytes=True))
+    return pa.Array.from_buffers(pa.large_string(), n, [None, body.slice(0, 8 * (n + 1)), body.slice(8 * (n + 1))])
+
+
 def _text_keys(column: pa.Array) -> list[bytes]:
     """16 bytes that stand for a text; a null text is empty."""
     return [hashlib.blake2b(t or b"", digest_size=16).digest() for t in column.cast(pa.large_binary()).to_pylist()]
@@ -297,9 +308,10 @@ def model_scores(taught: DataFrame, asked: DataFrame) -> DataFrame:
     Contexts and symbols go to buckets by the three bytes before the symbol, so
     that a bucket has every longer context of its symbols whole. There the
     counts of the training texts come first and make the bucket's part of the
-    trie; then the symbols of the texts are looked up, and their sums go back by
-    slice of texts. No task holds more than one bucket's contexts, the driver
-    none beyond those of NEAR bytes.
+    trie; then the distinct symbols in context of every slice of texts are
+    looked up, and their scores go back to the slice, whose texts wait beside.
+    No task holds more than one bucket's contexts or one slice, the driver none
+    beyond those of NEAR bytes.
     """
     spark = taught.sparkSession
     size = taught.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -309,53 +321,63 @@ def model_scores(taught: DataFrame, asked: DataFrame) -> DataFrame:
     def learnt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, n in _task_counts(batches, ORDER + 1):
             while len(keys):  # counts beyond 32 bits go in parts
-                yield _sent(keys, np.minimum(n, 2**32 - 1), n_buckets, 0, -1, 0)
+                yield _sent(keys, np.minimum(n, 2**32 - 1), n_buckets, 0, -1)
                 n = n - np.minimum(n, 2**32 - 1)
                 keys, n = keys[n > 0], n[n > 0]
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 40
+        held, seen = 0, []
         for batch in sliced(batches, "text", 1_000_000):
             if not batch.num_rows:
                 continue
-            codes, symbols = _codes(batch.column(0))
-            doc = np.repeat(np.arange(batch.num_rows), symbols)
-            order = np.argsort(codes, kind="stable")
-            yield _sent(codes[order], doc[order], n_buckets, 1, first, batch.num_rows)
+            codes = _codes(batch.column(0))[0]
             yield pa.record_batch({
                 "bucket": pa.array([first % n_buckets], pa.int64()), "kind": pa.array([2], pa.int32()), "slice": pa.array([first], pa.int64()),
-                "n_docs": pa.array([batch.num_rows], pa.int32()), "data": pa.array([b"".join(_text_keys(batch.column(0)))], pa.binary()),
+                "part": pa.array([len(seen)], pa.int32()), "data": pa.array([_stored(batch.column(0))], pa.binary()),
             })
-            first += batch.num_rows
+            held += len(codes)
+            seen.append(np.unique(codes))
+            if held >= SLICE_BYTES:
+                yield asked_for(seen, first)
+                first, held, seen = first + 1, 0, []
+        if seen:
+            yield asked_for(seen, first)
+
+    def asked_for(seen: list[np.ndarray], first: int) -> pa.RecordBatch:
+        codes = np.unique(np.concatenate(seen))
+        return _sent(codes, np.zeros(len(codes), dtype=np.uint32), n_buckets, 1, first)
 
     def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low, below = near.value
         at, model = None, None
         grams: list[tuple[np.ndarray, np.ndarray]] = []
-        held: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+        held: list[tuple[int, int, np.ndarray]] = []
+
+        def rows(slices, bucket, parts, data):
+            return pa.record_batch({
+                "slice": pa.array(slices, pa.int64()), "bucket": pa.array([bucket] * len(data), pa.int64()),
+                "part": pa.array(parts, pa.int32()), "data": pa.array(data, pa.binary()),
+            })
 
         def answers():
-            scores = symbol_scores(model, np.concatenate([h[2] for h in held]))
-            sums: dict[int, np.ndarray] = {}
-            done = 0
-            for first, n_docs, codes, doc in held:
-                part = np.bincount(doc, weights=scores[done : done + len(codes)], minlength=n_docs)
-                sums[first] = sums[first] + part if first in sums else part
-                done += len(codes)
-            data = [v.tobytes() for v in sums.values()]
+            codes, back = np.unique(np.concatenate([h[2] for h in held]), return_inverse=True)
+            scores = symbol_scores(model, codes)[back]
+            ends = np.cumsum([len(h[2]) for h in held])
+            data = [scores[e - len(h[2]) : e].tobytes() for h, e in zip(held, ends)]
+            out = rows([h[0] for h in held], at, [h[1] for h in held], data)
             held.clear()
-            return pa.record_batch({"slice": pa.array(sums.keys(), pa.int64()), "is_key": pa.array([False] * len(data)), "data": pa.array(data, pa.binary())})
+            return out
 
         n_held = 0
         for batch in batches:
             columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-            for i, (bucket, kind, first, n_docs) in enumerate(zip(*(c.tolist() for c in columns))):
+            for i, (bucket, kind, first, part) in enumerate(zip(*(c.tolist() for c in columns))):
                 data = batch.column(4)[i].as_py()
                 if bucket != at:
                     if held:
                         yield answers()
-                        n_held = 0
-                    at, model, grams = bucket, None, []
+                    at, model, grams, n_held = bucket, None, [], 0
                 if kind == 0:
                     keys, n = _unpacked(data)
                     grams.append((keys, n.astype(np.int64)))
@@ -366,41 +388,51 @@ def model_scores(taught: DataFrame, asked: DataFrame) -> DataFrame:
                     if model is None:
                         model = Model(low.levels + _grown(*_merged(grams), range(NEAR + 1, ORDER + 1), below)[0], low.log_rest)
                         grams, n_held = [], 0
-                    held.append((first, n_docs, *_unpacked(data)))
+                    held.append((first, part, _unpacked(data)[0]))
                     n_held += len(held[-1][2])
                     if n_held > 1_000_000:
                         yield answers()
                         n_held = 0
                 else:
-                    yield pa.record_batch({"slice": pa.array([first], pa.int64()), "is_key": pa.array([True]), "data": pa.array([data], pa.binary())})
+                    yield rows([first], -1, [part], [data])
         if held:
             yield answers()
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, keys, total = None, b"", None
+        at = None
+        texts: list[tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]] = []  # keys, distinct codes, their places, symbols
+        found: list[np.ndarray] = []
 
         def out():
-            return pa.record_batch({"key": pa.array([keys[i : i + 16] for i in range(0, len(keys), 16)], pa.binary()), "score": pa.array(total, pa.float64())})
+            codes = np.unique(np.concatenate([t[1] for t in texts]))
+            scores = np.empty(len(codes))
+            scores[_dealt(codes, n_buckets)[1]] = np.concatenate(found)
+            for keys, own, places, symbols in texts:
+                starts = np.cumsum(symbols) - symbols
+                total = np.add.reduceat(scores[np.searchsorted(codes, own)][places], starts)
+                yield pa.record_batch({"key": pa.array(keys, pa.binary()), "score": pa.array(total, pa.float64())})
 
         for batch in batches:
-            for first, is_key, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for first, bucket, data in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3))):
                 if first != at:
                     if at is not None:
-                        yield out()
-                    at, total = first, None
-                if is_key:
-                    keys = data
+                        yield from out()
+                    at, texts, found = first, [], []
+                if bucket < 0:
+                    column = _restored(data)
+                    codes, symbols = _codes(column)
+                    own, places = np.unique(codes, return_inverse=True)
+                    texts.append((_text_keys(column), own, places.astype(np.int32 if len(own) < 2**31 else np.int64), symbols))
                 else:
-                    part = np.frombuffer(data, dtype=np.float64)
-                    total = part if total is None else total + part
+                    found.append(np.frombuffer(data, dtype=np.float64))
         if at is not None:
-            yield out()
+            yield from out()
 
     sent = taught.select("text").mapInArrow(learnt, _SENT).unionAll(asked.select("text").mapInArrow(wanted, _SENT))
-    parts = sent.repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "kind", "slice").mapInArrow(
-        looked_up, "slice long, is_key boolean, data binary"
+    parts = sent.repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "kind", "slice", "part").mapInArrow(
+        looked_up, "slice long, bucket long, part int, data binary"
     )
-    slices = parts.repartition("slice").sortWithinPartitions("slice").mapInArrow(summed, "key binary, score double")
+    slices = parts.repartition("slice").sortWithinPartitions("slice", "bucket", "part").mapInArrow(summed, "key binary, score double")
     return slices.groupBy("key").agg(F.max("score").alias("score"))
 
 
