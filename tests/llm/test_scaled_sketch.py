@@ -44,3 +44,15 @@ def test_sketches_merge_and_estimate_containment(spark, make):
     assert len(r) == 1 and r[0]["share_of_b"] == 1.0 and abs(r[0]["share_of_a"] - 0.2) < 0.05
     kept = a.count() / (len(words) - 4)
     assert abs(kept - 1 / scaled_sketch.SCALE) < 0.05
+
+
+def test_every_range_is_a_partition_of_its_own(make, monkeypatch):
+    rows = [(i * 3 - 100, f"text {i}") for i in range(300)]
+    for block in (1, 7, 128):
+        monkeypatch.setattr(scaled_sketch, "_BLOCK", block)
+        docs = make(rows).selectExpr("doc_id as id", "text")
+        got = scaled_sketch._ranged(docs, 10, 20_000).selectExpr("id", "part", "guest", "spark_partition_id() as p").collect()
+        own = sorted((r["id"], r["part"]) for r in got if not r["guest"])
+        assert [i for i, _ in own] == [i for i, _ in rows] and all(a[1] <= b[1] for a, b in zip(own, own[1:]))
+        assert all(r["p"] == r["part"] for r in got) and len({r["part"] for r in got}) > 20
+        assert max(sum(part == k for _, part in own) for k in {r["part"] for r in got}) <= 20

@@ -22,6 +22,7 @@ from tidemark.session import small_rows
 #: One of so many hashes is kept.
 SCALE = 4
 SHINGLE = 5
+_BLOCK = 128
 
 
 def _joined(texts: list[str]) -> pa.Array:
@@ -118,16 +119,21 @@ def edited(text: str, following: str) -> str:
 def _ranged(rows: DataFrame, per_range: int, most_ranges: int) -> DataFrame:
     """(id, text, part, guest): rows in ranges of ids, each range also holding the first rows of the next as guests.
 
-    The last range is followed by the first. Range bounds and first ids are
-    lists of at most ``most_ranges`` entries.
+    The last range is followed by the first, and every range is one partition.
+    Range bounds and first ids are lists of at most ``most_ranges`` entries;
+    beyond that many times ``per_range`` rows the ranges, which are sorted on
+    disk and streamed, get longer.
     """
     ranges = max(1, min(most_ranges, -(-rows.count() // per_range)))
     shares = [i / ranges for i in range(1, ranges)]
     cuts = sorted({int(c) for c in rows.approxQuantile("id", shares, 0.25 / ranges)}) if shares else []
     part = F.lit(0)
     if cuts:
-        bounds = f"cast(split('{','.join(map(str, cuts))}', ',') as array<bigint>)"
-        part = F.when(F.col("id").isNull(), 0).otherwise(F.expr(f"array_size(filter({bounds}, c -> c <= id))")).cast("int")
+        numbers = lambda some: f"cast(split('{','.join(map(str, some))}', ',') as array<bigint>)"
+        # Bounds at or below the id: first among every _BLOCK-th, then within the block.
+        block = f"greatest(array_size(filter({numbers(cuts[::_BLOCK])}, c -> c <= id)) - 1, 0) * {_BLOCK}"
+        inside = f"transform(array({block}), b -> b + array_size(filter(slice({numbers(cuts)}, b + 1, {_BLOCK}), c -> c <= id)))[0]"
+        part = F.when(F.col("id").isNull(), 0).otherwise(F.expr(inside)).cast("int")
     placed = rows.withColumn("part", part)
     least = F.min(F.struct(F.col("id").isNotNull().alias("known"), "id")).alias("first")
     firsts = placed.groupBy("part").agg(least).orderBy("part").collect()
@@ -142,12 +148,12 @@ def _ranged(rows: DataFrame, per_range: int, most_ranges: int) -> DataFrame:
         lambda place: place["part"].isNotNull(),
     )
     dealt = marked.select("id", "text", F.explode(places).alias("at")).select("id", "text", "at.part", "at.guest")
-    return dealt.repartition(ranges, "part").sortWithinPartitions("part", "guest", F.col("id").asc_nulls_first(), "text")
+    return dealt.repartitionById(ranges, F.col("part")).sortWithinPartitions("part", "guest", F.col("id").asc_nulls_first(), "text")
 
 
 def neighbours_compared(
     docs: DataFrame, scale: int = SCALE, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text",
-    per_range: int = 4096, most_ranges: int = 2000,
+    per_range: int = 4096, most_ranges: int = 20_000,
 ) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness; the next document is that of the next id.
 
