@@ -1,4 +1,5 @@
 import base64
+import bz2
 import gzip
 import random
 import re
@@ -91,3 +92,41 @@ def test_other_readings_of_a_run(wrapped):
     assert all(4 <= s < e <= 4 + len(wrapped) for _, s, e in every)
     hidden = secret_scan.masked(text)
     assert secret_scan.text_spans(hidden)[1] == [] and hidden.endswith(" post")
+
+
+def small_window(data):
+    packer = zlib.compressobj(9, zlib.DEFLATED, 9)
+    return packer.compress(data) + packer.flush()
+
+
+@pytest.mark.parametrize("wrapped", [
+    urllib.parse.quote_from_bytes(gzip.compress(MANY.encode()), safe=""), urllib.parse.quote_from_bytes(zlib.compress(SECRET.encode())),
+    "".join(f"%{b:02x}" for b in gzip.compress(SECRET.encode())), "".join(f"\\x{b:02x}" for b in gzip.compress(SECRET.encode())),
+    repr(zlib.compress(MANY.encode())), "".join(f"\\u{b:04x}" for b in zlib.compress(SECRET.encode())),
+    base64.b64encode(b"a" + gzip.compress(SECRET.encode())).decode(), base64.b64encode(b"ab" + gzip.compress(SECRET.encode())).decode(),
+    base64.b64encode(b"a" + zlib.compress(MANY.encode(), 1)).decode(), base64.b64encode(b"ab" + zlib.compress(MANY.encode())).decode(),
+    base64.b64encode(small_window(SECRET.encode())).decode(), base64.b64encode(bz2.compress(MANY.encode())).decode(),
+    base64.b64encode(gzip.compress(b"head" + bz2.compress(b"x" + gzip.compress(SECRET.encode())))).decode(),
+    "".join("%%u%04X" % ord(c) for c in SECRET), "".join("&#%d;" % ord(c) for c in SECRET), "".join("&#x%x;" % ord(c) for c in SECRET),
+])
+def test_streams_at_every_byte_and_more_escapes(wrapped):
+    text = f"pré {wrapped}\nplain post"
+    base, every = secret_scan.text_spans(text)
+    assert not base and 0 in {k for k, _, _ in every}
+    assert all(4 <= s < e <= 4 + len(wrapped) for _, s, e in every)
+    hidden = secret_scan.masked(text)
+    assert secret_scan.text_spans(hidden)[1] == [] and hidden.endswith("plain post")
+
+
+def test_a_written_stream_ends_where_it_ends():
+    stream = "".join(f"\\x{b:02x}" for b in gzip.compress(b"nothing here, token is not given"))
+    text = f"{stream} and {SECRET}"
+    at = text.index(SECRET)
+    assert secret_scan.text_spans(text) == ([(0, at, len(text))], [(0, at, len(text))])
+
+
+def test_plain_texts_with_marks_stay_clean():
+    rng = random.Random(9)
+    for _ in range(300):
+        text = "".join(rng.choice(["hC", "x%9C", "H%89", "100%", "%78", "\\n", "\\x78", "(S", " ", "abc", "&#", "&#12;", "%u", "%u12"]) for _ in range(30))
+        assert secret_scan.text_spans(text) == ([], [])

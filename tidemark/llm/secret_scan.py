@@ -10,6 +10,7 @@ out, so payloads that decode to themselves end.
 from __future__ import annotations
 
 import base64
+import bz2
 import hashlib
 import re
 import zlib
@@ -33,18 +34,27 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 LEAST_VALUE, LEAST_ACCESS = 8, 16
 
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\})+")
-_ONE_ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\[uUx]([0-9A-Fa-f]+)")
+_ESCAPE = re.compile(
+    r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}"
+    r"|%u[0-9A-Fa-f]{4}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+"
+)
+_ONE_ESCAPE = re.compile(r"(?:\\u\{|\\[uUx]|%u|&#[xX])([0-9A-Fa-f]+)[};]?|&#([0-9]+);")
+# Bytes written as text, the printable ones mostly as they are: in URLs, and in string literals.
+_URL_BYTES, _ONE_URL_BYTE = re.compile(r"[!-~]*%[0-9A-Fa-f]{2}[!-~]*"), re.compile(r"%([0-9A-Fa-f]{2})|.")
+_LITERAL_BYTES = re.compile(r"[ -~]*\\(?:x|u00)[0-9A-Fa-f]{2}[ -~]*")
+_ONE_LITERAL_BYTE = re.compile(r"\\(?:x|u00)([0-9A-Fa-f]{2})|\\[abfnrtv0'\"\\/]|.")
+_LITERALS = dict(zip("abfnrtv0'\"\\/", b"\a\b\f\n\r\t\v\0'\"\\/"))
 # The shortest secret, token=12345678, has 14 bytes and so 19 base64 digits.
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{19,}={0,2}")
 # Lines of a wrapped run; the last may be short.
 _WRAPPED = re.compile(r"(?:[A-Za-z0-9+/_-]{16,}\r?\n[ \t]*)+[A-Za-z0-9+/_-]+={0,2}")
-# Where a gzip or zlib stream may start among base64 digits.
-_STREAM = re.compile(r"(?=H4sI|e(?:A[E-H]|F[4-7]|J[w-z]|N[o-r]))")
+# How streams begin: gzip, bzip2, and zlib with any window and no preset dictionary.
+_ZLIB = frozenset(bytes((c, f)) for c in range(0x08, 0x80, 0x10) for f in range(256) if (c * 256 + f) % 31 == 0 and not f & 0x20)
+_HEAD = re.compile(b"(?=\x1f\x8b\x08[\x00-\x1f]|BZh[1-9]1AY&SY|" + b"|".join(re.escape(z) for z in sorted(_ZLIB)) + b")", re.DOTALL)
+_BROKEN = (zlib.error, OSError, EOFError)
 # ASCII in UTF-16 of either byte order.
 _WIDE = re.compile(rb"(?:[\x01-\x7f]\x00){7,}[\x01-\x7f]?")
 _URL_SAFE = bytes.maketrans(b"-_", b"+/")
-_CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 #: Inflated layers are searched in windows of so many bytes, with an overlap.
 WINDOW, OVERLAP = 1 << 22, 1 << 16
 
@@ -81,41 +91,61 @@ class _Layer:
         return self.starts, self.ends
 
 
-def _as_text(data: bytes) -> str | None:
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return None if _CONTROL.search(text) else text
+def _stream(data: bytes):
+    """A decompressor for the stream that the bytes begin with; None if they begin with none."""
+    if data[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    return zlib.decompressobj(15) if data[:2] in _ZLIB else None
 
 
-def _inflated(data: bytes) -> Iterator[bytes]:
-    """The windows of a gzip or zlib stream and of what follows it; nothing if it is none."""
-    if data[:2] == b"\x1f\x8b":
-        mode = 31
-    elif len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0:
-        mode = 15
-    else:
-        return
-    stream, held, left = zlib.decompressobj(mode), b"", data
-    while left:
+def _starts(data: bytes) -> Iterator[int]:
+    """The places where a stream may start: its first bytes can be read."""
+    for m in _HEAD.finditer(data):
+        head = data[m.start() : m.start() + 400]
+        try:
+            _stream(head).decompress(head, 1 << 16)
+        except _BROKEN:
+            continue
+        yield m.start()
+
+
+def _pieces(data: bytes) -> Iterator[tuple[bytes, int]]:
+    """(piece, bytes of ``data`` behind the end of the last whole stream) of the streams that follow each other; pieces are at most a window."""
+    stream, left, behind = _stream(data), data, len(data)
+    while stream is not None:
         try:
             piece = stream.decompress(left, WINDOW)
-        except zlib.error:
+        except _BROKEN:
             return
-        left = stream.unconsumed_tail
+        if stream.eof:
+            left = stream.unused_data
+            behind, stream = len(left), _stream(left)
+        else:
+            left = getattr(stream, "unconsumed_tail", b"")
+            if not piece:  # cut off
+                return
+        yield piece, behind
+
+
+def _inflated(data: bytes) -> Iterator[bytes]:
+    """The windows of a stream and of what follows it; nothing if it is none."""
+    held, behind = b"", len(data)
+    for piece, behind in _pieces(data):
         if piece:
             yield held + piece
             held = (held + piece)[-OVERLAP:]
-        if stream.eof:  # a further member, or bytes after the stream
-            left = stream.unused_data
-            if left[:2] == b"\x1f\x8b" or (left[:1] == b"\x78" and len(left) > 2 and (left[0] * 256 + left[1]) % 31 == 0):
-                stream = zlib.decompressobj(31 if left[0] == 0x1F else 15)
-            elif left:
-                yield held + left
-                return
-        elif not piece:
-            return
+    if 0 < behind < len(data):
+        yield held + data[-behind:]
+
+
+def _stream_length(data: bytes) -> int:
+    """How many bytes belong to the streams at the start; all if the first is cut off, 0 if it cannot be read."""
+    behind = None
+    for _, behind in _pieces(data):
+        pass
+    return 0 if behind is None else len(data) - behind % len(data)
 
 
 def _replaced(layer: _Layer, pattern: re.Pattern, decode) -> _Layer | None:
@@ -151,7 +181,7 @@ def _percent(run: str) -> list[tuple[str, int]]:
 def _escapes(run: str) -> list[tuple[str, int]]:
     out: list[tuple[str, int]] = []
     for m in _ONE_ESCAPE.finditer(run):
-        code, width = int(m[1] or m[2], 16), len(m[0])
+        code, width = int(m[1], 16) if m[1] else int(m[2]), len(m[0])
         if out and 0xDC00 <= code <= 0xDFFF and 0xD800 <= ord(out[-1][0]) <= 0xDBFF:
             high, before = out.pop()
             out.append((chr(0x10000 + ((ord(high) - 0xD800) << 10) + code - 0xDC00), before + width))
@@ -170,16 +200,37 @@ def _opened(data: bytes) -> Iterator[bytes]:
             continue
         seen.add(digest)
         for window in list(_inflated(now)) if len(now) < WINDOW else _inflated(now):
-            if window[:2] == b"\x1f\x8b" or (window[:1] == b"\x78" and _as_text(window) is None):
-                todo.append(window)
+            todo += [window[i:] for i in _starts(window)]
             yield window
 
 
+def _written(layer: _Layer, run: re.Match, one: re.Pattern) -> Iterator[_Layer]:
+    """What the streams hold whose bytes a run of text spells out; each has the span of its stream."""
+    data, at = bytearray(), []
+    for m in one.finditer(run[0]):
+        code = int(m[1], 16) if m[1] else _LITERALS[m[0][1]] if len(m[0]) == 2 else ord(m[0])
+        data.append(code)
+        at.append(run.start() + m.start())
+    data, done = bytes(data), 0
+    for i in _starts(data):
+        if i < done or not (size := _stream_length(data[i:])):
+            continue
+        done = i + size
+        start, end = layer.span(at[i], at[done] if done < len(at) else run.end())
+        for window in _opened(data[i:done]):
+            for text, _, _ in _readings(window):
+                yield _Layer(text, np.full(len(text), start, dtype=np.int64), np.full(len(text), end, dtype=np.int64))
+
+
 def _layers(layer: _Layer) -> Iterator[_Layer]:
     if "%" in layer.text and (new := _replaced(layer, _PERCENT, _percent)):
         yield new
-    if "\\" in layer.text and (new := _replaced(layer, _ESCAPE, _escapes)):
+    if ("\\" in layer.text or "%u" in layer.text or "&#" in layer.text) and (new := _replaced(layer, _ESCAPE, _escapes)):
         yield new
+    for m in _URL_BYTES.finditer(layer.text) if "%" in layer.text else ():
+        yield from _written(layer, m, _ONE_URL_BYTE)
+    for m in _LITERAL_BYTES.finditer(layer.text) if "\\" in layer.text else ():
+        yield from _written(layer, m, _ONE_LITERAL_BYTE)
     for m in _BASE64.finditer(layer.text):
         digits = m[0].rstrip("=")
         yield from _decoded(layer, digits, np.arange(m.start(), m.start() + len(digits)), m.end())
@@ -192,7 +243,7 @@ def _decoded(layer: _Layer, digits: str, at: np.ndarray, end: int) -> Iterator[_
     """Layers of a run of base64 digits at the places ``at``, which ends with its padding at ``end``.
 
     The run may start with characters that are not of the payload: all four
-    alignments are read as text, and streams are tried wherever one may start.
+    alignments are read as text, and streams are tried at every byte of each.
     """
 
     def made(text: str, first: np.ndarray, last: np.ndarray) -> _Layer:
@@ -207,16 +258,16 @@ def _decoded(layer: _Layer, digits: str, at: np.ndarray, end: int) -> Iterator[_
             last = at[np.minimum(skip - (-stop * 4 // 3), len(digits)) - 1]
             last[stop == len(data)] = end - 1  # with the padding
             yield made(text, first, last)
-    for m in _STREAM.finditer(digits):
-        head = _bytes_of(digits[m.start() : m.start() + 400])
-        try:
-            zlib.decompressobj(47).decompress(head, 1 << 16)
-        except zlib.error:
-            continue  # no stream starts here
-        first = int(at[m.start()])
-        for window in _opened(_bytes_of(digits[m.start():])):
-            for text, _, _ in _readings(window):
-                yield made(text, np.full(len(text), first, dtype=np.int64), np.full(len(text), end - 1, dtype=np.int64))
+        for i in _starts(data):
+            if not (length := _stream_length(data[i:])):
+                continue
+            stop = i + length  # what follows is in the reading above
+            first, last = int(at[skip + i * 4 // 3]), int(at[min(skip - (-stop * 4 // 3), len(digits)) - 1])
+            if stop == len(data):
+                last = end - 1
+            for window in _opened(data[i:stop]):
+                for text, _, _ in _readings(window):
+                    yield made(text, np.full(len(text), first, dtype=np.int64), np.full(len(text), last, dtype=np.int64))
 
 
 def _bytes_of(digits: str) -> bytes:
