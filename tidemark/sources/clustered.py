@@ -44,8 +44,13 @@ def curve(rows: DataFrame, columns: list[str], bits: int = BITS) -> Column:
 
 
 def _below(ends: list[float], value: Column) -> Column:
-    """How many of the ends are below a value; 0 for null."""
-    return F.when(value.isNotNull(), F.size(F.filter(F.lit(ends), lambda e: e < value))).otherwise(0)
+    """How many of the sorted ends are below a value; 0 for null. A binary search, one comparison per bit of the number of ends."""
+    bits = len(ends).bit_length()
+    # Ends that are null are below nothing.
+    padded = F.array(*[F.lit(e) for e in ends], *[F.lit(None).cast("double")] * (2**bits - 1 - len(ends)))
+    steps = F.lit([2**bit for bit in reversed(range(bits))])
+    found = F.aggregate(steps, F.lit(0), lambda below, step: below + F.when(F.get(padded, below + step - 1) < value, step).otherwise(0))
+    return F.when(value.isNotNull(), found).otherwise(0)
 
 
 def _number(rows: DataFrame, column: str) -> Column:
