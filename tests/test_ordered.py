@@ -1,6 +1,7 @@
 """Operators along a sort order with ranges of a few rows, and interval joins, against plain Python."""
 
 import random
+import re
 from collections import Counter
 from datetime import datetime, timedelta
 
@@ -151,3 +152,16 @@ def test_points_in_wide_intervals(spark):
     pairs = intervals.points_in_intervals(points.withColumn("k", F.lit(1)), wide.withColumn("k", F.lit(1)), ["k"], "p", "s", "e")
     got = sorted((r["i"]["i"], r["p"]["p"]) for r in pairs.collect())
     assert got == sorted([(1, 0), (1, 5), (2, 5), (1, 2**40 + 1), (3, 2**40 + 1), (1, 2**60), (1, -(2**60))])
+
+
+def test_points_are_copied_once_for_four_levels(spark):
+    """Lengths of every level up to 2^11: points look into three tiers of bins, not into twelve levels, and find the same."""
+    rng = random.Random(11)
+    spans = [(i, s, s + rng.randrange(2 ** (i % 12))) for i, s in ((i, rng.randrange(-3000, 3000)) for i in range(240))]
+    points = [(rng.randrange(-3500, 5500),) for _ in range(100)]
+    frames = spark.createDataFrame(points, "p long").withColumn("k", F.lit(1)), spark.createDataFrame(spans, "i int, s long, e long").withColumn("k", F.lit(1))
+    pairs = intervals.points_in_intervals(*frames, ["k"], "p", "s", "e")
+    got = Counter((r["p"]["p"], r["i"]["i"]) for r in pairs.collect())
+    assert got == Counter((p, i) for (p,) in points for i, s, e in spans if s <= p <= e) and len(got) > 300
+    copies = [len(x.split(",")) for x in re.findall(r"explode\(\[([\d, ]+)\]", pairs._jdf.queryExecution().optimizedPlan().toString())]
+    assert copies and max(copies) <= 3

@@ -2,8 +2,9 @@
 
 Every interval gets a level by its length: the bins of a level are at least as
 wide as its intervals, so an interval lies in at most two of them. A point looks
-into one bin of every level there is. Whatever the lengths, rows are copied at
-most twice on one side and once per level, a few dozen at most, on the other.
+into one bin of every level there is. Only every fourth level is used, from the
+highest on, so bins are at most eight times as wide as need be, and whatever the
+lengths, rows are copied at most twice on one side and sixteen times on the other.
 """
 
 from __future__ import annotations
@@ -11,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Levels that share the bins of the highest of them.
+TIER = 4
+
 
 def _level(start: Column, end: Column) -> Column:
     """The least power of two above the length."""
@@ -30,20 +34,31 @@ def points_in_intervals(points: DataFrame, intervals: DataFrame, keys: list[str]
     level and bin, so a hot key is spread over its bins, and those that are hot
     themselves are for Spark's skew join to split.
     """
-    whole = lambda df: F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    numbers = [F.col(k).alias(f"__k{n}") for n, k in enumerate(keys)]
-    levelled = intervals.where(F.col(start) <= F.col(end)).withColumn("__level", _level(F.col(start), F.col(end)))
-    present = sorted(r[0] for r in levelled.select("__level").distinct().collect())  # at most 64
-    lo, hi = _bin(F.col(start), F.col("__level")), _bin(F.col(end), F.col("__level"))
-    spread = levelled.select(
-        *numbers, F.col(start).alias("__start"), F.col(end).alias("__end"), "__level",
-        F.explode(F.array_distinct(F.array(lo, hi))).alias("__bin"), whole(intervals).alias("i"),
+    def flat(df: DataFrame, side: str) -> list[Column]:
+        return [F.col(f"`{c}`").alias(f"__{side}{n}") for n, c in enumerate(df.columns)]
+
+    def whole(df: DataFrame, side: str) -> Column:
+        return F.struct(*[F.col(f"__{side}{n}").alias(c) for n, c in enumerate(df.columns)]).alias(side)
+
+    # Keys and ends are columns of the rows and travel once.
+    at_, start_, end_ = (F.col(f"__{side}{df.columns.index(c)}") for side, df, c in (("p", points, at), ("i", intervals, start), ("i", intervals, end)))
+    kept = intervals.where(F.col(start) <= F.col(end)).select(*flat(intervals, "i")).withColumn("__level", _level(start_, end_))
+    levels = sorted((r[0] for r in kept.select("__level").distinct().collect()), reverse=True)  # at most 64
+    tiers: list[int] = []
+    for level in levels:
+        if not tiers or level <= tiers[-1] - TIER:
+            tiers.append(level)
+    tier = F.coalesce(*[F.when(F.col("__level") > t - TIER, t) for t in tiers or [0]])
+    tiered = kept.withColumn("__level", tier.cast("int"))
+    lo, hi = _bin(start_, F.col("__level")), _bin(end_, F.col("__level"))
+    spread = tiered.select(*[c for c in tiered.columns], F.explode(F.array_distinct(F.array(lo, hi))).alias("__ibin")).withColumnRenamed("__level", "__ilevel")
+    looked = points.where(F.col(at).isNotNull()).select(*flat(points, "p"), F.explode(F.lit(tiers or [0])).alias("__level")).withColumn(
+        "__bin", _bin(at_, F.col("__level"))
     )
-    looked = points.where(F.col(at).isNotNull()).select(
-        *numbers, F.col(at).alias("__at"), F.explode(F.lit(present or [0])).alias("__level"), whole(points).alias("p")
-    ).withColumn("__bin", _bin(F.col("__at"), F.col("__level")))
-    on = [f"__k{n}" for n in range(len(keys))] + ["__level", "__bin"]
-    return looked.join(spread, on).where((F.col("__start") <= F.col("__at")) & (F.col("__at") <= F.col("__end"))).select("p", "i")
+    on = (F.col("__level") == F.col("__ilevel")) & (F.col("__bin") == F.col("__ibin"))
+    for k in keys:
+        on = on & (F.col(f"__p{points.columns.index(k)}") == F.col(f"__i{intervals.columns.index(k)}"))
+    return looked.join(spread, on & (start_ <= at_) & (at_ <= end_)).select(whole(points, "p"), whole(intervals, "i"))
 
 
 def overlapping(left: DataFrame, right: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
