@@ -46,3 +46,18 @@ def test_sketches_stay_close_after_merging(spark):
     fine = cubes.cells(rows, dims(), {}, {"who": F.col("who")})
     about = cubes.levels(fine, ["a", "b"], [[]]).first()["who_about"]
     assert abs(about - 50_000) < 1_500
+
+
+def test_copies_per_level_have_partitions_per_level(spark):
+    """The copies are dealt out before they are grouped: no aggregate between the explode and the exchange."""
+    sets = cubes.cube_sets("a", "b")
+    rows = spark.range(500).selectExpr("CAST(id % 5 AS string) AS a", "CAST(id % 3 AS int) AS b", "1 AS v", "id % 50 AS who")
+    exact = cubes.exact_distinct(rows, dims(), F.col("who"), sets, "n")
+    lines = [x.lstrip("+-: *()0123456789") for x in exact._jdf.queryExecution().sparkPlan().toString().splitlines()]
+    kinds = [x.split()[0].split("(")[0] for x in lines if x.strip()]
+    up = kinds[: kinds.index("Generate")]
+    assert up[-1] in ("Project", "Exchange") and "Exchange" in up and up.index("Exchange") > up.index("HashAggregate")
+    assert "HashAggregate" not in up[up.index("Exchange"):]
+    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert f", {n}), REPARTITION_BY_NUM" in exact._jdf.queryExecution().sparkPlan().toString()
+    assert {r["n"] for r in exact.where("level = 3").collect()} == {50}

@@ -81,8 +81,12 @@ def exact_distinct(rows: DataFrame, dims: dict[str, Column], value: Column, sets
 
     Distinct pairs of finest cell and value are made first and copied per level;
     a level's pairs are spread by value, so no group gathers its values in a task.
+    Both go, before a task groups any of them, to as many times more partitions as
+    there are levels, so that a task holds no more copies than it had rows, and none
+    groups rows beside the joins that made them.
     """
     names = list(dims)
-    pairs = rows.select(*[c.alias(n) for n, c in dims.items()], value.alias("__value")).distinct()
-    met = _levels(pairs, names, sets, ["__value"]).distinct()
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) * max(1, len(sets))
+    pairs = rows.select(*[c.alias(n) for n, c in dims.items()], value.alias("__value")).repartition(partitions, *names, "__value").distinct()
+    met = _levels(pairs, names, sets, ["__value"]).repartition(partitions, "level", *names, "__value").distinct()
     return met.groupBy("level", *names).agg(F.count("__value").alias(name))
