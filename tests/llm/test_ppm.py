@@ -139,3 +139,23 @@ def test_stored_texts_come_back():
     column = pa.array(["a", None, "", "é\n" * 1000])
     assert ppm._restored(ppm._stored(column)).to_pylist() == ["a", "", "", "é\n" * 1000]
     assert ppm._restored(ppm._stored(pa.array([], pa.string()))).to_pylist() == []
+
+
+def test_scores_travel_exactly_and_packed():
+    rng = np.random.default_rng(1)
+    scores = -rng.choice(rng.random(300), 20_000)
+    data = ppm._scores_packed(scores)
+    assert (ppm._scores_unpacked(data) == scores).all() and len(data) < 2.5 * len(scores)
+    assert ppm._scores_unpacked(ppm._scores_packed(np.zeros(0))).tolist() == []
+
+
+def test_a_symbol_in_context_and_a_token_travel_once_per_slice(make):
+    rows = make([(i, "qwertz uiop " * 50) for i in range(40)]).select("text", F.lit(True).alias("teach")).coalesce(1)
+    plan = ppm.sent_rows(rows, rows.sparkSession.sparkContext.broadcast({}), 8).collect()
+    kinds = Counter(r["kind"] for r in plan)
+    codes = [c for r in plan if r["kind"] == ppm._CODES for c in ppm._unpacked(bytes(r["data"]))[0].tolist()]
+    assert len(codes) == len(set(codes)) and kinds[ppm._TEXTS] == 1
+    # 24 000 symbols: 12 contexts go round, besides those of the start and the end. Counts of the training texts travel along.
+    assert len(codes) < 40 and sum(int(ppm._unpacked(bytes(r["data"]))[1].sum()) for r in plan if r["kind"] == ppm._CODES) == 40 * 601
+    asked = [t for r in plan if r["kind"] == ppm._TOKENS for t in ppm._unzipped(bytes(r["data"])).split(b"\n")]
+    assert sorted(asked) == [b" ", b"qwertz", b"uiop"]

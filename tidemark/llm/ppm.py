@@ -10,13 +10,16 @@ symbols of the documents are sent to; a document's score is its log10 probabilit
 from __future__ import annotations
 
 import hashlib
+import tempfile
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,6 +119,12 @@ def _codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return code[keep], lengths + 1
 
 
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys; numpy's own unique hashes, which takes many times longer than this sort."""
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])[: len(keys)]]
+
+
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct codes with the sum of their counts."""
     if not parts:
@@ -133,7 +142,9 @@ def _task_counts(batches: Iterator[pa.RecordBatch], n_bytes: int) -> Iterator[tu
     held = 0
     for batch in sliced(batches, "text", 2_000_000):
         if batch.num_rows:
-            parts.append(np.unique(_codes(batch.column(0))[0] & _mask(n_bytes), return_counts=True))
+            codes = _codes(batch.column(0))[0] & _mask(n_bytes)
+            keys, n = np.unique(codes.astype(np.uint32) if n_bytes <= 4 else codes, return_counts=True)
+            parts.append((keys.astype(np.uint64), n))
             held += len(parts[-1][0])
         if held > 4_000_000:
             parts = [_merged(parts)]
@@ -237,7 +248,7 @@ def symbol_scores(model: Model, codes: np.ndarray) -> np.ndarray:
 #: Contexts up to this length are sent to the tasks: at most 2^24 pairs of bytes and symbol, whatever the corpus.
 NEAR = 2
 #: Training text per bucket, symbols per row of the shuffle, and text whose symbols are looked up together.
-BUCKET_BYTES, PIECE, SLICE_BYTES = 8_000_000, 2048, 8_000_000
+BUCKET_BYTES, PIECE, SLICE_BYTES = 8_000_000, 16384, 8_000_000
 
 
 def _buckets(codes: np.ndarray, n: int) -> np.ndarray:
@@ -297,143 +308,253 @@ def _restored(data: bytes) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), n, [None, body.slice(0, 8 * (n + 1)), body.slice(8 * (n + 1))])
 
 
-def _text_keys(column: pa.Array) -> list[bytes]:
+def _zipped(body: bytes) -> bytes:
+    return len(body).to_bytes(8, "little") + pa.compress(body, "zstd", asbytes=True)
+
+
+def _unzipped(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
+def _scores_packed(scores: np.ndarray) -> bytes:
+    """Scores, of which many are equal, as the distinct ones and compressed byte planes of their numbers."""
+    values, places = np.unique(scores, return_inverse=True)
+    planes = places.astype(np.uint32).view(np.uint8).reshape(-1, 4).T
+    return len(values).to_bytes(4, "little") + _zipped(values.tobytes() + planes.tobytes())
+
+
+def _scores_unpacked(data: bytes) -> np.ndarray:
+    n, body = int.from_bytes(data[:4], "little"), _unzipped(data[4:])
+    planes = np.frombuffer(body, dtype=np.uint8, offset=8 * n).reshape(4, -1)
+    return np.frombuffer(body, dtype=np.float64, count=n)[np.ascontiguousarray(planes.T).view(np.uint32).ravel()]
+
+
+def _texts(column: pa.Array) -> list[bytes]:
+    """The bytes of all texts; a null text is empty."""
+    return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
+
+
+def _by_bucket(tokens: set[bytes], n_buckets: int) -> list[tuple[int, list[bytes]]]:
+    """Tokens by the bucket that has their counts, ascending."""
+    buckets: dict[int, list[bytes]] = {}
+    for token in sorted(tokens):
+        buckets.setdefault(zlib.crc32(token) % n_buckets, []).append(token)
+    return sorted(buckets.items())
+
+
+def _text_key(text: str) -> Column:
     """16 bytes that stand for a text; a null text is empty."""
-    return [hashlib.blake2b(t or b"", digest_size=16).digest() for t in column.cast(pa.large_binary()).to_pylist()]
+    return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)), 1, 16)
 
 
-def model_scores(taught: DataFrame, asked: DataFrame) -> DataFrame:
-    """(key, score) of every distinct text of ``asked`` under the model of ``taught``; both have a column text.
+def _assessed(texts: list[bytes], common: dict[bytes, float], rare: dict[bytes, float], unseen: set[bytes]) -> dict[str, pa.Array]:
+    """n_tokens, how many of them are known, and the sum of their logs, per text."""
+    n_tokens, known, sums = [], [], []
+    for text in texts:
+        words = text.lower().split()
+        words.append(END)
+        found = list(map(common.get, words))
+        if None in found:
+            others = [w for w, f in zip(words, found) if f is None]
+            known.append(len(words) - sum(map(unseen.__contains__, others)))
+            sums.append(sum([f for f in found if f is not None]) + sum([rare[w] for w in others]))
+        else:
+            known.append(len(words))
+            sums.append(sum(found))
+        n_tokens.append(len(words))
+    return {"n_tokens": pa.array(n_tokens, pa.int64()), "known": pa.array(known, pa.int64()), "base": pa.array(sums, pa.float64())}
+
+
+#: What the rows sent to a bucket hold.
+_CODES, _COUNTS, _TOKENS, _TEXTS = range(4)
+#: Codes that wait for a bucket's trie are kept in memory up to this size, beyond it in a temporary file.
+WAITING_BYTES = 32_000_000
 
-    Contexts and symbols go to buckets by the three bytes before the symbol, so
-    that a bucket has every longer context of its symbols whole. There the
-    counts of the training texts come first and make the bucket's part of the
-    trie; then the distinct symbols in context of every slice of texts are
-    looked up, and their scores go back to the slice, whose texts wait beside.
-    No task holds more than one bucket's contexts or one slice, the driver none
-    beyond those of NEAR bytes.
-    """
-    spark = taught.sparkSession
-    size = taught.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_buckets = max(8, -(-size // BUCKET_BYTES))
-    near = spark.sparkContext.broadcast(_low(taught, NEAR))
 
-    def learnt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, n in _task_counts(batches, ORDER + 1):
-            while len(keys):  # counts beyond 32 bits go in parts
-                yield _sent(keys, np.minimum(n, 2**32 - 1), n_buckets, 0, -1)
-                n = n - np.minimum(n, 2**32 - 1)
-                keys, n = keys[n > 0], n[n > 0]
+def sent_rows(rows: DataFrame, shared: Broadcast, n_buckets: int) -> DataFrame:
+    """What slices of texts (text, teach) send to the buckets: symbols in context with their counts, tokens not in ``shared``, texts."""
 
-    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 40
-        held, seen = 0, []
+        held, part, seen, tokens = 0, 0, [], set()
         for batch in sliced(batches, "text", 1_000_000):
             if not batch.num_rows:
                 continue
-            codes = _codes(batch.column(0))[0]
+            column, teach = batch.column(0), batch.column(1)
             yield pa.record_batch({
-                "bucket": pa.array([first % n_buckets], pa.int64()), "kind": pa.array([2], pa.int32()), "slice": pa.array([first], pa.int64()),
-                "part": pa.array([len(seen)], pa.int32()), "data": pa.array([_stored(batch.column(0))], pa.binary()),
+                "bucket": pa.array([first % n_buckets], pa.int64()), "kind": pa.array([_TEXTS], pa.int32()), "slice": pa.array([first], pa.int64()),
+                "part": pa.array([part], pa.int32()), "data": pa.array([_stored(column)], pa.binary()),
             })
-            held += len(codes)
-            seen.append(np.unique(codes))
+            part += 1
+            for some, teaches in ((column.filter(teach), True), (column.filter(pc.invert(teach)), False)):
+                codes, n = np.unique(_codes(some)[0], return_counts=True) if len(some) else _merged([])
+                held += int(n.sum())
+                seen.append((codes, n if teaches else np.zeros_like(n)))
+            tokens |= {END, *b"\n".join(_texts(column)).lower().split()}.difference(shared.value)
             if held >= SLICE_BYTES:
-                yield asked_for(seen, first)
-                first, held, seen = first + 1, 0, []
+                yield _sent(*_merged(seen), n_buckets, _CODES, first)
+                yield from _tokens_sent(tokens, n_buckets, _TOKENS, first)
+                first, held, part, seen, tokens = first + 1, 0, 0, [], set()
         if seen:
-            yield asked_for(seen, first)
+            yield _sent(*_merged(seen), n_buckets, _CODES, first)
+            yield from _tokens_sent(tokens, n_buckets, _TOKENS, first)
+
+    return rows.select("text", "teach").mapInArrow(sent, _SENT)
+
+
+def text_scores(rows: DataFrame, counts: DataFrame, common: dict[bytes, float], add: float) -> DataFrame:
+    """(key, n_tokens, known, base, score) of every distinct text of ``rows`` (text, teach).
 
-    def asked_for(seen: list[np.ndarray], first: int) -> pa.RecordBatch:
-        codes = np.unique(np.concatenate(seen))
-        return _sent(codes, np.zeros(len(codes), dtype=np.uint32), n_buckets, 1, first)
+    ``base`` sums log10(c + add) over the tokens, of which ``common`` has some and
+    ``counts`` all others; ``score`` is that of the model of the rows that teach.
+
+    Contexts and symbols go to buckets by the three bytes before the symbol, so
+    that a bucket has every longer context of its symbols whole. Every slice of
+    texts sends its distinct symbols in context once, with their counts among the
+    texts that teach. The bucket adds the counts of all slices up to its part of
+    the trie; then the same symbols are looked up there, and their scores go back to
+    the slice, whose texts wait beside. Tokens that are not common are looked up likewise.
+    No task holds more than one bucket's contexts or one slice, the driver none
+    beyond those of NEAR bytes.
+    """
+    spark = rows.sparkSession
+    taught = rows.where("teach").select("text")
+    size = taught.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_buckets = max(8, -(-size // BUCKET_BYTES))
+    near = spark.sparkContext.broadcast(_low(taught, NEAR))
+    shared = spark.sparkContext.broadcast(common)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            times = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            yield from _tokens_sent({t for t in times if t not in shared.value}, n_buckets, _COUNTS, -1, times)
 
     def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low, below = near.value
-        at, model = None, None
-        grams: list[tuple[np.ndarray, np.ndarray]] = []
-        held: list[tuple[int, int, np.ndarray]] = []
+        at, grams, n_held, times = None, [], 0, {}
+        waiting: list[tuple[int, int, int]] = []  # slice, part and size of what the file holds
 
-        def rows(slices, bucket, parts, data):
+        def rows_of(kind, slices, bucket, parts, data):
+            m = len(data)
             return pa.record_batch({
-                "slice": pa.array(slices, pa.int64()), "bucket": pa.array([bucket] * len(data), pa.int64()),
+                "slice": pa.array(slices, pa.int64()), "kind": pa.array([kind] * m, pa.int32()), "bucket": pa.array([bucket] * m, pa.int64()),
                 "part": pa.array(parts, pa.int32()), "data": pa.array(data, pa.binary()),
             })
 
         def answers():
-            codes, back = np.unique(np.concatenate([h[2] for h in held]), return_inverse=True)
+            model = Model(low.levels + _grown(*_merged(grams), range(NEAR + 1, ORDER + 1), below)[0], low.log_rest)
+            file.seek(0)
+            asked, n = [], 0
+            for first, part, length in waiting:
+                asked.append((first, part, _unpacked(file.read(length))[0]))
+                n += len(asked[-1][2])
+                if n > 1_000_000:
+                    yield answered(model, asked)
+                    asked, n = [], 0
+            if asked:
+                yield answered(model, asked)
+
+        def answered(model, asked):
+            codes, back = np.unique(np.concatenate([a[2] for a in asked]), return_inverse=True)
             scores = symbol_scores(model, codes)[back]
-            ends = np.cumsum([len(h[2]) for h in held])
-            data = [scores[e - len(h[2]) : e].tobytes() for h, e in zip(held, ends)]
-            out = rows([h[0] for h in held], at, [h[1] for h in held], data)
-            held.clear()
-            return out
-
-        n_held = 0
-        for batch in batches:
-            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-            for i, (bucket, kind, first, part) in enumerate(zip(*(c.tolist() for c in columns))):
-                data = batch.column(4)[i].as_py()
-                if bucket != at:
-                    if held:
-                        yield answers()
-                    at, model, grams, n_held = bucket, None, [], 0
-                if kind == 0:
-                    keys, n = _unpacked(data)
-                    grams.append((keys, n.astype(np.int64)))
-                    n_held += len(keys)
-                    if n_held > 4_000_000:
-                        grams, n_held = [_merged(grams)], 0
-                elif kind == 1:
-                    if model is None:
-                        model = Model(low.levels + _grown(*_merged(grams), range(NEAR + 1, ORDER + 1), below)[0], low.log_rest)
+            ends = np.cumsum([len(a[2]) for a in asked])
+            data = [_scores_packed(scores[e - len(a[2]) : e]) for a, e in zip(asked, ends)]
+            return rows_of(_CODES, [a[0] for a in asked], at, [a[1] for a in asked], data)
+
+        with tempfile.SpooledTemporaryFile(max_size=WAITING_BYTES) as file:
+            for batch in batches:
+                columns = [batch.column(i).to_pylist() for i in range(4)]
+                for i, (bucket, kind, first, part) in enumerate(zip(*columns)):
+                    data = batch.column(4)[i].as_py()
+                    if waiting and (bucket != at or kind != _CODES):
+                        yield from answers()
+                        file.seek(0)
+                        file.truncate()
                         grams, n_held = [], 0
-                    held.append((first, part, _unpacked(data)[0]))
-                    n_held += len(held[-1][2])
-                    if n_held > 1_000_000:
-                        yield answers()
-                        n_held = 0
-                else:
-                    yield rows([first], -1, [part], [data])
-        if held:
-            yield answers()
+                        waiting.clear()
+                    if bucket != at:
+                        at, times = bucket, {}
+                    if kind == _CODES:
+                        keys, n = _unpacked(data)
+                        grams.append((keys[n > 0], n[n > 0].astype(np.int64)))
+                        n_held += len(grams[-1][0])
+                        if n_held > 4_000_000:
+                            grams, n_held = [_merged(grams)], 0
+                        waiting.append((first, part, len(data)))
+                        file.write(data)
+                    elif kind == _COUNTS:
+                        body = _unzipped(data)
+                        size = int.from_bytes(body[:8], "little")
+                        n = np.frombuffer(body[8 : 8 + 8 * size], dtype=np.int64).tolist()
+                        times.update(zip(body[8 + 8 * size :].split(b"\n"), n))
+                    elif kind == _TOKENS:
+                        found = np.array([times.get(t, 0) for t in _unzipped(data).split(b"\n")], dtype=np.int64)
+                        yield rows_of(_TOKENS, [first], at, [part], [_zipped(found.tobytes())])
+                    else:
+                        yield rows_of(_TEXTS, [first], -1, [part], [data])
+            if waiting:
+                yield from answers()
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = None
-        texts: list[tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]] = []  # keys, distinct codes, their places, symbols
+        texts: list[pa.Array] = []
         found: list[np.ndarray] = []
+        times: list[np.ndarray] = []
 
         def out():
-            codes = np.unique(np.concatenate([t[1] for t in texts]))
+            parts = []  # distinct codes, their places, symbols
+            for column in texts:
+                codes, symbols = _codes(column)
+                own, places = np.unique(codes, return_inverse=True)
+                parts.append((own, places.astype(np.int32 if len(own) < 2**31 else np.int64), symbols))
+            codes = _distinct(np.concatenate([p[0] for p in parts]))
             scores = np.empty(len(codes))
             scores[_dealt(codes, n_buckets)[1]] = np.concatenate(found)
-            for keys, own, places, symbols in texts:
-                starts = np.cumsum(symbols) - symbols
-                total = np.add.reduceat(scores[np.searchsorted(codes, own)][places], starts)
-                yield pa.record_batch({"key": pa.array(keys, pa.binary()), "score": pa.array(total, pa.float64())})
+            written = [_texts(column) for column in texts]
+            tokens = {END}.union(*[b"\n".join(t).lower().split() for t in written]).difference(shared.value)
+            n = np.concatenate([np.zeros(0, dtype=np.int64), *times])
+            rare = dict(zip([t for _, own in _by_bucket(tokens, n_buckets) for t in own], np.log10(n + add).tolist(), strict=True))
+            unseen = {t for t, c in zip(rare, n.tolist()) if not c}
+            for (own, places, symbols), own_texts in zip(parts, written):
+                total = np.add.reduceat(scores[np.searchsorted(codes, own)][places], np.cumsum(symbols) - symbols)
+                keys = [hashlib.sha256(t).digest()[:16] for t in own_texts]
+                base = _assessed(own_texts, shared.value, rare, unseen)
+                yield pa.record_batch({"key": pa.array(keys, pa.binary()), **base, "score": pa.array(total, pa.float64())})
 
         for batch in batches:
-            for first, bucket, data in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3))):
+            for first, kind, data in zip(*(batch.column(i).to_pylist() for i in (0, 1, 4))):
                 if first != at:
                     if at is not None:
                         yield from out()
-                    at, texts, found = first, [], []
-                if bucket < 0:
-                    column = _restored(data)
-                    codes, symbols = _codes(column)
-                    own, places = np.unique(codes, return_inverse=True)
-                    texts.append((_text_keys(column), own, places.astype(np.int32 if len(own) < 2**31 else np.int64), symbols))
+                    at, texts, found, times = first, [], [], []
+                if kind == _TEXTS:
+                    texts.append(_restored(data))
+                elif kind == _CODES:
+                    found.append(_scores_unpacked(data))
                 else:
-                    found.append(np.frombuffer(data, dtype=np.float64))
+                    times.append(np.frombuffer(_unzipped(data), dtype=np.int64))
         if at is not None:
             yield from out()
 
-    sent = taught.select("text").mapInArrow(learnt, _SENT).unionAll(asked.select("text").mapInArrow(wanted, _SENT))
-    parts = sent.repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "kind", "slice", "part").mapInArrow(
-        looked_up, "slice long, bucket long, part int, data binary"
+    asked = sent_rows(rows, shared, n_buckets).unionAll(counts.select("token", "c").mapInArrow(counted, _SENT))
+    parts = asked.repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "kind", "slice", "part").mapInArrow(
+        looked_up, "slice long, kind int, bucket long, part int, data binary"
     )
-    slices = parts.repartition("slice").sortWithinPartitions("slice", "bucket", "part").mapInArrow(summed, "key binary, score double")
-    return slices.groupBy("key").agg(F.max("score").alias("score"))
+    result = "key binary, n_tokens long, known long, base double, score double"
+    slices = parts.repartition("slice").sortWithinPartitions("slice", "kind", "bucket", "part").mapInArrow(summed, result)
+    return slices.groupBy("key").agg(*[F.max(c).alias(c) for c in ("n_tokens", "known", "base", "score")])
+
+
+def _tokens_sent(tokens: set[bytes], n_buckets: int, kind: int, first: int, times: dict[bytes, int] | None = None) -> Iterator[pa.RecordBatch]:
+    """Tokens, with their counts if there are any, as one row per bucket."""
+    for bucket, own in _by_bucket(tokens, n_buckets):
+        body = b"\n".join(own)
+        if times is not None:
+            body = len(own).to_bytes(8, "little") + np.array([times[t] for t in own], dtype=np.int64).tobytes() + body
+        yield pa.record_batch({
+            "bucket": pa.array([bucket], pa.int64()), "kind": pa.array([kind], pa.int32()), "slice": pa.array([first], pa.int64()),
+            "part": pa.array([0], pa.int32()), "data": pa.array([_zipped(body)], pa.binary()),
+        })
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
@@ -466,78 +587,22 @@ def score(
     ``training`` tells which rows teach. ``base_score`` sums
     log10((c + add) / (N + add (V + 1))) over the tokens, exact for every token:
     those in more than ``common_rate`` of all places (at most 1 / common_rate of
-    them) are sent to the tasks, the counts of all others are joined. ``score`` is
+    them) are sent to the tasks, the counts of all others are looked up in buckets. ``score`` is
     the log10 probability of the text, A-Z made small, under the byte model, its
     end included. A null text is empty: one token, the end. Repeated rows are
     scored each, rows with a null id too; without training rows all counts are 0.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), training.alias("teach"))
-    taught = rows.where("teach").select("text")
-    spark = docs.sparkSession
-    counts = settled(token_counts(taught))
+    teach = F.coalesce(training, F.lit(False)).alias("teach")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), teach)
+    counts = settled(token_counts(rows.where("teach")))
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     common = counts.where(F.col("c") >= n * common_rate).toPandas()
     weights = dict(zip(map(bytes, common["token"]), np.log10(common["c"].to_numpy(np.float64) + add).tolist()))
-    shared = spark.sparkContext.broadcast(weights)
-    id_type = docs.schema[id_col].dataType
-
-    def assess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = shared.value
-        row = TaskContext.get().partitionId() << 40
-        for batch in sliced(batches, "text", 1_000_000):
-            if not batch.num_rows:
-                continue
-            n_tokens, known, sums, owner, token, times = [], [], [], [], [], []
-            for text in batch.column(1).cast(pa.large_binary()).to_pylist():
-                words = (text or b"").lower().split()
-                words.append(END)
-                found = list(map(weights.get, words))
-                missing = found.count(None)
-                n_tokens.append(len(words))
-                known.append(len(words) - missing)
-                if missing:
-                    rare = Counter([w for w, f in zip(words, found) if f is None])
-                    owner += [row] * len(rare)
-                    token += rare.keys()
-                    times += rare.values()
-                    found = [f for f in found if f is not None]
-                sums.append(sum(found))
-                row += 1
-            k = batch.num_rows
-            mine = np.arange(row - k, row)
-            yield pa.record_batch({
-                "row": pa.array(mine), "id": batch.column(0), "n_tokens": pa.array(n_tokens, pa.int64()),
-                "known": pa.array(known, pa.int64()), "base": pa.array(sums, pa.float64()), "key": pa.array(_text_keys(batch.column(1)), pa.binary()),
-                "token": pa.nulls(k, pa.binary()), "times": pa.nulls(k, pa.int64()),
-            })
-            if owner:
-                m = len(owner)
-                yield pa.record_batch({
-                    "row": pa.array(owner, pa.int64()), "id": pa.nulls(m, batch.column(0).type), "n_tokens": pa.nulls(m, pa.int64()),
-                    "known": pa.nulls(m, pa.int64()), "base": pa.nulls(m, pa.float64()), "key": pa.nulls(m, pa.binary()),
-                    "token": pa.array(token, pa.binary()), "times": pa.array(times, pa.int64()),
-                })
-
-    fields = (
-        f"row long, id {id_type.simpleString()}, n_tokens long, known long, base double, key binary, "
-        "token binary, times long"
-    )
-    found = settled(rows.select("id", "text").mapInArrow(assess, fields))  # read twice: texts and their rare tokens
-    rare = (
-        found.where("token IS NOT NULL").select("row", "token", "times").join(counts, "token", "left")
-        .groupBy("row").agg(
-            F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(add))).alias("rare_base"),
-            F.sum(F.when(F.col("c").isNotNull(), F.col("times"))).alias("rare_known"),
-        )
-    )
     per_token = float(np.log10(n + add * (v + 1)))
     return (
-        found.where("n_tokens IS NOT NULL").select("row", "id", "n_tokens", "known", "base", "key").join(rare, "row", "left")
-        .join(model_scores(taught, rows), "key", "left")
+        rows.select("id", _text_key("text").alias("key")).join(text_scores(rows, counts, weights, add), "key", "left")
         .select(
-            F.col("id").alias(id_col), "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-            F.lit(n).cast("long").alias("train_tokens"),
-            (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) - F.col("n_tokens") * F.lit(per_token)).alias("base_score"),
-            "score",
+            F.col("id").alias(id_col), "n_tokens", F.col("known").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+            (F.col("base") - F.col("n_tokens") * F.lit(per_token)).alias("base_score"), "score",
         )
     )
