@@ -1,4 +1,5 @@
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -96,3 +97,17 @@ def test_plan_has_no_python(make, capsys):
     line_join.dedup_lines(make(corpus())).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan and "Cartesian" not in plan
+
+
+def test_shuffles_of_written_steps_are_dropped(spark, make):
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in map(str, spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(found)) if "/shuffle_" in f}
+
+    before = files()
+    kept = line_join.kept_lines(make(corpus()))
+    for _ in range(50):  # files go in the background
+        if files() - before:
+            time.sleep(0.1)
+    assert not files() - before
+    assert kept.count() > 0 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import settled
+from tidemark.session import settled, shuffles_dropped
 
 _HASH_BITS = 48
 
@@ -55,7 +55,8 @@ def word_ranks(docs: DataFrame, text_col: str = "text", cells: int = 1 << 18) ->
     """
     words = docs.select(F.explode(F.split(F.replace(F.col(text_col), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
     counts = words.groupBy(F.expr(f"cast(xxhash64(w) & {cells - 1} as int)").alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-    steps = counts.select("cell", F.expr("cast(least(3 * log2(n), 126) as int)").alias("step")).toPandas()
+    with shuffles_dropped(docs.sparkSession):
+        steps = counts.select("cell", F.expr("cast(least(3 * log2(n), 126) as int)").alias("step")).toPandas()
     ranks = bytearray(cells)
     for cell, step in zip(steps["cell"].tolist(), steps["step"].tolist()):
         ranks[cell] = step
@@ -152,7 +153,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: float, id_col: str,
     """(id, pos) of the later line of each pair (x earlier, y later) whose word sets reach the threshold."""
     ends = [pairs.select(F.col(f"{e}_id").alias("id"), F.col(f"{e}_pos").alias("pos")) for e in "xy"]
     needed = ends[0].unionAll(ends[1]).distinct().groupBy("id").agg(F.collect_list("pos").alias("wanted"))
-    if pairs.count() <= most_broadcast:
+    with shuffles_dropped(docs.sparkSession):
+        few = pairs.count() <= most_broadcast
+    if few:
         needed = F.broadcast(needed)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # The wanted lines of one document, bounded by its own length; the text is split once, as a variable of the lambda.
@@ -188,7 +191,8 @@ def kept_lines(
     cells = 1 << 18
     cell = f"(k & {cells - 1})"
     counts = entries.groupBy(F.expr(cell).alias("c")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot)
-    busy = counts.select("c").toPandas()["c"].tolist()  # at most one per cell, a fixed number
+    with shuffles_dropped(docs.sparkSession):
+        busy = counts.select("c").toPandas()["c"].tolist()  # at most one per cell, a fixed number
     decided = None
     if busy:
         marks = bytearray(cells)
