@@ -79,3 +79,19 @@ def test_long_words_are_not_cut(make, vocabulary):
     short = {r["word"]: r["ids"] for r in lattice.word_pieces(words, vocabulary).collect()}
     long = {r["word"]: r["ids"] for r in lattice._long_word_pieces(words, vocabulary).collect()}
     assert short == long and len(short) == 12
+
+
+def test_words_travel_once_per_slice(make, vocabulary, capsys):
+    rows = ROWS + [(i, f"word{i % 5} other{i} été x\ny" * (i % 7)) for i in range(100, 160)]
+    docs = make(rows)
+    got = lattice.encode(docs, vocabulary)
+    got.explain()
+    plan = capsys.readouterr().out
+    # No row per word of a text and no edges grouped as rows: both took more disk than the budget.
+    assert "Generate" not in plan and "ObjectHashAggregate" not in plan
+    small = lattice.encode(docs, vocabulary, slice_words=7, bucket_bytes=200)
+    assert got.columns == ["doc_id", "ids"]
+    found = sorted((str(r["doc_id"]), r["ids"]) for r in got.collect())
+    assert len(found) == len(rows) and found == sorted((str(r["doc_id"]), r["ids"]) for r in small.collect())
+    table = {p: ([i], w) for p, i, w in vocabulary.pieces}
+    assert dict(found)["106"] == [i for w in ["▁word1", "▁other106", "▁été", "▁x", "\n", "y"] for i in best(w, table, vocabulary)[1]]

@@ -1,29 +1,37 @@
-"""SentencePiece encoding and decoding as relational operations.
+"""SentencePiece encoding and decoding by a lattice of pieces over the distinct words.
 
-Every distinct word of the corpus is segmented once: its substrings of bounded
-length are joined with the table of pieces, the matches are the edges of the
-word's lattice, and a Viterbi fold over the edges, grouped by word, finds the
-best path; words of more than 256 characters get theirs from a plain loop. Documents are encoded by joining their words with that dictionary.
+Slices of documents send their distinct words to buckets. A bucket segments every
+word once: its substrings are joined with the table of pieces, the matches are the
+edges of the word's lattice, and a Viterbi fold over the edges, grouped by where
+they end, finds the best path; words of more than 256 characters get theirs from a
+plain loop. The pieces go back to the slices, which join them with their documents.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.batches import sliced
-from tidemark.session import settled, small_rows
+from tidemark.llm.batches import sliced, text_bytes
+from tidemark.llm.ppm import Table
 
 #: What a piece table writes for a space.
 SPACE = "▁"
-#: Longer words get their path from a loop over their characters, so that a relational lattice is bounded.
+#: Longer words get their path from a loop over their characters: the fold takes as many steps as the longest word has.
 LONGEST_WORD = 256
+#: Words whose distinct ones are sent together, text per bucket, and characters whose lattice is held at once.
+SLICE_WORDS, BUCKET_BYTES, LATTICE_CHARS = 4_000_000, 32_000_000, 100_000
 
 
 class Vocabulary(NamedTuple):
@@ -84,34 +92,138 @@ def words_of(text: str, vocabulary: Vocabulary) -> Column:
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
+class Pieces(NamedTuple):
+    """The piece table as a trie: ``steps`` finds the node that a node and a character lead to, less one; nodes have pieces or -1."""
+
+    steps: Table
+    ids: np.ndarray
+    weights: np.ndarray
+    by_text: dict[str, tuple[float, int]]
+    vocabulary: Vocabulary
+
+
+def _pieces(vocabulary: Vocabulary) -> Pieces:
+    steps: dict[int, int] = {}
+    ends = []
+    for piece, _, _ in vocabulary.pieces:
+        node = 0
+        for c in piece:
+            node = steps.setdefault(node << 21 | ord(c), len(steps) + 1)
+        ends.append(node)
+    ids, weights = np.full(len(steps) + 1, -1, dtype=np.int32), np.full(len(steps) + 1, -np.inf)
+    ids[ends], weights[ends] = [i for _, i, _ in vocabulary.pieces], [w for _, _, w in vocabulary.pieces]
+    table = Table.of(np.fromiter(steps, dtype=np.uint64, count=len(steps)))
+    return Pieces(table, ids, weights, {p: (w, i) for p, i, w in vocabulary.pieces}, vocabulary)
+
+
+def _long_path(word: str, pieces: Pieces) -> list[int]:
+    """The ids of one word, with work linear in its length."""
+    longest, first_byte, unknown_weight = pieces.vocabulary.longest, pieces.vocabulary.first_byte, pieces.vocabulary.unknown_weight
+    weights, starts = [0.0], [-1]
+    for end in range(1, len(word) + 1):
+        top = None
+        for start in range(max(0, end - longest), end):
+            found = pieces.by_text.get(word[start:end])
+            if found is None and start < end - 1:
+                continue
+            edge = (weights[start] + (unknown_weight if found is None else found[0]), start)
+            top = edge if top is None or edge > top else top
+        weights.append(top[0])
+        starts.append(top[1])
+    parts, end = [], len(word)
+    while end:
+        piece = word[starts[end] : end]
+        found = pieces.by_text.get(piece)
+        parts.append([first_byte + b for b in piece.encode()] if found is None else [found[1]])
+        end = starts[end]
+    return [i for part in reversed(parts) for i in part]
+
+
+def _lattice(chars: np.ndarray, lengths: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of words, longest first, and how many each has; ``chars`` has all their characters.
+
+    A word has one more state than characters; edges lie with the state they end at, by their length.
+    """
+    n, longest = len(lengths), int(min(pieces.vocabulary.longest, lengths[0]))
+    owner = np.repeat(np.arange(n), lengths)
+    begins = np.cumsum(lengths + 1) - lengths - 1
+    room = np.repeat(np.cumsum(lengths), lengths)
+    weight = np.full((len(chars) + n, longest), -np.inf)
+    ids = np.full((len(chars) + n, longest), -1, dtype=np.int32)
+    weight[np.arange(len(chars)) + owner + 1, 0] = pieces.vocabulary.unknown_weight  # of a character that is no piece
+    at, node = np.arange(len(chars)), np.zeros(len(chars), dtype=np.int64)
+    for k in range(longest):  # the substrings from every character, as far as a piece goes on with them
+        inside = at + k < room[at]
+        at, node = at[inside], node[inside]
+        node = pieces.steps.find(node.astype(np.uint64) << np.uint64(21) | chars[at + k]).astype(np.int64) + 1
+        at, node = at[node > 0], node[node > 0]
+        known = pieces.ids[node] >= 0
+        end = at[known] + owner[at[known]] + k + 1
+        weight[end, k], ids[end, k] = pieces.weights[node[known]], pieces.ids[node[known]]
+    best, cut = np.zeros(len(chars) + n), np.zeros(len(chars) + n, dtype=np.int64)
+    back = np.arange(1, longest + 1)
+    for end in range(1, int(lengths[0]) + 1):
+        states = begins[: np.searchsorted(-lengths, -end, side="right")] + end
+        sums = best[states[:, None] - back] + weight[states]  # no edge reaches into another word
+        cut[states] = sums.argmax(axis=1)  # the first of equal ones, that of the latest start
+        best[states] = sums[np.arange(len(states)), cut[states]]
+    on_path = np.zeros(len(cut), dtype=bool)
+    states, first = begins + lengths, begins
+    while len(states):
+        on_path[states] = True
+        states = states - cut[states] - 1
+        states, first = states[states > first], first[states > first]
+    states = np.flatnonzero(on_path)
+    found, word = ids[states, cut[states]], np.repeat(np.arange(n), lengths + 1)[states]
+    unknown = chars[(states - word - 1)[found < 0]]
+    counts = np.ones(len(found), dtype=np.int64)
+    counts[found < 0] = 1 + (unknown >= 0x80) + (unknown >= 0x800) + (unknown >= 0x10000)
+    out = np.repeat(found, counts)
+    out[out < 0] = pieces.vocabulary.first_byte + np.frombuffer("".join(map(chr, unknown.tolist())).encode(), dtype=np.uint8).astype(np.int32)
+    return out, np.bincount(word, weights=counts, minlength=n).astype(np.int64)
+
+
+def _paths(words: pa.Array, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words, none of them empty, one after the other, and how many each has."""
+    lengths = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    order = np.argsort(-lengths, kind="stable")
+    words, lengths = words.take(pa.array(order)), lengths[order]
+    done = int(np.searchsorted(-lengths, -LONGEST_WORD, side="left"))
+    long = [_long_path(w, pieces) for w in words.slice(0, done).to_pylist()]
+    ids = [np.array([i for w in long for i in w], dtype=np.int32)]
+    counts = [np.array([len(w) for w in long], dtype=np.int64)]
+    ends = np.cumsum(lengths)
+    while done < len(words):
+        stop = max(done + 1, int(np.searchsorted(ends, ends[done] - lengths[done] + LATTICE_CHARS, side="right")))
+        text = text_bytes(words.slice(done, stop - done))[0].tobytes().decode()
+        out, n = _lattice(np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64), lengths[done:stop], pieces)
+        ids.append(out)
+        counts.append(n)
+        done = stop
+    counts, back = np.concatenate(counts), np.empty(len(order), dtype=np.int64)
+    back[order] = np.arange(len(order))
+    return _picked(np.concatenate(ids), counts, back), counts[back]
+
+
+def _picked(values: np.ndarray, counts: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The values of the groups at ``places``, where the groups have ``counts`` values each."""
+    n = counts[places]
+    starts = (np.cumsum(counts) - counts)[places]
+    return values[np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+
+
+def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
+
+
 def _long_word_pieces(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(word, ids) as ``word_pieces`` has them, one word at a time with work linear in its length."""
-    shared = words.sparkSession.sparkContext.broadcast({p: (w, i) for p, i, w in vocabulary.pieces})
-    longest, first_byte, unknown_weight = vocabulary.longest, vocabulary.first_byte, vocabulary.unknown_weight
-
-    def path(word: str, pieces: dict[str, tuple[float, int]]) -> list[int]:
-        weights, starts = [0.0], [-1]
-        for end in range(1, len(word) + 1):
-            top = None
-            for start in range(max(0, end - longest), end):
-                found = pieces.get(word[start:end])
-                if found is None and start < end - 1:
-                    continue
-                edge = (weights[start] + (unknown_weight if found is None else found[0]), start)
-                top = edge if top is None or edge > top else top
-            weights.append(top[0])
-            starts.append(top[1])
-        parts, end = [], len(word)
-        while end:
-            piece = word[starts[end] : end]
-            found = pieces.get(piece)
-            parts.append([first_byte + b for b in piece.encode()] if found is None else [found[1]])
-            end = starts[end]
-        return [i for part in reversed(parts) for i in part]
+    shared = words.sparkSession.sparkContext.broadcast(_pieces(vocabulary))
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "word", 1_000_000):
-            ids = [path(w, shared.value) for w in batch.column(0).to_pylist()]
+            ids = [_long_path(w, shared.value) for w in batch.column(0).to_pylist()]
             yield pa.record_batch({"word": batch.column(0), "ids": pa.array(ids, pa.list_(pa.int32()))})
 
     return words.select("word").mapInArrow(fold, "word string, ids array<int>")
@@ -123,56 +235,175 @@ def word_pieces(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     A character that is no piece is an edge of its UTF-8 byte pieces. Among
     equally good paths the one with the later start of its last piece wins.
     """
-    spark = words.sparkSession
-    long_words = words.where(F.length("word") > LONGEST_WORD)
-    words = words.where(F.length("word") <= LONGEST_WORD)
-    pieces, ids, weights = zip(*vocabulary.pieces)
-    table = small_rows(spark, list(zip(pieces, ids, weights)), {"sub": pa.string(), "id": pa.int32(), "weight": pa.float64()})
-    starts = words.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("start"))
-    longest = F.least(F.lit(vocabulary.longest), F.length("word") - F.col("start") + 1)
-    spans = starts.select("word", "start", F.explode(F.sequence(F.lit(1), longest)).alias("n"))
-    subs = spans.select("word", "start", "n", F.substring("word", F.col("start"), F.col("n")).alias("sub"))
-    # The piece table has a fixed size, that of the model file.
-    matched = subs.join(F.broadcast(table), "sub", "left").where("id IS NOT NULL OR n = 1")
-    as_bytes = F.expr(
-        f"transform(sequence(1, octet_length(sub)), k -> {vocabulary.first_byte} + "
-        "cast(conv(hex(substr(encode(sub, 'UTF-8'), k, 1)), 16, 10) as int))"
-    )
-    edge = F.struct(
-        F.coalesce("weight", F.lit(vocabulary.unknown_weight)).alias("w"), (F.col("start") - 1).alias("start"),
-        F.when(F.col("id").isNotNull(), F.array("id")).otherwise(as_bytes).alias("ids"),
-    )
-    # Bounded groups: at most as many edges as the longest piece has characters, then one row per character.
-    ends = matched.groupBy("word", (F.col("start") + F.col("n") - 1).alias("end")).agg(F.collect_list(edge).alias("edges"))
-    lattice = ends.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("end", "edges"))).alias("ends"))
-    best = F.expr(
-        "aggregate(ends, array(struct(double(0) as w, -1 as start, cast(array() as array<int>) as ids)), (best, e) -> "
-        "array_append(best, array_max(transform(e.edges, x -> "
-        "struct(element_at(best, x.start + 1).w + x.w as w, x.start as start, x.ids as ids)))))"
-    )
-    path = F.expr(
-        "aggregate(ends, struct(size(ends) as at, cast(array() as array<int>) as ids), (a, e) -> if(a.at > 0, "
-        "struct(element_at(best, a.at + 1).start as at, concat(element_at(best, a.at + 1).ids, a.ids) as ids), a)).ids"
-    )
-    short = lattice.withColumn("best", best).select("word", path.alias("ids"))
-    return short.unionAll(_long_word_pieces(long_words, vocabulary))
+    shared = words.sparkSession.sparkContext.broadcast(_pieces(vocabulary))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "word", 1_000_000):
+            yield pa.record_batch({"word": batch.column(0), "ids": _lists(*_paths(batch.column(0), shared.value))})
+
+    return words.select("word").where("word != ''").mapInArrow(fold, "word string, ids array<int>")
+
 
+def _packed(numbers: list[np.ndarray], body: bytes = b"") -> bytes:
+    """Arrays of numbers below 2^32, as compressed byte planes, and other bytes after them."""
+    planes = [np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes() for x in numbers]
+    head = np.array([len(numbers), *map(len, numbers), len(body)], dtype="<i8").tobytes()
+    return head + pa.Codec("zstd", compression_level=9).compress(b"".join([*planes, body]), asbytes=True)
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def _unpacked(data: bytes) -> tuple[list[np.ndarray], bytes]:
+    n = int(np.frombuffer(data, dtype="<i8", count=1)[0])
+    sizes = np.frombuffer(data, dtype="<i8", count=n + 1, offset=8).tolist()
+    body = pa.decompress(data[8 * (n + 2) :], 4 * sum(sizes[:-1]) + sizes[-1], "zstd", asbytes=True)
+    out, at = [], 0
+    for size in sizes[:-1]:
+        planes = np.frombuffer(body, dtype=np.uint8, count=4 * size, offset=at).reshape(4, size)
+        out.append(np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64))
+        at += 4 * size
+    return out, body[at:]
+
+
+def _words_packed(words: pa.Array) -> bytes:
+    flat, offsets = text_bytes(words)
+    return _packed([np.diff(offsets)], flat.tobytes())
+
+
+def _words_unpacked(data: bytes) -> pa.Array:
+    (lengths,), flat = _unpacked(data)
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_string(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+
+
+def _table_packed(column: pa.Array) -> bytes:
+    sink = pa.BufferOutputStream()
+    batch = pa.record_batch({"id": column})
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+#: What the rows of the exchanges hold: the documents of a slice, words for a bucket or their pieces.
+_DOCS, _WORDS = range(2)
+_SENT = "bucket long, slice long, kind int, data binary"
+
+
+def _rows(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
+    types = {"bucket": pa.int64(), "slice": pa.int64(), "kind": pa.int32(), "data": pa.binary()}
+    return pa.record_batch({c: pa.array(v, t) for (c, t), v in zip(types.items(), zip(*rows), strict=True)})
+
+
+def _sent(ids: pa.Array, words: pa.Array, number: int, n_buckets: int) -> pa.RecordBatch:
+    """A slice of documents with their words by number, and its distinct words as one row per bucket.
+
+    Frequent words have small numbers, which pack well; ``place`` is where the buckets have each.
+    """
+    met = words.flatten().dictionary_encode()
+    distinct, met = met.dictionary, met.indices.to_numpy(zero_copy_only=False)
+    frequent = np.argsort(-np.bincount(met, minlength=len(distinct)), kind="stable")
+    rank, place = np.empty_like(frequent), np.empty_like(frequent)
+    rank[frequent] = np.arange(len(frequent))
+    order = pc.sort_indices(distinct).to_numpy()  # neighbours compress each other
+    bucket = np.fromiter(map(zlib.crc32, distinct.take(pa.array(order)).cast(pa.binary()).to_pylist()), dtype=np.int64) % n_buckets
+    dealt = np.argsort(bucket, kind="stable")
+    order, bucket = order[dealt], bucket[dealt]
+    place[rank[order]] = np.arange(len(order))
+    sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+    numbers = [sizes, rank[met], place]
+    rows = [((number ^ number >> 32) % n_buckets, number, _DOCS, _packed(numbers, _table_packed(ids)))]
+    cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else [], len(bucket)).astype(np.int64).tolist()
+    distinct = distinct.take(pa.array(order))
+    rows += [(int(bucket[a]), number, _WORDS, _words_packed(distinct.slice(a, b - a))) for a, b in zip(cuts, cuts[1:])]
+    return _rows(rows)
+
+
+def encode(
+    docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text",
+    slice_words: int = SLICE_WORDS, bucket_bytes: int = BUCKET_BYTES,
+) -> DataFrame:
     """(id, ids) for every row of ``docs``: the piece ids of its whole text.
 
-    A null or empty text has no ids. Repeated rows are encoded each.
+    A null or empty text has no ids. Repeated rows are encoded each. The distinct
+    words of a slice of documents go to buckets by hash, where each word that any
+    slice has is segmented once; no task holds more than a slice or a bucket, both of bounded size.
     """
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), words_of(text_col, vocabulary).alias("words")
-    )
-    placed = rows.select("row", "id", F.posexplode_outer("words").alias("pos", "word"))
-    distinct = rows.select(F.explode("words").alias("word")).distinct()
-    dictionary = settled(word_pieces(distinct, vocabulary))
-    joined = placed.join(dictionary, "word", "left")
-    return joined.groupBy("row", "id").agg(
-        F.array_sort(F.collect_list(F.when(F.col("word").isNotNull(), F.struct("pos", "ids")))).alias("parts")
-    ).select(F.col("id").alias(id_col), F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    n_buckets = max(8, -(-size // bucket_bytes))
+    shared = spark.sparkContext.broadcast(_pieces(vocabulary))
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, ids, words = TaskContext.get().partitionId() << 32, 0, [], []
+        for batch in batches:
+            ends, start = np.cumsum(pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)), 0
+            while start < batch.num_rows:
+                before = int(ends[start - 1]) if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, before + slice_words - held, side="right")))
+                ids.append(batch.column(0).slice(start, stop - start))
+                words.append(batch.column(1).slice(start, stop - start))
+                held += int(ends[stop - 1]) - before
+                start = stop
+                if held >= slice_words or start < batch.num_rows:
+                    yield _sent(pa.concat_arrays(ids), pa.concat_arrays(words), number, n_buckets)
+                    number, held, ids, words = number + 1, 0, [], []
+        if ids:
+            yield _sent(pa.concat_arrays(ids), pa.concat_arrays(words), number, n_buckets)
+
+    def segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, slices, asked = None, [], []
+
+        def answers():
+            met = pa.chunked_array(asked).combine_chunks().dictionary_encode()
+            ids, counts = _paths(met.dictionary, shared.value)
+            places, done = met.indices.to_numpy(zero_copy_only=False), 0
+            for number, words in zip(slices, asked):
+                own = places[done : done + len(words)]
+                done += len(words)
+                yield _rows([(at, number, _WORDS, _packed([counts[own], _picked(ids, counts, own)]))])
+
+        for batch in batches:
+            for bucket, number, kind, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if kind == _DOCS:
+                    yield _rows([(bucket, number, kind, data)])
+                    continue
+                if bucket != at and asked:
+                    yield from answers()
+                    slices, asked = [], []
+                at = bucket
+                slices.append(number)
+                asked.append(_words_unpacked(data))
+        if asked:
+            yield from answers()
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows, found = None, None, []
+
+        def out():
+            (sizes, places, place), ids = _unpacked(rows)
+            counts = np.concatenate([np.zeros(0, dtype=np.int64), *[f[0] for f in found]])
+            values = np.concatenate([np.zeros(0, dtype=np.int64), *[f[1] for f in found]])
+            places = place[places]
+            done = np.concatenate([[0], np.cumsum(counts[places])])[np.concatenate([[0], np.cumsum(sizes)])]
+            with pa.ipc.open_stream(ids) as reader:
+                column = reader.read_all().column("id").combine_chunks()
+            return pa.record_batch({id_col: column, "ids": _lists(_picked(values, counts, places), np.diff(done))})
+
+        for batch in batches:
+            for _, number, kind, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if number != at:
+                    if at is not None:
+                        yield out()
+                    at, found = number, []
+                if kind == _DOCS:
+                    rows = data
+                else:
+                    found.append(_unpacked(data)[0])
+        if at is not None:
+            yield out()
+
+    rows = docs.select(F.col(id_col).alias("id"), words_of(text_col, vocabulary).alias("words")).mapInArrow(sent, _SENT)
+    parts = rows.repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "kind", "slice").mapInArrow(segmented, _SENT)
+    result = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return parts.repartition("slice").sortWithinPartitions("slice", "kind", "bucket").mapInArrow(joined, result)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
