@@ -159,3 +159,20 @@ def test_a_symbol_in_context_and_a_token_travel_once_per_slice(make):
     assert len(codes) < 40 and sum(int(ppm._unpacked(bytes(r["data"]))[1].sum()) for r in plan if r["kind"] == ppm._CODES) == 40 * 601
     asked = [t for r in plan if r["kind"] == ppm._TOKENS for t in ppm._unzipped(bytes(r["data"])).split(b"\n")]
     assert sorted(asked) == [b" ", b"qwertz", b"uiop"]
+
+
+def test_symbols_and_words_of_many_texts_are_told_apart():
+    texts = [None, "", " aB\x0b\x1cc\x85 ", "é aB", *[f"x{i % 7} y\t" * (i % 5) for i in range(ppm._TOGETHER - 4)]]
+    codes, times, text, n = ppm._by_code(pa.array(texts, pa.large_string()))
+    assert n == len(texts) and (np.diff(codes.astype(np.int64)) > 0).all()
+    every = [ppm._codes(pa.array([t], pa.string()))[0] for t in texts]
+    found = np.repeat(codes, times)
+    for i, own in enumerate(every):
+        assert found[text == i].tolist() == sorted(own.tolist())
+    words, places = ppm._tokens(pa.array(texts, pa.string()))
+    split = [(t or "").encode().lower().split() for t in texts]
+    assert ppm._bytes(words) == [w for t in split for w in t] and places.tolist() == [i for i, t in enumerate(split) for _ in t]
+    # Sums of many logs are not rounded more than the plain sum.
+    base = ppm._assessed([b"a", b"b"], np.tile([0, 1], 100_000), np.zeros(200_000, np.int64), 1, {b"a": 4.3010321}, {b"b": -0.7, ppm.END: -1.0}, {b"b"})
+    assert math.isclose(base["base"][0].as_py(), math.fsum([4.3010321, -0.7] * 100_000 + [-1.0]), rel_tol=1e-13)
+    assert (base["n_tokens"][0].as_py(), base["known"][0].as_py()) == (200_001, 100_001)

@@ -104,19 +104,20 @@ def _codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     flat, offsets = text_bytes(column)
     n = len(offsets) - 1
     lengths = np.diff(offsets)
-    wide = np.full(len(flat) + n * (ORDER + 1), EDGE, dtype=np.uint8)
-    text = np.repeat(np.arange(n), lengths)
-    wide[np.arange(len(flat)) + (text + 1) * ORDER + text] = _SMALL[flat]
-    code = np.zeros(max(0, len(wide) - ORDER), dtype=np.uint64)
-    for i in range(ORDER + 1):
-        code <<= np.uint64(8)
-        code |= wide[i : i + len(code)]
-    # The text of row t begins at offsets[t] + t * (ORDER + 1), its first symbol ORDER further on.
-    keep = np.ones(len(code), dtype=bool)
-    starts = offsets[1:-1] + np.arange(1, n) * (ORDER + 1)
+    # ORDER edges, the text and one edge more for each text; all but the first ORDER are symbols.
+    starts = offsets[:-1] + np.arange(n) * (ORDER + 1)
+    symbol = np.ones(len(flat) + n * (ORDER + 1), dtype=bool)
     for i in range(ORDER):
-        keep[starts - ORDER + i] = False
-    return code[keep], lengths + 1
+        symbol[starts + i] = False
+    inside = symbol.copy()
+    inside[starts + ORDER + lengths] = False
+    wide = np.full(len(symbol), EDGE, dtype=np.uint8)
+    wide[inside] = _SMALL[flat]
+    # Two, four, then seven bytes as one number.
+    two = wide[:-1].astype(np.uint16) << np.uint16(8) | wide[1:]
+    four = two[:-2].astype(np.uint32) << np.uint32(16) | two[2:]
+    code = four[:-3].astype(np.uint64) << np.uint64(24) | four[3:] & np.uint32(0xFFFFFF)
+    return code[symbol[ORDER:]], lengths + 1
 
 
 def _distinct(keys: np.ndarray) -> np.ndarray:
@@ -291,10 +292,23 @@ def _sent(codes: np.ndarray, more: np.ndarray, n_buckets: int, kind: int, first:
 def _dealt(codes: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The buckets of sorted codes, ascending, and the order of the codes by them."""
     bucket = _buckets(codes, n_buckets)
-    order = np.argsort(bucket, kind="stable")
+    order = np.argsort(bucket.astype(np.min_scalar_type(n_buckets)), kind="stable")  # of 16 bits, a radix sort
     return bucket[order], order
 
 
+#: Texts whose symbols are sorted together: a code has seven bytes, the number of its text is the eighth.
+_TOGETHER = 256
+
+
+def _by_code(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """The distinct codes of a few texts, how often each occurs, the text of every occurrence by code, and the number of texts."""
+    codes, symbols = _codes(column)
+    keys = np.sort(codes << np.uint64(8) | np.repeat(np.arange(len(column), dtype=np.uint64), symbols))
+    codes = keys >> np.uint64(8)
+    first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])[: len(codes)])
+    return codes[first], np.diff(np.append(first, len(codes))).astype(np.int32), keys.astype(np.uint8), len(column)
+
+
 def _stored(column: pa.Array) -> bytes:
     """Texts as compressed bytes; a null text is empty."""
     flat, offsets = text_bytes(column)
@@ -329,9 +343,17 @@ def _scores_unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(body, dtype=np.float64, count=n)[np.ascontiguousarray(planes.T).view(np.uint32).ravel()]
 
 
-def _texts(column: pa.Array) -> list[bytes]:
-    """The bytes of all texts; a null text is empty."""
-    return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
+def _tokens(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, A-Z made small, and the text each is of; a null text has none."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(column))
+    text = np.repeat(np.arange(len(column)), pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False))
+    words = found.flatten()
+    filled = pc.not_equal(pc.binary_length(words), 0)  # white space at an end leaves an empty one
+    return words.filter(filled), text[filled.to_numpy(zero_copy_only=False)]
+
+
+def _bytes(words: pa.Array) -> list[bytes]:
+    return words.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
 
 
 def _by_bucket(tokens: set[bytes], n_buckets: int) -> list[tuple[int, list[bytes]]]:
@@ -347,21 +369,16 @@ def _text_key(text: str) -> Column:
     return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)), 1, 16)
 
 
-def _assessed(texts: list[bytes], common: dict[bytes, float], rare: dict[bytes, float], unseen: set[bytes]) -> dict[str, pa.Array]:
-    """n_tokens, how many of them are known, and the sum of their logs, per text."""
-    n_tokens, known, sums = [], [], []
-    for text in texts:
-        words = text.lower().split()
-        words.append(END)
-        found = list(map(common.get, words))
-        if None in found:
-            others = [w for w, f in zip(words, found) if f is None]
-            known.append(len(words) - sum(map(unseen.__contains__, others)))
-            sums.append(sum([f for f in found if f is not None]) + sum([rare[w] for w in others]))
-        else:
-            known.append(len(words))
-            sums.append(sum(found))
-        n_tokens.append(len(words))
+def _assessed(
+    distinct: list[bytes], places: np.ndarray, text: np.ndarray, n: int, common: dict[bytes, float], rare: dict[bytes, float], unseen: set[bytes]
+) -> dict[str, pa.Array]:
+    """n_tokens, how many of them are known, and the sum of their logs, for ``n`` texts; each word has its place among the distinct ones and its text."""
+    n_tokens = np.bincount(text, minlength=n) + 1
+    unknown = np.fromiter(map(unseen.__contains__, distinct), dtype=bool, count=len(distinct))
+    known = n_tokens - np.bincount(text[unknown[places]], minlength=n) - (END in unseen)
+    logs = np.array([rare[w] if log is None else log for w, log in zip([*distinct, END], map(common.get, [*distinct, END]))])
+    high = np.round(logs * 2**20) / 2**20  # these add up without rounding, the small rest nearly so
+    sums = sum(np.bincount(text, weights=part[places], minlength=n) + part[-1] for part in (logs - high, high))
     return {"n_tokens": pa.array(n_tokens, pa.int64()), "known": pa.array(known, pa.int64()), "base": pa.array(sums, pa.float64())}
 
 
@@ -390,7 +407,7 @@ def sent_rows(rows: DataFrame, shared: Broadcast, n_buckets: int) -> DataFrame:
                 codes, n = np.unique(_codes(some)[0], return_counts=True) if len(some) else _merged([])
                 held += int(n.sum())
                 seen.append((codes, n if teaches else np.zeros_like(n)))
-            tokens |= {END, *b"\n".join(_texts(column)).lower().split()}.difference(shared.value)
+            tokens |= {END, *_bytes(_tokens(column)[0].unique())}.difference(shared.value)
             if held >= SLICE_BYTES:
                 yield _sent(*_merged(seen), n_buckets, _CODES, first)
                 yield from _tokens_sent(tokens, n_buckets, _TOKENS, first)
@@ -502,30 +519,33 @@ def text_scores(rows: DataFrame, counts: DataFrame, common: dict[bytes, float],
         times: list[np.ndarray] = []
 
         def out():
-            parts = []  # distinct codes, their places, symbols
-            for column in texts:
-                codes, symbols = _codes(column)
-                own, places = np.unique(codes, return_inverse=True)
-                parts.append((own, places.astype(np.int32 if len(own) < 2**31 else np.int64), symbols))
+            parts = [_by_code(column.slice(i, _TOGETHER)) for column in texts for i in range(0, len(column), _TOGETHER)]
             codes = _distinct(np.concatenate([p[0] for p in parts]))
             scores = np.empty(len(codes))
             scores[_dealt(codes, n_buckets)[1]] = np.concatenate(found)
-            written = [_texts(column) for column in texts]
-            tokens = {END}.union(*[b"\n".join(t).lower().split() for t in written]).difference(shared.value)
+            totals = [np.bincount(text, np.repeat(scores[np.searchsorted(codes, own)], times), n) for own, times, text, n in parts]
+            del parts, codes, scores
+            words, text, n_texts = [], [], 0
+            for column in texts:  # the words of a part at a time: those of a slice take several times its bytes
+                own, of = _tokens(column)
+                words.append(own.dictionary_encode())
+                text.append((of + n_texts).astype(np.int32))
+                n_texts += len(column)
+            words = pa.chunked_array(words).unify_dictionaries().combine_chunks()
+            text, distinct = np.concatenate(text), _bytes(words.dictionary)
             n = np.concatenate([np.zeros(0, dtype=np.int64), *times])
+            tokens = {END, *distinct}.difference(shared.value)
             rare = dict(zip([t for _, own in _by_bucket(tokens, n_buckets) for t in own], np.log10(n + add).tolist(), strict=True))
             unseen = {t for t, c in zip(rare, n.tolist()) if not c}
-            for (own, places, symbols), own_texts in zip(parts, written):
-                total = np.add.reduceat(scores[np.searchsorted(codes, own)][places], np.cumsum(symbols) - symbols)
-                keys = [hashlib.sha256(t).digest()[:16] for t in own_texts]
-                base = _assessed(own_texts, shared.value, rare, unseen)
-                yield pa.record_batch({"key": pa.array(keys, pa.binary()), **base, "score": pa.array(total, pa.float64())})
+            base = _assessed(distinct, words.indices.to_numpy(zero_copy_only=False), text, n_texts, shared.value, rare, unseen)
+            keys = [hashlib.sha256(t or b"").digest()[:16] for column in texts for t in _bytes(column)]
+            return pa.record_batch({"key": pa.array(keys, pa.binary()), **base, "score": pa.array(np.concatenate(totals), pa.float64())})
 
         for batch in batches:
             for first, kind, data in zip(*(batch.column(i).to_pylist() for i in (0, 1, 4))):
                 if first != at:
                     if at is not None:
-                        yield from out()
+                        yield out()
                     at, texts, found, times = first, [], [], []
                 if kind == _TEXTS:
                     texts.append(_restored(data))
@@ -534,7 +554,7 @@ def text_scores(rows: DataFrame, counts: DataFrame, common: dict[bytes, float],
                 else:
                     times.append(np.frombuffer(_unzipped(data), dtype=np.int64))
         if at is not None:
-            yield from out()
+            yield out()
 
     asked = sent_rows(rows, shared, n_buckets).unionAll(counts.select("token", "c").mapInArrow(counted, _SENT))
     parts = asked.repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "kind", "slice", "part").mapInArrow(
@@ -566,10 +586,11 @@ def token_counts(texts: DataFrame) -> DataFrame:
         def rows():
             return pa.record_batch({"token": pa.array(counts.keys(), pa.binary()), "c": pa.array(counts.values(), pa.int64())})
 
-        for batch in sliced(batches, "text"):
-            for text in batch.column(0).cast(pa.large_binary()).to_pylist():
-                counts.update((text or b"").lower().split())
-                counts[END] += 1
+        for batch in sliced(batches, "text", 1_000_000):
+            met = _tokens(batch.column(0))[0].value_counts()
+            for token, n in zip(_bytes(met.field("values")), met.field("counts").to_pylist()):
+                counts[token] += n
+            counts[END] += batch.num_rows
             if len(counts) > 500_000:
                 yield rows()
                 counts.clear()
