@@ -111,3 +111,16 @@ def test_shuffles_of_written_steps_are_dropped(spark, make):
             time.sleep(0.1)
     assert not files() - before
     assert kept.count() > 0 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_tests_of_a_pair_are_in_doubles(spark, capsys):
+    rows = spark.range(3).select(F.col("id").alias("k"), "id", *[F.col("id").cast("int").alias(c) for c in ("pos", "i", "n")], F.col("id").alias("odd"))
+    line_join._met(rows, rows, 0.8, "x.id < y.id").explain()
+    assert "decimal" not in capsys.readouterr().out
+
+
+def test_similarity_just_at_the_threshold_counts(make):
+    words = [f"w{i}" for i in range(50)]
+    docs = [(1, " ".join(words[:40])), (2, " ".join(words[:50])), (3, " ".join(words[:31] + words[45:])), (4, "a b c d"), (5, "a b c d e"), (6, "a b c e f")]
+    assert clean(line_join.dedup_lines(make(docs))) == brute(docs)
+    assert clean(line_join.dedup_lines(make(docs), hot=1)) == brute(docs)

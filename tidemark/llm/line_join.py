@@ -26,14 +26,14 @@ def _spaced(text: str) -> str:
     return f"replace(replace(replace(replace({text}, '\\t', ' '), '\\r', ' '), '\\u000c', ' '), '\\u000b', ' ')"
 
 
-def _split(text: str) -> str:
-    """SQL for a line cut at every white space; empty words where several follow each other."""
-    return f"split({_spaced(text)}, ' ')"
-
-
 def _words(line: str) -> str:
     """SQL for the distinct words of a line."""
-    return f"array_distinct(array_remove({_split(line)}, ''))"
+    return f"array_distinct(array_remove(split({_spaced(line)}, ' '), ''))"
+
+
+def _double(number: float) -> str:
+    """SQL for a number as double; a plain 0.8 is a decimal, whose arithmetic costs most of a pair's tests."""
+    return f"{float(number)!r}D"
 
 
 def _quoted(column: str) -> str:
@@ -41,8 +41,9 @@ def _quoted(column: str) -> str:
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, pos, line) of every line of documents with an id."""
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """(id, pos, line) of every line of documents with an id, its words parted by spaces alone."""
+    text = F.expr(_spaced(_quoted(text_col))).alias("text")
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), text)
     return rows.select("id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
@@ -70,16 +71,20 @@ def line_sets(docs: DataFrame, threshold: float, ranks: bytes, id_col: str, text
     them. Lines without words are left out. Repeated sets are merged in each task
     before the shuffle, so a line that fills a third of the corpus is few rows.
     """
-    hashes = f"array_distinct(array_remove(transform({_split('line')}, w -> xxhash64(w)), xxhash64('')))"
-    rank = f"ascii(cast(substring(X'{ranks.hex()}', cast(h & {len(ranks) - 1} as int) + 1, 1) as string))"
-    keys = f"sort_array(transform({hashes}, h -> shiftleft(cast({rank} as bigint), {_HASH_BITS}) | (h & {2**_HASH_BITS - 1})))"
+    hashes = "array_distinct(array_remove(transform(split(line, ' '), w -> xxhash64(w)), xxhash64('')))"
+    # Functions with a lambda are interpreted node by node, so the table is an array, made once by the optimizer.
+    table = f"cast(split('{','.join(map(str, ranks))}', ',') as array<int>)"
+    rank = f"get({table}, cast(h & {len(ranks) - 1} as int))"
+    keys = f"sort_array(transform(hashes, h -> shiftleft(cast({rank} as bigint), {_HASH_BITS}) | (h & {2**_HASH_BITS - 1})))"
     # Lines without words are found by their text: a filter on the keys would compute them twice.
-    filled = _lines(docs, id_col, text_col).where(f"trim({_spaced('line')}) != ''")
-    keyed = filled.select("id", "pos", F.expr(keys).alias("keys"))
-    prefix = f"slice(keys, 1, size(keys) - cast(ceil({threshold} * size(keys) - 1e-9) as int) + 1)"
-    odd = "aggregate(keys, 0L, (a, k) -> a ^ shiftleft(1L, cast(shiftright(k, 20) & 63 as int)))"
+    filled = _lines(docs, id_col, text_col).where("trim(line) != ''")
+    # One projection each, or the words are made distinct inside of the next lambda; n is read here to keep them apart.
+    hashed = filled.select("id", "pos", F.expr(hashes).alias("hashes"))
+    keyed = hashed.select("id", "pos", F.size("hashes").alias("n"), F.expr(keys).alias("keys"))
+    prefix = f"slice(keys, 1, n - cast(ceil({_double(threshold)} * n - 1e-9) as int) + 1)"
+    odd = "aggregate(keys, 0L, (a, k) -> a ^ shiftleft(1L, cast(shiftright(k, 24) as int)))"  # shifts count modulo 64
     first = F.struct(
-        "id", "pos", F.size("keys").alias("n"), F.expr(odd).alias("odd"), F.expr(f"transform({prefix}, k -> hash(k))").alias("prefix")
+        "id", "pos", "n", F.expr(odd).alias("odd"), F.expr(f"transform({prefix}, k -> hash(k))").alias("prefix")
     )
     rows = keyed.select(F.expr("xxhash64(keys)").alias("sa"), F.expr("xxhash64(keys, 1)").alias("sb"), first.alias("r"))
     return rows.groupBy("sa", "sb").agg(F.min("r").alias("r")).select("r.*")
@@ -94,17 +99,18 @@ def _met(x: DataFrame, y: DataFrame, threshold: float, apart: str) -> DataFrame:
     Parity: sets that differ in more classes than in allowed words are too far
     apart. ``n`` of a line that needs no partner is negative.
     """
-    most = f"floor({(1 - threshold) / (1 + threshold)} * (abs(x.n) + abs(y.n)) + 1e-9)"
+    t = _double(threshold)
+    most = f"floor({_double((1 - threshold) / (1 + threshold))} * (abs(x.n) + abs(y.n)) + 1e-9)"
     return x.alias("x").join(y.alias("y"), F.col("x.k") == F.col("y.k")).where(
         f"{apart} AND bit_count(x.odd ^ y.odd) <= {most} "
-        f"AND abs(x.n) >= {threshold} * abs(y.n) - 1e-9 AND abs(y.n) >= {threshold} * abs(x.n) - 1e-9 "
+        f"AND abs(x.n) >= {t} * abs(y.n) - 1e-9 AND abs(y.n) >= {t} * abs(x.n) - 1e-9 "
         f"AND least(x.i, y.i) + least(abs(x.n) - x.i, abs(y.n) - y.i) >= {_need(threshold)}"
     )
 
 
 def _need(threshold: float) -> str:
     """SQL for the least overlap of similar sets x and y."""
-    return f"ceil({threshold / (1 + threshold)} * (abs(x.n) + abs(y.n)) - 1e-9)"
+    return f"ceil({_double(threshold / (1 + threshold))} * (abs(x.n) + abs(y.n)) - 1e-9)"
 
 
 def _followers(pivots: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
@@ -113,8 +119,8 @@ def _followers(pivots: DataFrame, rows: DataFrame, threshold: float) -> DataFram
     return met.select(*[F.col(f"{e}.{c}").alias(f"{e}_{c}") for e in "xy" for c in ("id", "pos")]).distinct()
 
 
-def _pairs(entries: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (x earlier, y later) of lines that share a prefix word and pass all filters; y needs a partner.
+def _pairs(sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (x earlier, y later) of lines (id, pos, n, odd, prefix) that share a prefix word and pass all filters; y needs a partner.
 
     In the join x is the longer line, or the later one of equal length. The
     overlap is then at least 2t / (1 + t) of the shorter one's words, so y is
@@ -127,26 +133,26 @@ def _pairs(entries: DataFrame, threshold: float) -> DataFrame:
     too few are out.
     """
     step = max(-3 * math.log(threshold), 1e-6)  # a third of the short ones lie in two bands
-    band = lambda n: f"cast(floor(ln({n}) / {step}) as bigint)"  # noqa: E731  monotone, so both sides agree
-    short = f"ceil({2 * threshold / (1 + threshold)} * abs(n) - 1e-9)"
-    key = f"shiftleft({{band}}, 32) | (k & {2**32 - 1}L)"
-    columns = ["id", "pos", "n", "odd", "i"]
-    x = entries.select(*columns, F.expr(key.format(band=band("abs(n)"))).alias("k"))
-    bands = f"sequence({band('abs(n)')}, {band(f'floor(abs(n) / {threshold} + 1e-9)')})"
-    y = (
-        entries.where(f"i <= abs(n) - {short}").select(*columns, "k", F.explode(F.expr(bands)).alias("band"))
-        .select(*columns, F.expr(key.format(band="band")).alias("k"))
-    )
+    band = lambda n: f"cast(floor(ln({n}) / {_double(step)}) as bigint)"  # noqa: E731  monotone, so both sides agree
+    t, shorter = _double(threshold), _double(2 * threshold / (1 + threshold))
+    short = f"ceil({shorter} * abs(n) - 1e-9)"
+    columns = ["id", "pos", "n", "odd"]
+    bands = f"sequence({band('abs(n)')}, {band(f'floor(abs(n) / {t} + 1e-9)')})"
+    part = f"slice(prefix, 1, cast(abs(n) - {short} as int) + 1)"
+    x = sets.select(*columns, "prefix", F.expr(band("abs(n)")).alias("band"))
+    y = sets.select(*columns, F.expr(part).alias("prefix"), F.explode(F.expr(bands)).alias("band"))
+    key = F.expr(f"shiftleft(band, 32) | (k & {2**32 - 1}L)").alias("k")
+    x, y = (e.select(*columns, "band", F.posexplode("prefix").alias("i", "k")).select(*columns, "i", key) for e in (x, y))
     later = "(x.id > y.id OR (x.id = y.id AND x.pos > y.pos))"
     apart = f"(abs(x.n) > abs(y.n) OR (abs(x.n) = abs(y.n) AND {later})) AND if({later}, x.n, y.n) > 0"
     met = _met(x, y, threshold, apart)
-    ends = [F.expr(f"if({later}, {b}.{c}, {a}.{c})").alias(f"{e}_{c}") for e, a, b in ("xxy", "yyx") for c in ("id", "pos")]
-    rest = f"greatest(ceil({threshold} * abs(x.n) - 1e-9), ceil({2 * threshold / (1 + threshold)} * abs(y.n) - 1e-9)) - 1"
+    both = [F.expr(f"if({later}, {b}.{c}, {a}.{c})").alias(f"{e}_{c}") for e, a, b in ("xxy", "yyx") for c in ("id", "pos")]
+    rest = f"greatest(ceil({t} * abs(x.n) - 1e-9), ceil({shorter} * abs(y.n) - 1e-9)) - 1"
     least = F.expr(f"cast({_need(threshold)} - ({rest}) as int)").alias("least")
     room = F.expr(f"cast(least(abs(x.n) - x.i, abs(y.n) - y.i) - {_need(threshold)} as int)").alias("room")  # most at the first
     keys = ["x_id", "x_pos", "y_id", "y_pos"]
     sums = [F.count(F.lit(1)).alias("shared"), F.max("least").alias("least"), F.max("room").alias("room")]
-    return met.select(*ends, least, room).groupBy(*keys).agg(*sums).where("shared >= least AND room >= 0").select(*keys)
+    return met.select(*both, least, room).groupBy(*keys).agg(*sums).where("shared >= least AND room >= 0").select(*keys)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, threshold: float, id_col: str, text_col: str, most_broadcast: int) -> DataFrame:
@@ -166,7 +172,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: float, id_col: str,
         pairs = pairs.join(sets.select(*[F.col(c).alias(f"{e}_{c}") for c in sets.columns]), [f"{e}_id", f"{e}_pos"])
     shared = "size(array_intersect(x_words, y_words))"
     return (
-        pairs.where(f"{shared} >= {threshold} * (size(x_words) + size(y_words) - {shared}) - 1e-9")
+        pairs.where(f"{_double(1 + threshold)} * {shared} >= {_double(threshold)} * (size(x_words) + size(y_words)) - 1e-9")
         .select(F.col("y_id").alias("id"), F.col("y_pos").alias("pos")).distinct()
     )
 
@@ -193,7 +199,7 @@ def kept_lines(
     counts = entries.groupBy(F.expr(cell).alias("c")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot)
     with shuffles_dropped(docs.sparkSession):
         busy = counts.select("c").toPandas()["c"].tolist()  # at most one per cell, a fixed number
-    decided = None
+    decided, signed = None, sets
     if busy:
         marks = bytearray(cells)
         for c in busy:
@@ -203,9 +209,8 @@ def kept_lines(
         first = settled(_followers(pivots, rows, threshold))
         decided = settled(_verified(first, docs, threshold, id_col, text_col, most_broadcast))
         marked = sets.join(decided.withColumn("done", F.lit(True)), ["id", "pos"], "left")
-        signed = F.when(F.col("done").isNull(), F.col("n")).otherwise(-F.col("n")).alias("n")
-        entries = marked.select("id", "pos", signed, "odd", F.posexplode("prefix").alias("i", "k"))
-    pairs = settled(_pairs(entries, threshold))
+        signed = marked.withColumn("n", F.when(F.col("done").isNull(), F.col("n")).otherwise(-F.col("n")))
+    pairs = settled(_pairs(signed, threshold))
     gone = _verified(pairs, docs, threshold, id_col, text_col, most_broadcast)
     if decided is not None:
         gone = gone.unionAll(decided).distinct()
@@ -228,16 +233,20 @@ def dedup_lines(
     rows = docs.select(F.struct("*").alias("row"))
     met = rows.join(by_doc, F.col(f"row.{_quoted(id_col)}") == F.col("id"), "left")
     # Kept lines are fetched by number from the text split once, as a variable of the lambda: linear in the lines.
-    blank = f"filter(sequence(0, size(s) - 1), i -> trim({_spaced('s[i]')}) = '')"
-    places = f"array_sort(array_union(filter(coalesce(kept, array()), i -> i < size(s)), {blank}))"
-    left = f"transform({places}, i -> s[i])"
+    # Only lines that are not kept can be blank; a document that loses none keeps its text as it is.
+    rest = "array_except(sequence(0, size(s) - 1), kept)"
+    blank = f"filter({rest}, i -> trim({_spaced('s[i]')}) = '')"
+    left = "transform(array_sort(array_union(filter(kept, i -> i < size(s)), blank)), i -> s[i])"
     text = F.expr(f"row.{_quoted(text_col)}")
+    whole = f"struct(row.{_quoted(text_col)} as text, size(s) as lines, 0 as removed)"
+    less = f"transform(array({left}), l -> struct(array_join(l, '\\n') as text, size(s) as lines, size(s) - size(l) as removed))[0]"
     cut = F.expr(
-        f"transform(array(split(row.{_quoted(text_col)}, '\\n')), s -> "
-        f"transform(array({left}), l -> struct(array_join(l, '\\n') as text, size(s) as lines, size(s) - size(l) as removed))[0])[0]"
+        f"transform(array(split(row.{_quoted(text_col)}, '\\n')), s -> transform(array({blank}), blank -> "
+        f"if(size(blank) = size({rest}), {whole}, {less}))[0])[0]"
     )
     some = F.col(f"row.{_quoted(id_col)}").isNotNull() & text.isNotNull()
-    done = met.select("row", F.when(some, cut).alias("cut"))
+    done = met.select("row", F.coalesce("kept", F.expr("cast(array() as array<int>)")).alias("kept"))
+    done = done.select("row", F.when(some, cut).alias("cut"))
     own = [c for c in docs.columns if c not in ("__lines", "__removed")]
     return done.select(
         *[F.coalesce("cut.text", text).alias(c) if c == text_col else F.col(f"row.{_quoted(c)}").alias(c) for c in own],
